@@ -1,4 +1,8 @@
-"""Column expressions used by the checks; all of them stay inside the JVM."""
+"""Expressions used by the checks, as SQL text.
+
+Text keeps the driver's work small for tables of many columns, where a Column object for
+every part of every cell comparison would not; all of it is built-in and stays in the JVM.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_JSON_TEXT = {
-    "ignoreNullFields": "false",
-    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
-}
+_JSON_OPTIONS = (
+    "map('ignoreNullFields', 'false',"
+    " 'timestampFormat', 'yyyy-MM-dd HH:mm:ss.SSSSSSXXX',"
+    " 'timestampNTZFormat', 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+)
 
 _CASTABLE_FROM_TEXT = (
     T.NumericType,
@@ -20,10 +24,7 @@ _CASTABLE_FROM_TEXT = (
     T.TimestampNTZType,
 )
 
-
-def field(name: str) -> Column:
-    """The column of exactly this name, dots and spaces included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
 
 def null_aware_diff(left: Column, right: Column) -> Column:
@@ -31,6 +32,24 @@ def null_aware_diff(left: Column, right: Column) -> Column:
     return ~left.eqNullSafe(right)
 
 
+def quoted(name: str) -> str:
+    """The column of exactly this name, dots and spaces included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def differs(left: str, right: str) -> str:
+    return f"NOT ({left} <=> {right})"
+
+
+def struct(parts: dict[str, str]) -> str:
+    """A struct of named expressions."""
+    return "struct(" + ", ".join(f"{e} AS {quoted(n)}" for n, e in parts.items()) + ")"
+
+
 def holds(dtype: T.DataType, *kinds: type) -> bool:
     """Whether the type is, or contains, one of the given types."""
     if isinstance(dtype, kinds):
@@ -44,76 +63,78 @@ def holds(dtype: T.DataType, *kinds: type) -> bool:
     return False
 
 
-def comparable(column: Column, dtype: T.DataType) -> Column:
-    """The column in a form that groups, joins and compares.
+def comparable(value: str, dtype: T.DataType, depth: int = 0) -> str:
+    """The value in a form that groups, joins and compares.
 
     Variants become JSON text and maps become sorted entries, at any depth.
     """
     if not holds(dtype, T.VariantType, T.MapType):
-        return column
+        return value
     if isinstance(dtype, T.VariantType):
-        return F.to_json(column)
+        return f"to_json({value})"
+    element = f"e{depth}"
     if isinstance(dtype, T.ArrayType):
-        return F.transform(column, lambda x: comparable(x, dtype.elementType))
+        inner = comparable(element, dtype.elementType, depth + 1)
+        return f"transform({value}, {element} -> {inner})"
     if isinstance(dtype, T.MapType):
-        return F.array_sort(
-            F.transform(
-                F.map_entries(column),
-                lambda e: F.struct(
-                    comparable(e["key"], dtype.keyType).alias("key"),
-                    comparable(e["value"], dtype.valueType).alias("value"),
-                ),
-            )
+        entry = struct(
+            {
+                "key": comparable(f"{element}.key", dtype.keyType, depth + 1),
+                "value": comparable(f"{element}.value", dtype.valueType, depth + 1),
+            }
         )
-    rebuilt = F.struct(
-        *[comparable(column.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
-    )
-    return F.when(column.isNotNull(), rebuilt)
+        return f"array_sort(transform(map_entries({value}), {element} -> {entry}))"
+    return _rebuilt(value, dtype, lambda v, t: comparable(v, t, depth + 1))
 
 
-def as_text(column: Column, dtype: T.DataType) -> Column:
-    """The cell as text; nested values as JSON, so that equal text means equal value."""
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        return F.to_json(column, _JSON_TEXT)
-    if isinstance(dtype, T.BinaryType):
-        return F.hex(column)
-    return column.cast("string")
-
-
-def plain_zero(column: Column, dtype: T.DataType) -> Column:
+def plain_zero(value: str, dtype: T.DataType, depth: int = 0) -> str:
     """Negative zero as zero, since the two compare equal but print differently."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return F.when(column == 0, F.lit(0).cast(dtype)).otherwise(column)
-    if isinstance(dtype, T.ArrayType) and holds(dtype, T.FloatType, T.DoubleType):
-        return F.transform(column, lambda x: plain_zero(x, dtype.elementType))
-    if isinstance(dtype, T.StructType) and holds(dtype, T.FloatType, T.DoubleType):
-        rebuilt = F.struct(
-            *[plain_zero(column.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
-        )
-        return F.when(column.isNotNull(), rebuilt)
-    return column
+        return f"if({value} = 0, CAST(0 AS {dtype.simpleString()}), {value})"
+    if not holds(dtype, T.FloatType, T.DoubleType):
+        return value
+    if isinstance(dtype, T.ArrayType):
+        element = f"z{depth}"
+        inner = plain_zero(element, dtype.elementType, depth + 1)
+        return f"transform({value}, {element} -> {inner})"
+    return _rebuilt(value, dtype, lambda v, t: plain_zero(v, t, depth + 1))
+
+
+def _rebuilt(value: str, dtype: T.StructType, change) -> str:
+    parts = {f.name: change(f"{value}.{quoted(f.name)}", f.dataType) for f in dtype.fields}
+    return f"if({value} IS NULL, NULL, {struct(parts)})"
+
+
+def as_text(value: str, dtype: T.DataType) -> str:
+    """The cell as text; nested values as JSON, so that equal text means equal value."""
+    if isinstance(dtype, _NESTED):
+        return f"to_json({value}, {_JSON_OPTIONS})"
+    if isinstance(dtype, T.BinaryType):
+        return f"hex({value})"
+    return value if isinstance(dtype, T.StringType) else f"CAST({value} AS STRING)"
 
 
 def castable_from_text(dtype: T.DataType) -> bool:
     return isinstance(dtype, _CASTABLE_FROM_TEXT)
 
 
-def uncastable_text(column: Column, dtype: T.DataType) -> Column:
+def try_cast(value: str, dtype: T.DataType) -> str:
+    return f"try_cast({value} AS {dtype.simpleString()})"
+
+
+def uncastable_text(value: str, dtype: T.DataType) -> str:
     """The raw text where it is not a value of the type, else null."""
-    return F.when(column.try_cast(dtype).isNull(), column)
+    return f"if({try_cast(value, dtype)} IS NULL, {value}, NULL)"
 
 
-def detail_text(name: str, source_text: Column, target_text: Column) -> Column:
+def detail_text(name: str, source_text: str, target_text: str) -> str:
     """One difference as ``column:source!=target``."""
-    return F.concat(
-        F.lit(f"{name}:"),
-        F.coalesce(source_text, F.lit("NULL")),
-        F.lit("!="),
-        F.coalesce(target_text, F.lit("NULL")),
+    return (
+        f"concat({literal(name + ':')}, coalesce({source_text}, 'NULL'), '!=',"
+        f" coalesce({target_text}, 'NULL'))"
     )
 
 
-def epoch_second(millis: Column | int) -> Column:
+def epoch_second(millis: int) -> Column:
     """Epoch milliseconds as a timestamp of whole seconds."""
-    column = F.lit(millis) if isinstance(millis, int) else millis
-    return F.date_trunc("second", F.timestamp_millis(column))
+    return F.date_trunc("second", F.timestamp_millis(F.lit(millis)))

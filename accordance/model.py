@@ -22,7 +22,6 @@ class Kind:
     MISSING_IN_TARGET = "missing_in_target"
     MISSING_IN_SOURCE = "missing_in_source"
     MANY_TO_MANY = "many_to_many"
-    DUPLICATE_KEY = "duplicate_key"
     SOURCE_ONLY = "source_only"
     TARGET_ONLY = "target_only"
     VIOLATION = "violation"

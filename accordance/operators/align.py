@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accordance.functions.expressions import (
     castable_from_text,
     comparable,
-    field,
+    holds,
+    quoted,
+    struct,
+    try_cast,
     uncastable_text,
 )
 from accordance.model import ConfigError, Pairs, check_pairs
@@ -42,15 +45,18 @@ class Sides:
     columns: tuple[str, ...]
 
 
-def real_name(df: DataFrame, name: str) -> str | None:
-    """The column as the frame spells it, following the session's case sensitivity."""
+def real_names(df: DataFrame, names) -> list[str | None]:
+    """The columns as the frame spells them, following the session's case sensitivity."""
     if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
-        return name if name in df.columns else None
-    return next((c for c in df.columns if c.lower() == name.lower()), None)
+        have = {c: c for c in df.columns}
+        return [have.get(name) for name in names]
+    have = {c.lower(): c for c in df.columns}
+    return [have.get(name.lower()) for name in names]
 
 
 def require_columns(df: DataFrame, names, side: str) -> None:
-    unknown = [name for name in names if real_name(df, name) is None]
+    names = list(names)
+    unknown = [name for name, real in zip(names, real_names(df, names)) if real is None]
     if unknown:
         raise ConfigError(f"{side} has no column {', '.join(unknown)}; it has {df.columns}")
 
@@ -58,12 +64,18 @@ def require_columns(df: DataFrame, names, side: str) -> None:
 def rename_columns(df: DataFrame, renames: dict[str, str], side: str) -> DataFrame:
     """All columns in one select, so that swapped names do not collide."""
     require_columns(df, renames, side)
-    new_name = {real_name(df, old): new for old, new in renames.items()}
+    new_name = dict(zip(real_names(df, renames), renames.values()))
     result = [new_name.get(c, c) for c in df.columns]
-    twice = sorted({c for c in result if [r.lower() for r in result].count(c.lower()) > 1})
+    times = Counter(name.lower() for name in result)
+    twice = sorted(name for name in result if times[name.lower()] > 1)
     if twice:
         raise ConfigError(f"{side} would have column {', '.join(twice)} twice after renaming")
-    return df.select(*[field(c).alias(new) for c, new in zip(df.columns, result)])
+    return select_as(df, dict(zip(result, df.columns)))
+
+
+def select_as(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The columns under new names, given as new name to old."""
+    return df.selectExpr(*[f"{quoted(old)} AS {quoted(new)}" for new, old in columns.items()])
 
 
 def align_target_to_source(target: DataFrame, mapping: Pairs) -> DataFrame:
@@ -99,8 +111,8 @@ def mapped_sides(
     names = [s if name_of == "source" else t for s, t in pairs]
     check_reserved(names)
     return Sides(
-        source.select(*[field(s).alias(n) for (s, _), n in zip(pairs, names)]),
-        target.select(*[field(t).alias(n) for (_, t), n in zip(pairs, names)]),
+        select_as(source, {n: s for (s, _), n in zip(pairs, names)}),
+        select_as(target, {n: t for (_, t), n in zip(pairs, names)}),
         tuple(names[: len(keys)]),
         tuple(names[len(keys) :]),
     )
@@ -109,13 +121,13 @@ def mapped_sides(
 def shared_sides(source: DataFrame, target: DataFrame, mapping: Pairs | None = None) -> Sides:
     """All columns both sides have after renaming, matched by name and not by position."""
     renamed = align_source_to_target(source, mapping or [])
-    names = [c for c in target.columns if real_name(renamed, c) is not None]
+    names = [c for c, own in zip(target.columns, real_names(renamed, target.columns)) if own]
     if not names:
         raise ConfigError(f"no common columns: {renamed.columns} and {target.columns}")
     check_reserved(names)
     return Sides(
-        renamed.select(*[field(c).alias(c) for c in names]),
-        target.select(*[field(c) for c in names]),
+        select_as(renamed, {c: c for c in names}),
+        select_as(target, {c: c for c in names}),
         (),
         tuple(names),
     )
@@ -126,10 +138,11 @@ def one_sided_columns(
 ) -> tuple[list[str], list[str]]:
     """Names only the source has and names only the target has, after renaming."""
     renamed = align_source_to_target(source, mapping or [])
-    return (
-        sorted(c for c in renamed.columns if real_name(target, c) is None),
-        sorted(c for c in target.columns if real_name(renamed, c) is None),
-    )
+
+    def only_in(df: DataFrame, other: DataFrame) -> list[str]:
+        return sorted(c for c, its in zip(df.columns, real_names(other, df.columns)) if not its)
+
+    return only_in(renamed, target), only_in(target, renamed)
 
 
 def check_reserved(names) -> None:
@@ -147,9 +160,10 @@ def align_types(
     column ``marker`` (null on rows where all text could be read).  The marker is there only
     if some column was read.  Different numeric or date types are left to Spark's widening.
     """
+    left_types, right_types = types_of(source), types_of(target)
     casts = {}
     for name in source.columns if names is None else names:
-        left, right = source.schema[name].dataType, target.schema[name].dataType
+        left, right = left_types[name], right_types[name]
         if isinstance(left, T.StringType) == isinstance(right, T.StringType):
             continue
         typed = right if isinstance(left, T.StringType) else left
@@ -161,31 +175,38 @@ def align_types(
     return _read_text(source, casts, marker), _read_text(target, casts, marker)
 
 
-def _read_text(df: DataFrame, casts: dict[str, T.DataType], marker: str) -> DataFrame:
-    def is_text(name: str) -> bool:
-        return isinstance(df.schema[name].dataType, T.StringType)
+def types_of(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema}
+
 
+def _read_text(df: DataFrame, casts: dict[str, T.DataType], marker: str) -> DataFrame:
+    is_text = {name for name, dtype in types_of(df).items() if isinstance(dtype, T.StringType)}
     raw = {
-        name: uncastable_text(field(name), dtype) if is_text(name) else F.lit(None).cast("string")
+        name: uncastable_text(quoted(name), dtype) if name in is_text else "CAST(NULL AS STRING)"
         for name, dtype in casts.items()
     }
-    failed = F.coalesce(*raw.values()).isNotNull()
-    return df.select(
+    return df.selectExpr(
         *[
-            field(c).try_cast(casts[c]).alias(c) if c in casts and is_text(c) else field(c)
+            f"{try_cast(quoted(c), casts[c])} AS {quoted(c)}"
+            if c in casts and c in is_text
+            else quoted(c)
             for c in df.columns
         ],
-        F.when(failed, F.struct(*[text.alias(name) for name, text in raw.items()])).alias(marker),
+        f"if(coalesce({', '.join(raw.values())}) IS NULL, NULL, {struct(raw)}) AS {marker}",
     )
 
 
 def comparable_columns(df: DataFrame) -> DataFrame:
     """All columns in a form that groups, joins and compares."""
-    return df.select(*[comparable(field(f.name), f.dataType).alias(f.name) for f in df.schema])
+    if not holds(df.schema, T.VariantType, T.MapType):
+        return df
+    return df.selectExpr(
+        *[f"{comparable(quoted(c), dtype)} AS {quoted(c)}" for c, dtype in types_of(df).items()]
+    )
 
 
 def both_sides(source: DataFrame, target: DataFrame) -> DataFrame:
     """The rows of both sides in one frame, marked by side."""
-    return source.select(
-        "*", F.lit(1).alias(IN_SOURCE), F.lit(0).alias(IN_TARGET)
-    ).unionByName(target.select("*", F.lit(0).alias(IN_SOURCE), F.lit(1).alias(IN_TARGET)))
+    return source.selectExpr("*", f"1 AS {IN_SOURCE}", f"0 AS {IN_TARGET}").unionByName(
+        target.selectExpr("*", f"0 AS {IN_SOURCE}", f"1 AS {IN_TARGET}")
+    )

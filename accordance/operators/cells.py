@@ -1,11 +1,12 @@
 """Keyed comparison, cell by cell.
 
-Two tables are matched on their keys like a full outer join would, but by aggregation: the
-union of both sides is grouped by key with partial aggregation before the single wide
-shuffle, so that a key holding a large part of all rows reaches the reducer as one row per
-map task.  A key with at most one row per side is settled there.
+Where keys are known to be unique, two tables are matched by a full outer join: no key can
+be hot then.  Otherwise they are matched by aggregation: the union of both sides is grouped
+by key, with partial aggregation before the single wide shuffle, so that a key holding a
+large part of all rows reaches the reducer as one row per map task.  A key with at most one
+row per side is settled there.
 
-Keys with several rows on a side would give the product of their rows.  Up to ``max_pairs``
+Keys with several rows on a side stand for the product of their rows.  Up to ``max_pairs``
 joined rows per key the pairs are built and compared.  Beyond it they are never built: the
 product is given factorised, one line per distinct cell value with the rows of each side
 that hold it and the exact number of joined rows that differ, which is linear in the data.
@@ -14,18 +15,19 @@ that hold it and the exact number of joined rows that differ, which is linear in
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accordance.functions.expressions import (
     as_text,
     detail_text,
-    field,
-    null_aware_diff,
+    differs,
+    literal,
     plain_zero,
+    quoted,
+    struct,
 )
 from accordance.model import Kind, Pairs
 from accordance.operators.align import (
@@ -35,28 +37,128 @@ from accordance.operators.align import (
     both_sides,
     comparable_columns,
     mapped_sides,
+    types_of,
 )
 
 MAX_PAIRS = 1000
 
 _ROW, _SRC, _TGT = "__row", "__source_row", "__target_row"
-_KEY, _GROUP = "__key", "__group"
+_GROUP = "__group"
 _COUNTS = ("src_n", "tgt_n", "joined_rows")
 
+_SINGLE = "(src_n = 1 AND tgt_n = 1)"
+_MISSING = "(src_n = 0 OR tgt_n = 0)"
+_MISSING_KIND = f"if(tgt_n = 0, '{Kind.MISSING_IN_TARGET}', '{Kind.MISSING_IN_SOURCE}')"
+_NO_TEXT = "CAST(NULL AS STRING)"
+
 
 @dataclass(frozen=True)
 class _Cells:
-    """The tagged union of both sides: ``<keys>, [uncastable_key], __row, marks``."""
+    """Both sides as ``<keys>, [uncastable_key], <columns>, [uncastable]``, of equal types."""
 
-    rows: DataFrame
+    source: DataFrame
+    target: DataFrame
     keys: tuple[str, ...]
     types: dict[str, T.DataType]
     cast: frozenset[str]
     cast_keys: tuple[str, ...]
 
+    @property
+    def rows(self) -> DataFrame:
+        """Both sides in one: ``<keys>, [uncastable_key], __row``, marked by side."""
+        row = f"{self.row()} AS {_ROW}"
+        return both_sides(self.source, self.target).selectExpr(
+            *self.group, row, IN_SOURCE, IN_TARGET
+        )
+
+    def row(self, side: str = "") -> str:
+        """All that is compared of a row, as one struct."""
+        names = [*(["uncastable"] if self.cast else []), *self.types]
+        return struct({c: f"{side}{quoted(c)}" for c in names} or {"present": "true"})
+
     @property
     def group(self) -> list[str]:
-        return [*self.keys, "uncastable_key"] if self.cast_keys else list(self.keys)
+        return [*map(quoted, self.keys), *(["uncastable_key"] if self.cast_keys else [])]
+
+    # The parts below are SQL text over a source row and a target row.
+
+    def raw(self, row: str, name: str) -> str:
+        return f"{row}.uncastable.{quoted(name)}"
+
+    def text(self, row: str, name: str) -> str:
+        text = as_text(f"{row}.{quoted(name)}", self.types[name])
+        return f"coalesce({self.raw(row, name)}, {text})" if name in self.cast else text
+
+    def uncastable(self, name: str) -> str:
+        if name not in self.cast:
+            return "false"
+        return f"coalesce({self.raw(_SRC, name)}, {self.raw(_TGT, name)}) IS NOT NULL"
+
+    def diff(self, name: str) -> str:
+        diff = differs(f"{_SRC}.{quoted(name)}", f"{_TGT}.{quoted(name)}")
+        return f"({self.uncastable(name)} OR {diff})" if name in self.cast else f"({diff})"
+
+    def any_diff(self) -> str:
+        return "(" + (" OR ".join(self.diff(name) for name in self.types) or "false") + ")"
+
+    def lines(self) -> str:
+        """A line per compared column; its kind is null where the cells agree."""
+        return _array([self._cell_line(name) for name in self.types])
+
+    def _cell_line(self, name: str) -> str:
+        one_null = f"({_SRC}.{quoted(name)} IS NULL OR {_TGT}.{quoted(name)} IS NULL)"
+        kind = (
+            f"CASE WHEN {self.uncastable(name)} THEN '{Kind.UNCASTABLE}'"
+            f" WHEN {self.diff(name)} AND {one_null} THEN '{Kind.NULL_VS_VALUE}'"
+            f" WHEN {self.diff(name)} THEN '{Kind.VALUE}' END"
+        )
+        return _line(literal(name), self.text(_SRC, name), self.text(_TGT, name), kind)
+
+    def details(self) -> str:
+        """``column:source!=target`` for each differing cell, in mapping order."""
+        parts = [
+            f"if({self.diff(n)}, {detail_text(n, self.text(_SRC, n), self.text(_TGT, n))}, NULL)"
+            for n in self.types
+        ]
+        return f"concat_ws(',', {', '.join(parts) or 'NULL'})"
+
+    def key_lines(self) -> str:
+        """The lines of a key that is not compared: missing or unreadable."""
+        plain = _array([_line(_NO_TEXT, _NO_TEXT, _NO_TEXT, _MISSING_KIND)])
+        if not self.cast_keys:
+            return plain
+        unread = []
+        for name in self.cast_keys:
+            raw = f"uncastable_key.{quoted(name)}"
+            source, target = f"if(src_n > 0, {raw}, NULL)", f"if(tgt_n > 0, {raw}, NULL)"
+            kind = f"if({raw} IS NULL, NULL, '{Kind.UNCASTABLE}')"
+            unread.append(_line(literal(name), source, target, kind))
+        return f"if(uncastable_key IS NULL, {plain}, {_array(unread)})"
+
+    def key_detail(self) -> str:
+        if not self.cast_keys:
+            return _MISSING_KIND
+        raw = [
+            f"concat({literal(name + ':')}, uncastable_key.{quoted(name)})"
+            for name in self.cast_keys
+        ]
+        unread = f"concat_ws(',', '{Kind.UNCASTABLE}', {', '.join(raw)})"
+        return f"if(uncastable_key IS NULL, {_MISSING_KIND}, {unread})"
+
+
+def _line(column_name: str, source_value: str, target_value: str, kind: str) -> str:
+    return struct(
+        {
+            "column_name": column_name,
+            "source_value": source_value,
+            "target_value": target_value,
+            "kind": kind,
+        }
+    )
+
+
+def _array(lines: list[str]) -> str:
+    return f"array({', '.join(lines or [_line(*[_NO_TEXT] * 4)])})"
 
 
 def cell_diff(
@@ -65,29 +167,36 @@ def cell_diff(
     mapping: Pairs,
     keys: Pairs,
     unique_keys: bool = False,
+    duplicates: DataFrame | None = None,
     max_pairs: int = MAX_PAIRS,
 ) -> DataFrame:
     """One row per differing cell, named as in the source.
 
     ``<keys>, column_name, source_value, target_value, kind, src_n, tgt_n, joined_rows``.
-    Missing keys give one row with a null ``column_name``.  ``src_n`` and ``tgt_n`` are the
+    Missing keys give a line with a null ``column_name``.  ``src_n`` and ``tgt_n`` are the
     rows behind the line and ``joined_rows`` the rows a join on the keys would show for it.
-    With ``unique_keys`` no second pass over the data is planned; keys that are not unique
-    after all are then reported as ``duplicate_key`` instead of being compared.
+
+    ``unique_keys`` says that no key has several rows on a side; one join then does it all.
+    ``duplicates`` is a stored result of ``keys_to_multiply`` for the same arguments.  Being
+    a file of known size, Spark broadcasts it if it is small, and shuffles it if not.
     """
     cells = _cells(source, target, mapping, keys)
-    once = _grouped_by_key(cells)
-    lines = _key_lines(cells, unique_keys)
-    result = _inline(
-        cells,
-        once.where(_is_unpaired(unique_keys) | (_is_single() & _any_diff(cells))),
-        F.when(_is_single(), _cell_array(cells)).otherwise(lines),
-    )
+    settled = _joined(cells) if unique_keys else _grouped(cells)
+    result = _inline(cells, settled, f"if({_SINGLE}, {cells.lines()}, {cells.key_lines()})")
     if unique_keys:
         return result
-    pairs = _pairs(cells, max_pairs)
-    paired = _inline(cells, pairs.where(_any_diff(cells)), _cell_array(cells))
-    return result.unionByName(paired).unionByName(_factorised(cells, max_pairs))
+    pairs, values = _duplicate_keys(cells, duplicates, max_pairs)
+    return result.unionByName(_inline(cells, pairs, cells.lines())).unionByName(values)
+
+
+def keys_to_multiply(
+    source: DataFrame, target: DataFrame, mapping: Pairs, keys: Pairs
+) -> DataFrame:
+    """Keys found on both sides, on one of them more than once: ``<keys>, src_total, tgt_total``.
+
+    Reads the key columns only.
+    """
+    return _totals(_cells(source, target, mapping, keys))
 
 
 def mismatch_details(
@@ -100,31 +209,25 @@ def mismatch_details(
     """One row per differing joined row: ``<keys>, mismatch_details, src_n, tgt_n, joined_rows``.
 
     The detail lists ``column:source!=target`` for each differing cell in mapping order, or
-    tells on which side the key is missing.
+    tells on which side the key is missing.  Keys whose product is not built give a row per
+    distinct value, ``column:value in N source rows and M target rows``.
     """
     cells = _cells(source, target, mapping, keys)
-    once = _grouped_by_key(cells).where(
-        _is_unpaired(False) | (_is_single() & _any_diff(cells))
-    )
-    pairs = _pairs(cells, max_pairs).where(_any_diff(cells))
-    missing = _missing_kind()
-    if cells.cast_keys:
-        raw = [F.concat(F.lit(f"{k}:"), F.col("uncastable_key")[k]) for k in cells.cast_keys]
-        unread = F.concat_ws(",", F.lit(Kind.UNCASTABLE), *raw)
-        missing = F.when(F.col("uncastable_key").isNotNull(), unread).otherwise(missing)
-    detail = F.when(_is_single(), _details(cells)).otherwise(missing)
-    many = _factorised(cells, max_pairs)
-    many_detail = F.concat(
-        F.col("column_name"),
-        F.lit(":"),
-        F.coalesce("source_value", "target_value", F.lit("NULL")),
-        F.format_string(" in %s source rows and %s target rows", "src_n", "tgt_n"),
+    pairs, values = _duplicate_keys(cells, None, max_pairs)
+    value = (
+        "concat(column_name, ':', coalesce(source_value, target_value, 'NULL'),"
+        " format_string(' in %s source rows and %s target rows', src_n, tgt_n))"
     )
-    out = [field(k) for k in cells.keys]
+
+    def detailed(df: DataFrame, detail: str) -> DataFrame:
+        out = [*map(quoted, cells.keys), f"{detail} AS mismatch_details", *_COUNTS]
+        return df.selectExpr(*out)
+
+    once = f"if({_SINGLE}, {cells.details()}, {cells.key_detail()})"
     return (
-        once.select(*out, detail.alias("mismatch_details"), *_COUNTS)
-        .unionByName(pairs.select(*out, _details(cells).alias("mismatch_details"), *_COUNTS))
-        .unionByName(many.select(*out, many_detail.alias("mismatch_details"), *_COUNTS))
+        detailed(_grouped(cells), once)
+        .unionByName(detailed(pairs, cells.details()))
+        .unionByName(detailed(values, value))
     )
 
 
@@ -133,264 +236,186 @@ def _cells(source: DataFrame, target: DataFrame, mapping: Pairs, keys: Pairs) ->
     left, right = comparable_columns(sides.source), comparable_columns(sides.target)
     left, right = align_types(left, right, sides.keys, marker="uncastable_key")
     left, right = align_types(left, right, sides.columns)
-    union = both_sides(left, right)
-    row = [c for c in ("uncastable", *sides.columns) if c in union.columns]
-    cast = left.schema["uncastable"].dataType.names if "uncastable" in left.columns else []
-    cast_keys = (
-        left.schema["uncastable_key"].dataType.names if "uncastable_key" in left.columns else []
-    )
-    rows = union.select(
-        *[field(k) for k in sides.keys],
-        *(["uncastable_key"] if cast_keys else []),
-        F.struct(*([field(c) for c in row] or [F.lit(True).alias("__present")])).alias(_ROW),
-        IN_SOURCE,
-        IN_TARGET,
-    )
-    types = {c: union.schema[c].dataType for c in sides.columns}
-    return _Cells(rows, sides.keys, types, frozenset(cast), tuple(cast_keys))
-
-
-def _grouped_by_key(cells: _Cells) -> DataFrame:
-    """One row per key with its counts and, where it is the only one, the row of each side."""
-
-    def only_row(mark: str) -> Column:
-        return F.first(F.when(F.col(mark) == 1, F.col(_ROW)), ignorenulls=True)
-
-    src_n, tgt_n = F.sum(IN_SOURCE), F.sum(IN_TARGET)
-    return cells.rows.groupBy(*[field(c) for c in cells.group]).agg(
-        src_n.alias("src_n"),
-        tgt_n.alias("tgt_n"),
-        only_row(IN_SOURCE).alias(_SRC),
-        only_row(IN_TARGET).alias(_TGT),
-    ).withColumn(
-        "joined_rows",
-        F.when((F.col("src_n") > 0) & (F.col("tgt_n") > 0), F.col("src_n") * F.col("tgt_n"))
-        .otherwise(F.col("src_n") + F.col("tgt_n")),
-    )
-
-
-def _is_single() -> Column:
-    return (F.col("src_n") == 1) & (F.col("tgt_n") == 1)
-
-
-def _is_unpaired(duplicates_too: bool) -> Column:
-    missing = (F.col("src_n") == 0) | (F.col("tgt_n") == 0)
-    return missing | (F.col("src_n") > 1) | (F.col("tgt_n") > 1) if duplicates_too else missing
-
+    types = types_of(left.unionByName(right))
+
+    def cast_in(marker: str) -> list[str]:
+        return types[marker].names if marker in types else []
+
+    def widened(df: DataFrame) -> DataFrame:
+        own = types_of(df)
+        return df.selectExpr(
+            *[
+                quoted(c)
+                if own[c] == dtype
+                else f"CAST({quoted(c)} AS {dtype.simpleString()}) AS {quoted(c)}"
+                for c, dtype in types.items()
+            ]
+        )
 
-def _missing_kind() -> Column:
-    return F.when(F.col("tgt_n") == 0, Kind.MISSING_IN_TARGET).when(
-        F.col("src_n") == 0, Kind.MISSING_IN_SOURCE
+    return _Cells(
+        widened(left),
+        widened(right),
+        sides.keys,
+        {c: types[c] for c in sides.columns},
+        frozenset(cast_in("uncastable")),
+        tuple(cast_in("uncastable_key")),
     )
 
 
-def _source(name: str) -> Column:
-    return F.col(_SRC)[name]
-
-
-def _target(name: str) -> Column:
-    return F.col(_TGT)[name]
-
-
-def _raw(row: str, name: str) -> Column:
-    return F.col(row)["uncastable"][name]
-
-
-def _is_uncastable(cells: _Cells, name: str) -> Column:
-    if name not in cells.cast:
-        return F.lit(False)
-    return F.coalesce(_raw(_SRC, name), _raw(_TGT, name)).isNotNull()
-
-
-def _cell_diff(cells: _Cells, name: str) -> Column:
-    diff = null_aware_diff(_source(name), _target(name))
-    return _is_uncastable(cells, name) | diff if name in cells.cast else diff
+def _grouped(cells: _Cells) -> DataFrame:
+    """Keys on one side only, and keys with one row per side whose rows differ.
 
+    ``<keys>, [uncastable_key], src_n, tgt_n, joined_rows, __source_row, __target_row``
+    """
 
-def _any_diff(cells: _Cells) -> Column:
-    diffs = [_cell_diff(cells, name) for name in cells.types]
-    return reduce(lambda a, b: a | b, diffs, F.lit(False))
-
-
-def _text(cells: _Cells, row: str, name: str) -> Column:
-    text = as_text(F.col(row)[name], cells.types[name])
-    return F.coalesce(_raw(row, name), text) if name in cells.cast else text
-
+    def only_row(mark: str) -> str:
+        return f"first(if({mark} = 1, {_ROW}, NULL), true)"
 
-def _details(cells: _Cells) -> Column:
-    return F.concat_ws(
-        ",",
-        *[
-            F.when(
-                _cell_diff(cells, name),
-                detail_text(name, _text(cells, _SRC, name), _text(cells, _TGT, name)),
-            )
-            for name in cells.types
-        ],
+    return (
+        cells.rows.groupBy(*cells.group)
+        .agg(
+            F.expr(f"sum({IN_SOURCE}) AS src_n"),
+            F.expr(f"sum({IN_TARGET}) AS tgt_n"),
+            F.expr(f"{only_row(IN_SOURCE)} AS {_SRC}"),
+            F.expr(f"{only_row(IN_TARGET)} AS {_TGT}"),
+        )
+        .where(f"{_MISSING} OR ({_SINGLE} AND {cells.any_diff()})")
+        .selectExpr("*", "src_n + tgt_n - if(src_n > 0 AND tgt_n > 0, 1, 0) AS joined_rows")
     )
 
 
-def _line(column_name, source_value, target_value, kind) -> Column:
-    return F.struct(
-        column_name.cast("string").alias("column_name"),
-        source_value.cast("string").alias("source_value"),
-        target_value.cast("string").alias("target_value"),
-        kind.cast("string").alias("kind"),
-    )
-
+def _same_key(cells: _Cells, left: str, right: str) -> str:
+    return " AND ".join(f"{left}.{k} <=> {right}.{k}" for k in cells.group)
 
-def _cell_array(cells: _Cells) -> Column:
-    """A line per compared column; its kind is null where the cells agree."""
 
-    def kind(name: str) -> Column:
-        one_null = _source(name).isNull() | _target(name).isNull()
-        return (
-            F.when(_is_uncastable(cells, name), Kind.UNCASTABLE)
-            .when(_cell_diff(cells, name) & one_null, Kind.NULL_VS_VALUE)
-            .when(_cell_diff(cells, name), Kind.VALUE)
+def _joined(cells: _Cells) -> DataFrame:
+    """The same relation by a full outer join, for keys that are unique."""
+    # Marks tell presence; a key may be null on both sides.
+    source = cells.source.selectExpr("*", f"1L AS {IN_SOURCE}").alias("s")
+    target = cells.target.selectExpr("*", f"1L AS {IN_TARGET}").alias("t")
+    return (
+        source.join(target, F.expr(_same_key(cells, "s", "t")), "full_outer")
+        .selectExpr(
+            *[f"coalesce(s.{k}, t.{k}) AS {k}" for k in cells.group],
+            f"coalesce({IN_SOURCE}, 0L) AS src_n",
+            f"coalesce({IN_TARGET}, 0L) AS tgt_n",
+            "1L AS joined_rows",
+            f"{cells.row('s.')} AS {_SRC}",
+            f"{cells.row('t.')} AS {_TGT}",
         )
+        .where(f"{_MISSING} OR {cells.any_diff()}")
+    )
 
-    lines = [
-        _line(F.lit(name), _text(cells, _SRC, name), _text(cells, _TGT, name), kind(name))
-        for name in cells.types
-    ]
-    return F.array(*(lines or [_line(*[F.lit(None)] * 4)]))
-
-
-def _key_lines(cells: _Cells, unique_keys: bool) -> Column:
-    """The lines of a key that is not compared: missing, uncastable or duplicate."""
-    kind = _missing_kind().otherwise(Kind.DUPLICATE_KEY) if unique_keys else _missing_kind()
-    null = F.lit(None)
-    plain = F.array(_line(null, null, null, kind))
-    if not cells.cast_keys:
-        return plain
-
-    def uncastable(name: str) -> Column:
-        raw = F.col("uncastable_key")[name]
-        return _line(
-            F.lit(name),
-            F.when(F.col("src_n") > 0, raw),
-            F.when(F.col("tgt_n") > 0, raw),
-            F.when(raw.isNotNull(), Kind.UNCASTABLE),
-        )
 
-    return F.when(F.col("uncastable_key").isNull(), plain).otherwise(
-        F.array(*[uncastable(name) for name in cells.cast_keys])
-    )
+def _inline(cells: _Cells, rows: DataFrame, lines: str) -> DataFrame:
+    keys = [quoted(k) for k in cells.keys]
+    return rows.selectExpr(*keys, f"inline({lines})", *_COUNTS).where("kind IS NOT NULL")
 
 
-def _inline(cells: _Cells, rows: DataFrame, lines: Column) -> DataFrame:
+def _totals(cells: _Cells) -> DataFrame:
     return (
-        rows.select(*[field(k) for k in cells.keys], F.inline(lines), *_COUNTS)
-        .where(F.col("kind").isNotNull())
+        cells.rows.groupBy(*cells.group)
+        .agg(
+            F.expr(f"sum({IN_SOURCE}) AS src_total"),
+            F.expr(f"sum({IN_TARGET}) AS tgt_total"),
+        )
+        .where("src_total > 0 AND tgt_total > 0 AND (src_total > 1 OR tgt_total > 1)")
     )
 
 
-def _rows_of_duplicate_keys(cells: _Cells) -> DataFrame:
-    """The distinct rows of keys to be multiplied, with their copies and the key's totals.
+def _duplicate_keys(
+    cells: _Cells, stored: DataFrame | None, max_pairs: int
+) -> tuple[DataFrame, DataFrame]:
+    """The differing pairs of smaller duplicate keys, and the values of larger ones.
 
-    ``__key, __row, src_n, tgt_n, src_total, tgt_total``.  The rows are read a second time
-    only past a test that such keys exist.  Rows are counted per distinct row first, spread
-    by all columns; the join with the keys has one row per key on its right side, so that
-    adaptive execution can split a hot key on the left.  The key goes on as one struct: the
-    next grouping then shuffles anew, and does not tie that split to the join's partitions.
+    The rows are read a second time only past a test that such keys exist.  The join has one
+    row per key on its right side, so that adaptive execution can split a hot key on the
+    left.  The key goes on as a struct: the next grouping, which counts the copies
+    of each distinct row, then shuffles anew and does not tie that split to the join.
     """
-    group = [field(c) for c in cells.group]
-    totals = (
-        cells.rows.groupBy(*group)
-        .agg(F.sum(IN_SOURCE).alias("src_total"), F.sum(IN_TARGET).alias("tgt_total"))
-        .where("src_total > 0 AND tgt_total > 0 AND (src_total > 1 OR tgt_total > 1)")
-    )
+    totals = _totals(cells) if stored is None else stored
+    group = F.expr(f"struct({', '.join(f'r.{k}' for k in cells.group)}) AS {_GROUP}")
     counted = (
         cells.rows.where(totals.exists())
-        .groupBy(*group, _ROW)
-        .agg(F.sum(IN_SOURCE).alias("src_n"), F.sum(IN_TARGET).alias("tgt_n"))
+        .alias("r")
+        .join(totals.alias("d"), F.expr(_same_key(cells, "r", "d")))
+        .groupBy(group, "src_total", "tgt_total", _ROW)
+        .agg(F.expr(f"sum({IN_SOURCE}) AS src_n"), F.expr(f"sum({IN_TARGET}) AS tgt_n"))
     )
-    key = F.struct(*group).alias(_KEY)
-    return counted.select(key, _ROW, "src_n", "tgt_n").join(
-        totals.select(key, "src_total", "tgt_total"), _KEY
+    product = "src_total * tgt_total"
+    return (
+        _pairs(cells, counted.where(f"{product} <= {max_pairs}")),
+        _values(cells, counted.where(f"{product} > {max_pairs}")),
     )
 
 
-def _flat_key(cells: _Cells) -> list[Column]:
-    return [F.col(_GROUP)[_KEY][k].alias(k) for k in cells.keys]
+def _flat_key(cells: _Cells) -> list[str]:
+    return [f"{_GROUP}.{quoted(k)} AS {quoted(k)}" for k in cells.keys]
 
 
-def _pairs(cells: _Cells, max_pairs: int) -> DataFrame:
-    """Source rows against target rows of a duplicate key, at most ``max_pairs`` per key."""
-    row = F.struct(F.col(_ROW).alias("row"), F.col("src_n"), F.col("tgt_n"))
-    lists = (
-        _rows_of_duplicate_keys(cells)
-        .where(F.col("src_total") * F.col("tgt_total") <= max_pairs)
-        .groupBy(F.struct(_KEY).alias(_GROUP))
-        .agg(
-            F.collect_list(F.when(F.col("src_n") > 0, row)).alias("sources"),
-            F.collect_list(F.when(F.col("tgt_n") > 0, row)).alias("targets"),
-        )
-    )
+def _pairs(cells: _Cells, rows: DataFrame) -> DataFrame:
+    """Source rows against target rows of a key; the groups are bounded by the caller."""
+
+    def rows_of(count: str) -> str:
+        return f"collect_list(if({count} > 0, struct({_ROW} AS row, {count} AS n), NULL))"
+
     return (
-        lists.select(_GROUP, "targets", F.explode("sources").alias("s"))
-        .select(_GROUP, "s", F.explode("targets").alias("t"))
-        .select(
+        rows.groupBy(_GROUP)
+        .agg(F.expr(f"{rows_of('src_n')} AS sources"), F.expr(f"{rows_of('tgt_n')} AS targets"))
+        .selectExpr(_GROUP, "targets", "explode(sources) AS s")
+        .selectExpr(_GROUP, "s", "explode(targets) AS t")
+        .selectExpr(
             *_flat_key(cells),
-            F.col("s.row").alias(_SRC),
-            F.col("t.row").alias(_TGT),
-            F.col("s.src_n").alias("src_n"),
-            F.col("t.tgt_n").alias("tgt_n"),
-            (F.col("s.src_n") * F.col("t.tgt_n")).alias("joined_rows"),
+            f"s.row AS {_SRC}",
+            f"t.row AS {_TGT}",
+            "s.n AS src_n",
+            "t.n AS tgt_n",
+            "s.n * t.n AS joined_rows",
         )
+        .where(cells.any_diff())
     )
 
 
-def _factorised(cells: _Cells, max_pairs: int) -> DataFrame:
-    """The product of a larger duplicate key, given by the distinct values of each column.
+def _values(cells: _Cells, rows: DataFrame) -> DataFrame:
+    """The product of a key that is not built, given by the distinct values of each column.
 
     Of the ``src_total * tgt_total`` joined rows, those with this value in the source and
     another in the target number ``src_n * (tgt_total - tgt_n)``; summed over the lines of
     a column they are all joined rows whose cells differ.
     """
 
-    def value(name: str) -> Column:
+    def value(name: str) -> str:
         dtype = cells.types[name]
-        plain = plain_zero(F.col(_ROW)[name], dtype)
+        plain = plain_zero(f"{_ROW}.{quoted(name)}", dtype)
         text = as_text(plain, dtype)
         if name in cells.cast:
-            text = F.coalesce(_raw(_ROW, name), text)
+            text = f"coalesce({cells.raw(_ROW, name)}, {text})"
         # Two instants can print alike in the session's zone.
-        instant = F.unix_micros(plain) if isinstance(dtype, T.TimestampType) else F.lit(None)
-        return F.struct(
-            F.lit(name).alias("column_name"),
-            text.alias("value"),
-            instant.cast("bigint").alias("instant"),
+        instant = f"unix_micros({plain})" if isinstance(dtype, T.TimestampType) else "NULL"
+        return struct(
+            {
+                "column_name": literal(name),
+                "value": text,
+                "instant": f"CAST({instant} AS BIGINT)",
+            }
         )
 
-    if not cells.types:
-        values = F.array().cast("array<struct<column_name:string,value:string,instant:bigint>>")
-    else:
-        values = F.array(*[value(name) for name in cells.types])
-    src, tgt = F.col("src_n"), F.col("tgt_n")
+    none = "CAST(array() AS ARRAY<STRUCT<column_name: STRING, value: STRING, instant: BIGINT>>)"
+    values = f"array({', '.join(map(value, cells.types))})" if cells.types else none
+    totals = ("src_total", "tgt_total")
     return (
-        _rows_of_duplicate_keys(cells)
-        .where(F.col("src_total") * F.col("tgt_total") > max_pairs)
-        .select(_KEY, "src_total", "tgt_total", "src_n", "tgt_n", F.inline(values))
-        .groupBy(
-            F.struct(_KEY).alias(_GROUP),
-            "src_total",
-            "tgt_total",
-            "column_name",
-            "value",
-            "instant",
-        )
-        .agg(F.sum("src_n").alias("src_n"), F.sum("tgt_n").alias("tgt_n"))
-        .where((src < F.col("src_total")) | (tgt < F.col("tgt_total")))
-        .select(
+        rows.selectExpr(_GROUP, *totals, "src_n", "tgt_n", f"inline({values})")
+        .groupBy(_GROUP, *totals, "column_name", "value", "instant")
+        .agg(F.expr("sum(src_n) AS src_n"), F.expr("sum(tgt_n) AS tgt_n"))
+        .where("src_n < src_total OR tgt_n < tgt_total")
+        .selectExpr(
             *_flat_key(cells),
             "column_name",
-            F.when(src > 0, F.col("value")).alias("source_value"),
-            F.when(tgt > 0, F.col("value")).alias("target_value"),
-            F.lit(Kind.MANY_TO_MANY).alias("kind"),
+            "if(src_n > 0, value, NULL) AS source_value",
+            "if(tgt_n > 0, value, NULL) AS target_value",
+            f"'{Kind.MANY_TO_MANY}' AS kind",
             "src_n",
             "tgt_n",
-            (src * (F.col("tgt_total") - tgt)).alias("joined_rows"),
+            "src_n * (tgt_total - tgt_n) AS joined_rows",
         )
     )

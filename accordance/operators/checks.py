@@ -6,9 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accordance.functions.expressions import castable_from_text, field, uncastable_text
+from accordance.functions.expressions import (
+    castable_from_text,
+    literal,
+    quoted,
+    struct,
+    try_cast,
+    uncastable_text,
+)
 from accordance.model import Pairs, Status
-from accordance.operators.align import align_source_to_target, one_sided_columns, real_name
+from accordance.operators.align import (
+    align_source_to_target,
+    one_sided_columns,
+    real_names,
+    types_of,
+)
 from accordance.operators.cells import cell_diff
 from accordance.operators.keys import key_diff
 from accordance.operators.rows import diff_summary, row_diff
@@ -62,54 +74,60 @@ def schema_drift(
     """
     renamed = align_source_to_target(source, mapping or [])
     only_source, only_target = one_sided_columns(source, target, mapping)
-    changed = []
-    for f in target.schema:
-        name = real_name(renamed, f.name)
-        if name is not None and renamed.schema[name].dataType != f.dataType:
-            changed.append((f.name, renamed.schema[name].dataType, f.dataType))
+    old_types, new_types = types_of(renamed), types_of(target)
+    changed = [
+        (name, old_types[own], new_types[name])
+        for name, own in zip(target.columns, real_names(renamed, target.columns))
+        if own and old_types[own] != new_types[name]
+    ]
     counts = [
-        _unreadable(field(name), old, new).alias(f"n{i}")
+        f"CAST({_unreadable(quoted(name), old, new)} AS BIGINT) AS n{i}"
         for i, (name, old, new) in enumerate(changed)
     ]
-
-    def line(name, drift, old, new, unreadable) -> Column:
-        return F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit(drift).alias("drift"),
-            F.lit(old and old.simpleString()).cast("string").alias("source_type"),
-            F.lit(new and new.simpleString()).cast("string").alias("target_type"),
-            unreadable.cast("bigint").alias("unreadable_rows"),
-        )
-
-    null = F.lit(None)
+    null = "CAST(NULL AS BIGINT)"
     lines = [
-        *[line(c, "only_in_source", renamed.schema[c].dataType, None, null) for c in only_source],
-        *[line(c, "only_in_target", None, target.schema[c].dataType, null) for c in only_target],
+        *[_drift_line(c, "only_in_source", old_types[c], None, null) for c in only_source],
+        *[_drift_line(c, "only_in_target", None, new_types[c], null) for c in only_target],
         *[
-            line(name, "type_differs", old, new, F.col(f"n{i}"))
+            _drift_line(name, "type_differs", old, new, f"n{i}")
             for i, (name, old, new) in enumerate(changed)
         ],
     ]
     # Without drift the one line is filtered away and leaves the schema.
-    kept = lines or [line(None, None, None, None, null)]
+    kept = lines or [_drift_line(None, None, None, None, null)]
     return (
-        renamed.agg(*(counts or [F.lit(0).alias("n")]))
-        .select(F.inline(F.array(*kept)))
-        .where(F.col("drift").isNotNull())
+        renamed.agg(*[F.expr(c) for c in counts or ["0 AS n"]])
+        .selectExpr(f"inline(array({', '.join(kept)}))")
+        .where("drift IS NOT NULL")
+    )
+
+
+def _drift_line(name, drift, old: T.DataType | None, new: T.DataType | None, count: str) -> str:
+    def text(value) -> str:
+        return "CAST(NULL AS STRING)" if value is None else literal(value)
+
+    return struct(
+        {
+            "column_name": text(name),
+            "drift": text(drift),
+            "source_type": text(old and old.simpleString()),
+            "target_type": text(new and new.simpleString()),
+            "unreadable_rows": count,
+        }
     )
 
 
-def _unreadable(column: Column, old: T.DataType, new: T.DataType) -> Column:
+def _unreadable(column: str, old: T.DataType, new: T.DataType) -> str:
+    """An aggregate that counts the values of one type that are no value of the other."""
     if isinstance(new, T.StringType) and isinstance(old, T.AtomicType):
-        return F.lit(0)
-    simple = isinstance(old, T.StringType) and castable_from_text(new)
-    numbers = isinstance(old, T.NumericType) and isinstance(new, T.NumericType)
+        return "0"
+    if isinstance(old, T.StringType) and castable_from_text(new):
+        return f"count({uncastable_text(column, new)})"
     times = (T.DateType, T.TimestampType, T.TimestampNTZType)
-    if simple:
-        return F.count(uncastable_text(column, new))
+    numbers = isinstance(old, T.NumericType) and isinstance(new, T.NumericType)
     if numbers or (isinstance(old, times) and isinstance(new, times)):
-        return F.count_if(column.isNotNull() & column.try_cast(new).isNull())
-    return F.lit(None)
+        return f"count_if({column} IS NOT NULL AND {try_cast(column, new)} IS NULL)"
+    return "NULL"
 
 
 def _success_if(condition: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accordance.functions.expressions import field
+from accordance.functions.expressions import quoted
 from accordance.model import Kind, Pairs
 from accordance.operators.align import (
     IN_SOURCE,
@@ -28,7 +28,7 @@ def key_counts(source: DataFrame, target: DataFrame, keys: Pairs) -> DataFrame:
     )
     return (
         both_sides(left, right)
-        .groupBy(*[field(c) for c in left.columns])
+        .groupBy(*[quoted(c) for c in left.columns])
         .agg(F.sum(IN_SOURCE).alias("src_n"), F.sum(IN_TARGET).alias("tgt_n"))
     )
 

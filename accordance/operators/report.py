@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accordance.functions.expressions import epoch_second, field
+from accordance.functions.expressions import epoch_second, quoted
 from accordance.model import Status
 
 
@@ -48,7 +48,7 @@ def preview(df: DataFrame, n: int = 10, by: list[str] | None = None) -> DataFram
     """The first ``n`` rows by the given columns, then by all others: the same on each run."""
     first = by or []
     order = [*first, *[c for c in df.columns if c not in first]]
-    return df.orderBy(*[field(c).asc_nulls_first() for c in order]).limit(n)
+    return df.orderBy(*[F.asc_nulls_first(quoted(c)) for c in order]).limit(n)
 
 
 def cell_summary(cells: DataFrame) -> DataFrame:

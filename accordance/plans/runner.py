@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accordance.model import CHECK_RESULT_SCHEMA, ConfigError, Job, Kind, Status
-from accordance.operators.align import one_sided_columns, real_name
-from accordance.operators.cells import cell_diff
+from accordance.operators.align import one_sided_columns, real_names
+from accordance.operators.cells import cell_diff, keys_to_multiply
 from accordance.operators.checks import record_count, schema_drift
-from accordance.operators.keys import duplicate_keys, key_diff
+from accordance.operators.keys import key_diff
 from accordance.operators.report import preview, run_report, tag_results
 from accordance.operators.rows import only_counts, row_diff
 from accordance.operators.rules import SOURCE_VIEW, TARGET_VIEW, rule_violations
@@ -111,12 +111,14 @@ class _Sides:
 def _s2t(sides: _Sides) -> Callable[[], Outcome]:
     job = sides.job
     arguments = sides.source, sides.target, job.mapping, job.keys
-    plans = {unique: cell_diff(*arguments, unique_keys=unique) for unique in (True, False)}
-    duplicates = duplicate_keys(sides.source, sides.target, job.keys).where("joined_rows > 0")
+    by_join = cell_diff(*arguments, unique_keys=True)
+    duplicates = keys_to_multiply(*arguments)
 
     def run() -> Outcome:
-        # A look at the key columns alone spares the second pass where keys are unique.
-        cells = stage(plans[duplicates.isEmpty()], "cells")
+        # A look at the key columns alone settles how the rows have to be compared.
+        stored = stage(duplicates, "duplicates")
+        plan = by_join if stored.isEmpty() else cell_diff(*arguments, duplicates=stored)
+        cells = stage(plan, "cells")
         found = cells.agg(
             F.count("*").alias("n"),
             F.count_if(F.col("kind") == Kind.MISSING_IN_TARGET).alias("source_only"),
@@ -172,7 +174,8 @@ def _source_to_target(sides: _Sides) -> Callable[[], Outcome]:
 
 def _business_rule(sides: _Sides) -> Callable[[], Outcome]:
     result = rule_violations(sides.views, sides.job.rule_sql)
-    named = [pair for pair in sides.job.mapping if real_name(result, pair[0]) is not None]
+    own_names = real_names(result, [name for name, _ in sides.job.mapping])
+    named = [pair for pair, own in zip(sides.job.mapping, own_names) if own]
     plan = row_diff(result, sides.target, named)
 
     def run() -> Outcome:

@@ -2,61 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from accordance.functions.expressions import as_text, field
+from accordance.functions.expressions import as_text, literal, quoted, struct
 from accordance.model import ConfigError, Kind
-from accordance.operators.align import comparable_columns
+from accordance.operators.align import comparable_columns, types_of
 
 # The kinds of place results may be written to.
 TARGET_TYPES = ("hive", "parquet", "orc")
 
 
-def _json_of(df: DataFrame, names: list[str]) -> Column:
-    """The named columns of a row as one JSON text."""
-    row = F.struct(*[field(n).alias(n) for n in names])
-    return as_text(row, df.select(row.alias("r")).schema["r"].dataType)
-
-
-def _common(row_key, column_name, source_value, target_value, kind, src_n, tgt_n) -> list[Column]:
-    return [
-        row_key.alias("row_key"),
-        column_name.cast("string").alias("column_name"),
-        source_value.cast("string").alias("source_value"),
-        target_value.cast("string").alias("target_value"),
-        kind.alias("kind"),
-        src_n.cast("bigint").alias("src_n"),
-        tgt_n.cast("bigint").alias("tgt_n"),
-    ]
+def _common(
+    df: DataFrame,
+    names: list[str],
+    kind: str,
+    cell: tuple[str, str, str] = ("NULL", "NULL", "NULL"),
+    counts: tuple[str, str] = ("NULL", "NULL"),
+) -> DataFrame:
+    """The rows in the common columns; the named columns become one JSON text."""
+    types = types_of(df)
+    row = T.StructType([T.StructField(name, types[name]) for name in names])
+    key = as_text(struct({name: quoted(name) for name in names}), row)
+    column_name, source_value, target_value = cell
+    src_n, tgt_n = counts
+    return df.selectExpr(
+        f"{key} AS row_key",
+        f"CAST({column_name} AS STRING) AS column_name",
+        f"CAST({source_value} AS STRING) AS source_value",
+        f"CAST({target_value} AS STRING) AS target_value",
+        f"{kind} AS kind",
+        f"CAST({src_n} AS BIGINT) AS src_n",
+        f"CAST({tgt_n} AS BIGINT) AS tgt_n",
+    )
 
 
 def cell_results(cells: DataFrame, keys: list[str]) -> DataFrame:
-    line = [F.col(c) for c in ("column_name", "source_value", "target_value", "kind")]
-    return cells.select(*_common(_json_of(cells, keys), *line, F.col("src_n"), F.col("tgt_n")))
+    cell = "column_name", "source_value", "target_value"
+    return _common(cells, keys, "kind", cell, ("src_n", "tgt_n"))
 
 
 def row_results(diff: DataFrame) -> DataFrame:
     names = [c for c in diff.columns if c not in ("src_n", "tgt_n")]
-    more = F.col("src_n") > F.col("tgt_n")
-    kind = F.when(more, Kind.SOURCE_ONLY).otherwise(Kind.TARGET_ONLY)
-    null = F.lit(None)
-    counts = F.col("src_n"), F.col("tgt_n")
-    return diff.select(*_common(_json_of(diff, names), null, null, null, kind, *counts))
+    kind = f"if(src_n > tgt_n, '{Kind.SOURCE_ONLY}', '{Kind.TARGET_ONLY}')"
+    return _common(diff, names, kind, counts=("src_n", "tgt_n"))
 
 
 def key_results(diff: DataFrame) -> DataFrame:
-    names = [c for c in diff.columns if c != "kind"]
-    null = F.lit(None)
-    kind = F.col("kind")
-    return diff.select(*_common(_json_of(diff, names), null, null, null, kind, null, null))
+    return _common(diff, [c for c in diff.columns if c != "kind"], "kind")
 
 
 def violation_results(rows: DataFrame) -> DataFrame:
     rows = comparable_columns(rows)
-    null = F.lit(None)
-    key = _json_of(rows, rows.columns)
-    return rows.select(*_common(key, null, null, null, F.lit(Kind.VIOLATION), F.lit(1), null))
+    return _common(rows, rows.columns, literal(Kind.VIOLATION), counts=("1", "NULL"))
 
 
 def write_results(df: DataFrame, target_type: str, location: str) -> None:
