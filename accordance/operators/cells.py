@@ -328,16 +328,18 @@ def _duplicate_keys(
 ) -> tuple[DataFrame, DataFrame]:
     """The differing pairs of smaller duplicate keys, and the values of larger ones.
 
-    The rows are read a second time only past a test that such keys exist.  The join has one
+    Unless the keys are stored, the rows pass a test that there are such keys.  The join has one
     row per key on its right side, so that adaptive execution can split a hot key on the
     left.  The key goes on as a struct: the next grouping, which counts the copies
     of each distinct row, then shuffles anew and does not tie that split to the join.
     """
-    totals = _totals(cells) if stored is None else stored
+    rows, totals = cells.rows, stored
+    if totals is None:
+        totals = _totals(cells)
+        rows = rows.where(totals.exists())
     group = F.expr(f"struct({', '.join(f'r.{k}' for k in cells.group)}) AS {_GROUP}")
     counted = (
-        cells.rows.where(totals.exists())
-        .alias("r")
+        rows.alias("r")
         .join(totals.alias("d"), F.expr(_same_key(cells, "r", "d")))
         .groupBy(group, "src_total", "tgt_total", _ROW)
         .agg(F.expr(f"sum({IN_SOURCE}) AS src_n"), F.expr(f"sum({IN_TARGET}) AS tgt_n"))

@@ -111,14 +111,13 @@ class _Sides:
 def _s2t(sides: _Sides) -> Callable[[], Outcome]:
     job = sides.job
     arguments = sides.source, sides.target, job.mapping, job.keys
-    by_join = cell_diff(*arguments, unique_keys=True)
     duplicates = keys_to_multiply(*arguments)
 
     def run() -> Outcome:
         # A look at the key columns alone settles how the rows have to be compared.
         stored = stage(duplicates, "duplicates")
-        plan = by_join if stored.isEmpty() else cell_diff(*arguments, duplicates=stored)
-        cells = stage(plan, "cells")
+        how = {"unique_keys": True} if stored.isEmpty() else {"duplicates": stored}
+        cells = stage(cell_diff(*arguments, **how), "cells")
         found = cells.agg(
             F.count("*").alias("n"),
             F.count_if(F.col("kind") == Kind.MISSING_IN_TARGET).alias("source_only"),
