@@ -42,14 +42,25 @@ def cell_results(cells: DataFrame, keys: list[str]) -> DataFrame:
     return _common(cells, keys, "kind", cell, ("src_n", "tgt_n"))
 
 
+def _unread(df: DataFrame, marker: str, in_source: str) -> tuple[str, str, str]:
+    """The raw text of unreadable cells as the value of its side."""
+    if marker not in df.columns:
+        return "NULL", "NULL", "NULL"
+    raw = f"to_json({marker})"
+    return "NULL", f"if({in_source}, {raw}, NULL)", f"if({in_source}, NULL, {raw})"
+
+
 def row_results(diff: DataFrame) -> DataFrame:
-    names = [c for c in diff.columns if c not in ("src_n", "tgt_n")]
+    names = [c for c in diff.columns if c not in ("uncastable", "src_n", "tgt_n")]
     kind = f"if(src_n > tgt_n, '{Kind.SOURCE_ONLY}', '{Kind.TARGET_ONLY}')"
-    return _common(diff, names, kind, counts=("src_n", "tgt_n"))
+    cell = _unread(diff, "uncastable", "src_n > tgt_n")
+    return _common(diff, names, kind, cell, ("src_n", "tgt_n"))
 
 
 def key_results(diff: DataFrame) -> DataFrame:
-    return _common(diff, [c for c in diff.columns if c != "kind"], "kind")
+    names = [c for c in diff.columns if c not in ("uncastable_key", "kind")]
+    cell = _unread(diff, "uncastable_key", f"kind = '{Kind.MISSING_IN_TARGET}'")
+    return _common(diff, names, "kind", cell)
 
 
 def violation_results(rows: DataFrame) -> DataFrame:
