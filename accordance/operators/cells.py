@@ -90,8 +90,6 @@ class _Cells:
         return f"coalesce({self.raw(row, name)}, {text})" if name in self.cast else text
 
     def uncastable(self, name: str) -> str:
-        if name not in self.cast:
-            return "false"
         return f"coalesce({self.raw(_SRC, name)}, {self.raw(_TGT, name)}) IS NOT NULL"
 
     def diff(self, name: str) -> str:
@@ -107,11 +105,10 @@ class _Cells:
 
     def _cell_line(self, name: str) -> str:
         one_null = f"({_SRC}.{quoted(name)} IS NULL OR {_TGT}.{quoted(name)} IS NULL)"
-        kind = (
-            f"CASE WHEN {self.uncastable(name)} THEN '{Kind.UNCASTABLE}'"
-            f" WHEN {self.diff(name)} AND {one_null} THEN '{Kind.NULL_VS_VALUE}'"
-            f" WHEN {self.diff(name)} THEN '{Kind.VALUE}' END"
-        )
+        kind = f"if({one_null}, '{Kind.NULL_VS_VALUE}', '{Kind.VALUE}')"
+        if name in self.cast:
+            kind = f"if({self.uncastable(name)}, '{Kind.UNCASTABLE}', {kind})"
+        kind = f"if({self.diff(name)}, {kind}, NULL)"
         return _line(literal(name), self.text(_SRC, name), self.text(_TGT, name), kind)
 
     def details(self) -> str:

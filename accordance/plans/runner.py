@@ -297,12 +297,14 @@ def run_job(
     results_type: str = "hive",
     results_location: str = RESULTS_TABLE,
     audit_table: str = AUDIT_TABLE,
+    report_table: str | None = None,
     reader_options: dict[str, dict[str, str]] | None = None,
 ) -> Run:
     """Run the checks of one job in listed order.
 
     A wrong job raises ``ConfigError`` before any data is read.  Trouble with the data makes
-    that check an ERROR and does not stop the next one.
+    that check an ERROR and does not stop the next one.  Difference rows and audit events are
+    stored if the job says so, and the report if a table is named for it.
     """
     job.validate()
     run_id = run_id or uuid.uuid4().hex
@@ -364,7 +366,10 @@ def run_job(
         [(job.job_name, job.notify_on_success, job.notify_on_failure)],
         "job_name string, notify_on_success string, notify_on_failure string",
     )
-    return Run(run_id, check_results, run_report(check_results, flags), event_rows, previews)
+    report = run_report(check_results, flags)
+    if report_table:
+        report.coalesce(1).write.mode("append").saveAsTable(report_table)
+    return Run(run_id, check_results, report, event_rows, previews)
 
 
 def run_suite(spark: SparkSession, jobs: DataFrame, run_id: str | None = None, **options) -> DataFrame:

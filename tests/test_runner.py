@@ -217,3 +217,20 @@ def test_suite_goes_on_after_a_wrong_job(spark, employees):
     rows = [tuple(j.__dict__[n] for n in JOBS_SCHEMA.names) for j in jobs]
     found = ac.run_suite(spark, spark.createDataFrame(rows, JOBS_SCHEMA)).collect()
     assert {(r["job_name"], r["status"]) for r in found} == {("bad", "ERROR"), ("good", "SUCCESS")}
+
+
+def test_command_line(spark, employees):
+    from accordance.__main__ import main, reader_options
+
+    path = new_folder(spark, "jobs.parquet")
+    good = change(employees, job_name="good", checks="record_count")
+    rows = [tuple(good.__dict__[n] for n in JOBS_SCHEMA.names)]
+    spark.createDataFrame(rows, JOBS_SCHEMA).write.parquet(path)
+    table = "report_" + path.split("/")[-2]
+    assert main(["parquet", path, "good", "--report-table", table]) == "SUCCESS"
+    assert spark.table(table).count() == 1
+    assert main(["local", path]) == "SUCCESS"
+    assert reader_options(["jdbc.url=jdbc:x?a=b", "csv.delimiter=;"]) == {
+        "jdbc": {"url": "jdbc:x?a=b"},
+        "csv": {"delimiter": ";"},
+    }
