@@ -174,7 +174,7 @@ def cell_diff(
     rows behind the line and ``joined_rows`` the rows a join on the keys would show for it.
 
     ``unique_keys`` says that no key has several rows on a side; one join then does it all.
-    ``duplicates`` is a stored result of ``keys_to_multiply`` for the same arguments.  Being
+    ``duplicates`` is a stored result of ``keys_not_unique`` for the same arguments.  Being
     a file of known size, Spark broadcasts it if it is small, and shuffles it if not.
     """
     cells = _cells(source, target, mapping, keys)
@@ -186,12 +186,12 @@ def cell_diff(
     return result.unionByName(_inline(cells, pairs, cells.lines())).unionByName(values)
 
 
-def keys_to_multiply(
+def keys_not_unique(
     source: DataFrame, target: DataFrame, mapping: Pairs, keys: Pairs
 ) -> DataFrame:
-    """Keys found on both sides, on one of them more than once: ``<keys>, src_total, tgt_total``.
+    """Keys with more than one row on a side: ``<keys>, src_total, tgt_total``.
 
-    Reads the key columns only.
+    Reads the key columns only.  If there are none, no key is hot on either side.
     """
     return _totals(_cells(source, target, mapping, keys))
 
@@ -316,7 +316,7 @@ def _totals(cells: _Cells) -> DataFrame:
             F.expr(f"sum({IN_SOURCE}) AS src_total"),
             F.expr(f"sum({IN_TARGET}) AS tgt_total"),
         )
-        .where("src_total > 0 AND tgt_total > 0 AND (src_total > 1 OR tgt_total > 1)")
+        .where("src_total > 1 OR tgt_total > 1")
     )
 
 
@@ -330,10 +330,9 @@ def _duplicate_keys(
     left.  The key goes on as a struct: the next grouping, which counts the copies
     of each distinct row, then shuffles anew and does not tie that split to the join.
     """
-    rows, totals = cells.rows, stored
-    if totals is None:
-        totals = _totals(cells)
-        rows = rows.where(totals.exists())
+    # Keys of one side only have nothing to be multiplied with.
+    totals = (_totals(cells) if stored is None else stored).where("src_total * tgt_total > 0")
+    rows = cells.rows.where(totals.exists()) if stored is None else cells.rows
     group = F.expr(f"struct({', '.join(f'r.{k}' for k in cells.group)}) AS {_GROUP}")
     counted = (
         rows.alias("r")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from accordance.model import CHECK_RESULT_SCHEMA, ConfigError, Job, Kind, Status
 from accordance.operators.align import one_sided_columns, real_names
-from accordance.operators.cells import cell_diff, keys_to_multiply
+from accordance.operators.cells import cell_diff, keys_not_unique
 from accordance.operators.checks import record_count, schema_drift
 from accordance.operators.keys import key_diff
 from accordance.operators.report import preview, run_report, tag_results
@@ -31,6 +31,7 @@ from accordance.sinks.results import (
 from accordance.sources.jobs import normalize_jobs
 from accordance.sources.readers import read
 
+# The tables written to unless others are named.
 RESULTS_TABLE, AUDIT_TABLE = "recon_results", "recon_audit_log"
 
 
@@ -111,7 +112,7 @@ class _Sides:
 def _s2t(sides: _Sides) -> Callable[[], Outcome]:
     job = sides.job
     arguments = sides.source, sides.target, job.mapping, job.keys
-    duplicates = keys_to_multiply(*arguments)
+    duplicates = keys_not_unique(*arguments)
 
     def run() -> Outcome:
         # A look at the key columns alone settles how the rows have to be compared.

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import accordance as ac
-from accordance.operators.cells import keys_to_multiply
+from accordance.operators.cells import keys_not_unique
 from accordance.operators.rows import only_counts
 from accordance.plans.workspace import stage
 from showcase import queries as q
@@ -51,7 +51,7 @@ def rows_check(source: DataFrame, target: DataFrame, mapping) -> None:
 
 
 def cells_check(source: DataFrame, target: DataFrame, mapping, keys) -> None:
-    duplicates = stage(keys_to_multiply(source, target, mapping, keys), "duplicates")
+    duplicates = stage(keys_not_unique(source, target, mapping, keys), "duplicates")
     if duplicates.isEmpty():
         plan = ac.cell_diff(source, target, mapping, keys, unique_keys=True)
     else:

@@ -209,7 +209,7 @@ def row_diff_of_text(spark, sf_dir):
 
 
 def row_diff_of_documents(spark, sf_dir):
-    """Whole texts, compared between the even and the odd sources: copies match, once each."""
+    """Whole texts, the first two sources against all others: copies cancel one by one."""
     documents = table(spark, sf_dir, "documents").select("text", "lang", "source")
     first = documents.where("source < 'src2'").drop("source")
     second = documents.where("source >= 'src2'").drop("source")

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import accordance as ac
-from accordance.operators.cells import keys_to_multiply
+from accordance.operators.cells import keys_not_unique
 
 SCHEMA = "k int, v string, x double"
 SAME = [("k", "k"), ("v", "v"), ("x", "x")]
@@ -68,7 +68,7 @@ def test_joined_rows_equal_nested_loops(spark, source, target, max_pairs):
     s, t = spark.createDataFrame(source, SCHEMA), spark.createDataFrame(target, SCHEMA)
     expected = joined_cells(source, target)
     assert counted(ac.cell_diff(s, t, SAME, KEY, max_pairs=max_pairs)) == expected
-    stored = keys_to_multiply(s, t, SAME, KEY)
+    stored = keys_not_unique(s, t, SAME, KEY)
     assert counted(ac.cell_diff(s, t, SAME, KEY, duplicates=stored)) == expected
     # The join gives one line per joined row, so it agrees whatever the keys.
     assert counted(ac.cell_diff(s, t, SAME, KEY, unique_keys=True)) == expected

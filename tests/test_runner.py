@@ -234,3 +234,26 @@ def test_command_line(spark, employees):
         "jdbc": {"url": "jdbc:x?a=b"},
         "csv": {"delimiter": ";"},
     }
+
+
+def test_repeated_key_of_one_side_gives_one_line(spark):
+    folders = [new_folder(spark, f"{side}.parquet") for side in ("source", "target")]
+    spark.createDataFrame([(1, "a"), (1, "b"), (1, "a"), (2, "c")], "k int, v string").write.parquet(
+        folders[0]
+    )
+    spark.createDataFrame([(2, "d")], "k int, v string").write.parquet(folders[1])
+    job = Job(
+        job_name="one_side",
+        source_type="parquet",
+        source_location=folders[0],
+        target_type="parquet",
+        target_location=folders[1],
+        checks="s2t",
+        column_mapping="k:k,v:v",
+        key_mapping="k",
+    )
+    rows = ac.run_job(spark, job).previews["s2t"].collect()
+    assert [(r["k"], r["kind"], r["src_n"], r["tgt_n"]) for r in rows] == [
+        (1, "missing_in_target", 3, 0),
+        (2, "value", 1, 1),
+    ]
