@@ -2,11 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as contract
+from showcase.oracles import ORACLES
+from showcase.queries import QUERIES
 from tests.compare import duckdb_result, spark_result
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
-
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
