@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from accordance.llm import op2_nbsvm as op2
 from accordance.llm import op4_url_reputation as op4
 from accordance.llm import op5_winnowing as op5
+from accordance.llm import op6_weak_toxicity as op6
 from accordance.llm import op7_arc as op7
 from accordance.llm import op10_pivots as op10
 from accordance.llm.tables import table, words_of
@@ -19,6 +21,10 @@ URL_RULES = {
 }
 
 
+def op2_nbsvm_quality(spark, sf_dir):
+    return op2.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_url_reputation(spark, sf_dir):
     """A page is bad if its label says toxic or of low quality."""
     labels = table(spark, sf_dir, "labels")
@@ -43,6 +49,10 @@ def op5_winnowing(spark, sf_dir):
     )
 
 
+def op6_weak_toxicity(spark, sf_dir):
+    return op6.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_arc_to_warc(spark, sf_dir):
     return op7.archive_pages(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -56,5 +66,12 @@ def op10_pivot_topk(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op4_url_reputation, op5_winnowing, op7_arc_to_warc, op10_pivot_topk)
+    for f in (
+        op2_nbsvm_quality,
+        op4_url_reputation,
+        op5_winnowing,
+        op6_weak_toxicity,
+        op7_arc_to_warc,
+        op10_pivot_topk,
+    )
 }
