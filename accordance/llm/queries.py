@@ -9,6 +9,7 @@ from accordance.llm import op4_url_reputation as op4
 from accordance.llm import op5_winnowing as op5
 from accordance.llm import op6_weak_toxicity as op6
 from accordance.llm import op7_arc as op7
+from accordance.llm import op9_lsh_forest as op9
 from accordance.llm import op10_pivots as op10
 from accordance.llm.tables import table, words_of
 
@@ -59,6 +60,10 @@ def op7_arc_to_warc(spark, sf_dir):
     )
 
 
+def op9_lsh_forest(spark, sf_dir):
+    return op9.similar_classes(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op10_pivot_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return op10.top_k(vectors, F.col("vec_id") % 50 == 0)
@@ -72,6 +77,7 @@ QUERIES = {
         op5_winnowing,
         op6_weak_toxicity,
         op7_arc_to_warc,
+        op9_lsh_forest,
         op10_pivot_topk,
     )
 }
