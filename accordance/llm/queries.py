@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from accordance.llm import op1_mixing as op1
 from accordance.llm import op2_nbsvm as op2
 from accordance.llm import op4_url_reputation as op4
 from accordance.llm import op5_winnowing as op5
@@ -22,6 +23,17 @@ URL_RULES = {
 }
 
 
+def op1_temperature_mixing(spark, sf_dir):
+    """Sources at weights at which none passes more than one and a half times."""
+    return op1.mixed(table(spark, sf_dir, "documents"), max_passes=1.5).select(
+        "doc_id",
+        "source",
+        F.col("mix_tokens").alias("n_tokens"),
+        F.col("mix_epoch").alias("epoch"),
+        F.col("mix_place").alias("place"),
+    )
+
+
 def op2_nbsvm_quality(spark, sf_dir):
     return op2.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -72,6 +84,7 @@ def op10_pivot_topk(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_temperature_mixing,
         op2_nbsvm_quality,
         op4_url_reputation,
         op5_winnowing,
