@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from accordance.llm import op1_mixing as op1
 from accordance.llm import op2_nbsvm as op2
+from accordance.llm import op3_cross_entropy as op3
 from accordance.llm import op4_url_reputation as op4
 from accordance.llm import op5_winnowing as op5
 from accordance.llm import op6_weak_toxicity as op6
@@ -38,6 +39,13 @@ def op2_nbsvm_quality(spark, sf_dir):
     return op2.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_cross_entropy(spark, sf_dir):
+    """The target are the documents that a label calls good."""
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return op3.cross_entropy_difference(docs, docs.join(good, "doc_id", "left_semi"))
+
+
 def op4_url_reputation(spark, sf_dir):
     """A page is bad if its label says toxic or of low quality."""
     labels = table(spark, sf_dir, "labels")
@@ -86,6 +94,7 @@ QUERIES = {
     for f in (
         op1_temperature_mixing,
         op2_nbsvm_quality,
+        op3_cross_entropy,
         op4_url_reputation,
         op5_winnowing,
         op6_weak_toxicity,
