@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from accordance.llm import op1_mixing as op1
@@ -11,10 +12,14 @@ from accordance.llm import op4_url_reputation as op4
 from accordance.llm import op5_winnowing as op5
 from accordance.llm import op6_weak_toxicity as op6
 from accordance.llm import op7_arc as op7
+from accordance.llm import op8_token_file as op8
 from accordance.llm import op9_lsh_forest as op9
 from accordance.llm import op10_pivots as op10
 from accordance.llm.tables import table, words_of
 
+#: The tokenizer file of this environment, and the id that ends a document.
+TOKENIZER, END_ID = public_tokenizers.path("word_bpe_49k.json"), 1
+
 #: The rules of the URL query.
 URL_RULES = {
     "net/": op4.BLOCK,
@@ -80,6 +85,10 @@ def op7_arc_to_warc(spark, sf_dir):
     )
 
 
+def op8_token_file(spark, sf_dir):
+    return op8.tokenized(table(spark, sf_dir, "documents"), op8.word_ids(TOKENIZER, END_ID))
+
+
 def op9_lsh_forest(spark, sf_dir):
     return op9.similar_classes(table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -99,6 +108,7 @@ QUERIES = {
         op5_winnowing,
         op6_weak_toxicity,
         op7_arc_to_warc,
+        op8_token_file,
         op9_lsh_forest,
         op10_pivot_topk,
     )
