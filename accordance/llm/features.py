@@ -130,23 +130,24 @@ def labelled_sample(
 
 
 def scored(
-    docs: DataFrame, weights: np.ndarray, bias: float, slope: float, offset: float,
-    slots: Extract,
+    docs: DataFrame, weights: np.ndarray, bias: float, slope: float, offset: float, slots: Extract,
+    columns: list[str], name: str = "score",
 ) -> DataFrame:
-    """doc_id and the score of each text: the logistic of slope * (its weights + bias) + offset."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """These columns and the score of each text: the logistic of slope * (its weights + bias) + offset."""
     weights = weights.astype(np.float32)
+    rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias(f"{name}_text"))
+    schema = rows.schema[: len(columns)].add(name, "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             margins = np.zeros(batch.num_rows)
-            for start, some in chunks(batch.column("text").to_pylist()):
+            for start, some in chunks(batch.columns[-1].to_pylist()):
                 doc, found = slots(some)
                 margins[start : start + len(some)] = np.bincount(doc, weights[found], len(some))
             scores = 1 / (1 + np.exp(-np.clip(slope * (margins + bias) + offset, -50, 50)))
-            yield pa.record_batch([batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
+            yield pa.record_batch([*batch.columns[:-1], pa.array(scores)], names=[*columns, name])
 
-    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, score double")
+    return rows.mapInArrow(score, schema)
 
 
 def calibration(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:

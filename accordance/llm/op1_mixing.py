@@ -31,7 +31,6 @@ from accordance.llm.tables import keep
 BLOCK_ROWS = 4096
 #: Exponents tried at a time, and rounds; the exponent is known to STEPS ** -ROUNDS.
 STEPS, ROUNDS = 32, 5
-OWN = ("mix_source", "mix_tokens", "mix_key", "mix_epoch", "mix_place")
 
 
 def token_count(text: Column) -> Column:
@@ -128,13 +127,15 @@ def _order(*parts) -> Column:
 def mixed(
     docs: DataFrame, entropy: float | None = None, max_passes: float | None = 1.5, seed: int = 1
 ) -> DataFrame:
-    """The rows of docs as often as they are taken, with the columns of ``OWN``; docs have doc_id, text and source."""
-    rows = docs.withColumns(
-        {
-            "mix_source": F.coalesce(F.col("source").cast("string"), F.lit("")),
-            "mix_tokens": token_count(F.col("text")),
-            "mix_key": F.xxhash64(F.lit(seed), "doc_id", "text"),
-        }
+    """The rows of docs (column ``row``) as often as they are taken.
+
+    Also mix_source, mix_tokens, mix_epoch (which pass) and mix_place; docs have doc_id, text and source.
+    """
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("mix_source"),
+        token_count(F.col("text")).alias("mix_tokens"),
+        F.xxhash64(F.lit(seed), "doc_id", "text").alias("mix_key"),
     )
     narrow = keep(rows.select("mix_source", "mix_tokens", "mix_key"), "tokens")
     plan = budgets(narrow, entropy, max_passes)
@@ -171,5 +172,5 @@ def mixed(
         each.withColumn("_ahead", before)
         .where((at < F.col("budget")) | (F.col("mix_epoch") == 1))
         .withColumn("mix_place", F.when(F.col("budget") > 0, at / F.col("budget")).otherwise(0.0))
-        .select(*docs.columns, *OWN)
+        .select("row", "mix_source", "mix_tokens", "mix_epoch", "mix_place")
     )

@@ -87,7 +87,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Data
     """doc_id, held_out, score, predicted; labels of held-out documents aren't used."""
     known = labels.where(bucket(F.col("doc_id"), 4) != 2)
     y, x = labelled_sample(docs, known, "quality", rows, quality_slots)
-    out = scored(docs, *fit(y, x), quality_slots)
+    out = scored(docs, *fit(y, x), quality_slots, ["doc_id"])
     return out.select(
         "doc_id",
         F.coalesce(bucket(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),

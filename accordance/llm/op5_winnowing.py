@@ -205,3 +205,10 @@ def marked(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     )
     same = F.col("_doc").eqNullSafe(F.col("doc_id")) & F.col("_key").eqNullSafe(F.xxhash64("text"))
     return docs.join(found, same, "left").drop("_doc", "_key")
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """The documents that hold no window of any item, with all their columns."""
+    found = keep(contamination(docs, items, window).select("doc_id", "text_key"), "contaminated")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & F.xxhash64("d.text").eqNullSafe(F.col("f.text_key"))
+    return docs.alias("d").join(found.alias("f"), same, "left_anti")

@@ -161,10 +161,20 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Dat
     """doc_id, held_out, score, predicted; labels of held-out documents aren't used."""
     known = labels.where(bucket(F.col("doc_id"), 5) != 0)
     y, x = labelled_sample(docs, known, "toxic", rows, toxic_slots)
-    out = scored(docs, *fit(y, x), toxic_slots)
+    out = scored(docs, *fit(y, x), toxic_slots, ["doc_id"])
     return out.select(
         "doc_id",
         F.coalesce(bucket(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = ROWS, limit: float = 0.5) -> DataFrame:
+    """The documents whose score is below the limit, with all their columns."""
+    known = labels.where(bucket(F.col("doc_id"), 5) != 0)
+    y, x = labelled_sample(docs, known, "toxic", rows, toxic_slots)
+    name = "score"
+    while any(c.startswith(name) for c in docs.columns):
+        name += "_"
+    return scored(docs, *fit(y, x), toxic_slots, docs.columns, name).where(F.col(name) < limit).drop(name)

@@ -31,9 +31,9 @@ URL_RULES = {
 
 def op1_temperature_mixing(spark, sf_dir):
     """Sources at weights at which none passes more than one and a half times."""
-    return op1.mixed(table(spark, sf_dir, "documents"), max_passes=1.5).select(
-        "doc_id",
-        "source",
+    return op1.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), max_passes=1.5).select(
+        "row.doc_id",
+        "row.source",
         F.col("mix_tokens").alias("n_tokens"),
         F.col("mix_epoch").alias("epoch"),
         F.col("mix_place").alias("place"),
@@ -90,7 +90,7 @@ def op8_token_file(spark, sf_dir):
 
 
 def op9_lsh_forest(spark, sf_dir):
-    return op9.similar_classes(table(spark, sf_dir, "documents")).drop("text_key")
+    return op9.similar_classes(table(spark, sf_dir, "documents")).drop("text_key", "class_node")
 
 
 def op10_pivot_topk(spark, sf_dir):

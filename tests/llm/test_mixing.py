@@ -61,19 +61,19 @@ def test_passes_are_whole_permutations_of_blocks(spark, monkeypatch):
     got = m.mixed(spark.createDataFrame(rows, SCHEMA), max_passes=3.5).collect()
     passes = defaultdict(set)
     for r in got:
-        passes[r.source, r.mix_epoch].add(r.doc_id)
+        passes[r.row.source, r.mix_epoch].add(r.row.doc_id)
     big, small = {n for n in range(1000) if n % 10}, {n for n in range(1000) if not n % 10}
     assert passes["big", 1] == big and ("big", 2) not in passes
     assert passes["small", 1] == passes["small", 2] == passes["small", 3] == small
     assert 0 < len(passes["small", 4]) < len(small)
-    orders = [[r.doc_id for r in sorted(got, key=lambda r: r.mix_place) if (r.source, r.mix_epoch) == ("small", e)] for e in (1, 2)]
+    orders = [[r.row.doc_id for r in sorted(got, key=lambda r: r.mix_place) if (r.row.source, r.mix_epoch) == ("small", e)] for e in (1, 2)]
     assert orders[0] != orders[1]
 
 
 def test_nulls_empty_and_repeated_rows(spark):
     rows = [(1, None, None, None, None, 1), (2, "", None, "x", 0, 1), (3, "a b", None, "x", 3, 1), (3, "a b", None, "x", 3, 1), (None, "c", None, "", 1, 1)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = Counter((r.doc_id, r.text) for r in m.mixed(df, max_passes=1.0).collect())
+    got = Counter((r.row.doc_id, r.row.text) for r in m.mixed(df, max_passes=1.0).collect())
     assert got == Counter((r[0], r[1]) for r in rows)
     assert m.mixed(df.where("false")).count() == 0
     assert m.mixed(df.where("doc_id = 2")).count() == 1
