@@ -1,4 +1,4 @@
-"""Run one job, or all jobs, of a jobs table: ``spark-submit ... -m accordance``."""
+"""Run one job, or all jobs, of a jobs table: ``spark-submit ... run_accordance.py hive jobs``."""
 
 from __future__ import annotations
 
@@ -45,7 +45,9 @@ def reader_options(given: list[str]) -> dict[str, dict[str, str]]:
 def main(argv: list[str] | None = None) -> str:
     """The status of the run, which is also printed."""
     args = arguments(argv)
-    spark = SparkSession.builder.appName(f"accordance {args.job_name or ''}").getOrCreate()
+    # Jobs, sources and results of type hive are tables of the metastore.
+    builder = SparkSession.builder.appName(f"accordance {args.job_name or ''}")
+    spark = SparkSession.getActiveSession() or builder.enableHiveSupport().getOrCreate()
     options = reader_options(args.option)
     jobs = read(spark, args.jobs_type, args.jobs_location, options=options.get(args.jobs_type))
     where = dict(
@@ -60,12 +62,18 @@ def main(argv: list[str] | None = None) -> str:
         results = run_job(spark, load_job(jobs, args.job_name), **where).check_results
     else:
         results = run_suite(spark, jobs, **where)
-    results.show(truncate=False)
+    for row in results.collect():  # a row for each check
+        print(*row, sep=" | ")
     worst = {row["status"] for row in run_rollup(results).select("status").distinct().collect()}
     status = max(worst, key=Status.BY_SEVERITY.index, default=Status.SUCCESS)
     print(status)
     return status
 
 
+def exit_code(status: str) -> int:
+    """0 if all agrees, 2 with a warning, else 1."""
+    return {Status.SUCCESS: 0, Status.WARNING: 2}.get(status, 1)
+
+
 if __name__ == "__main__":
-    raise SystemExit(0 if main() in (Status.SUCCESS, Status.WARNING) else 1)
+    raise SystemExit(exit_code(main()))

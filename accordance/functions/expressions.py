@@ -123,8 +123,41 @@ def try_cast(value: str, dtype: T.DataType) -> str:
 
 
 def uncastable_text(value: str, dtype: T.DataType) -> str:
-    """The raw text where it is not a value of the type, else null."""
-    return f"if({try_cast(value, dtype)} IS NULL, {value}, NULL)"
+    """The raw text where it is not a value of the type, or is more than that, else null."""
+    lost = f"({try_cast(value, dtype)} IS NULL)"
+    if more := _more_than(value, dtype):
+        lost = f"({lost} OR coalesce({more}, false))"
+    return f"if({lost}, {value}, NULL)"
+
+
+def _more_than(value: str, dtype: T.DataType) -> str | None:
+    """Whether text that can be read as the type says more than the value read."""
+    read = try_cast(value, dtype)
+    if isinstance(dtype, T.DecimalType):
+        # All digits before the point that the type has room for, and as many as can be after it.
+        wide = f"DECIMAL(38,{38 - (dtype.precision - dtype.scale)})"
+        return f"try_cast({value} AS {wide}) <> try_cast({read} AS {wide})"
+    if isinstance(dtype, T.DateType):
+        return f"try_cast({value} AS TIMESTAMP_NTZ) <> CAST({read} AS TIMESTAMP_NTZ)"
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return f"{value} RLIKE '[.][0-9]{{6}}[0-9]*[1-9]'"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return f"try_cast({value} AS DECIMAL(38,0)) <> try_cast({read} AS DECIMAL(38,0)) AND {value} RLIKE '^ *[+-]?[0-9]+ *$'"
+    return None
+
+
+def kept_by_cast(value: str, old: T.DataType, new: T.DataType) -> str:
+    """Whether a value that is not null is the same after a cast there and back."""
+    there = try_cast(value, new)
+    return f"coalesce(try_cast({there} AS {old.simpleString()}) <=> {value} AND {there} IS NOT NULL, false)"
+
+
+def is_exact(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.IntegralType, T.DecimalType))
+
+
+def is_binary_float(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.FloatType, T.DoubleType))
 
 
 def detail_text(name: str, source_text: str, target_text: str) -> str:

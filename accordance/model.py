@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, fields
 
 from pyspark.sql import types as T
@@ -21,7 +22,6 @@ class Kind:
     UNCASTABLE = "uncastable"
     MISSING_IN_TARGET = "missing_in_target"
     MISSING_IN_SOURCE = "missing_in_source"
-    MANY_TO_MANY = "many_to_many"
     SOURCE_ONLY = "source_only"
     TARGET_ONLY = "target_only"
     VIOLATION = "violation"
@@ -65,17 +65,19 @@ def parse_mapping(text: str | None) -> Pairs:
 
 def parse_keys(text: str | None, mapping: Pairs | None = None) -> Pairs:
     """Key pairs; a bare name takes its partner from the mapping, else from itself."""
-    partner = dict(mapping or [])
+    partner = {source.lower(): target for source, target in mapping or []}
     pairs: Pairs = []
     for piece in _pieces(text):
-        pairs += parse_mapping(piece) if ":" in piece else [(piece, partner.get(piece, piece))]
+        own = (piece, partner.get(piece.lower(), piece))
+        pairs += parse_mapping(piece) if ":" in piece else [own]
     check_pairs(pairs)
     return pairs
 
 
 def check_pairs(pairs: Pairs) -> None:
     for side, names in zip(("source", "target"), zip(*pairs)):
-        twice = sorted({name for name in names if names.count(name) > 1})
+        plain = [name.lower() for name in names]
+        twice = sorted({name for name in names if plain.count(name.lower()) > 1})
         if twice:
             raise ConfigError(f"{side} columns named more than once: {', '.join(twice)}")
 
@@ -106,6 +108,8 @@ class Job:
     notify_on_failure: str | None = "N"
     write_results: str | None = "N"
     write_audit: str | None = "N"
+    source_options: str | None = None
+    target_options: str | None = None
 
     @classmethod
     def from_row(cls, row) -> Job:
@@ -124,8 +128,20 @@ class Job:
     def keys(self) -> Pairs:
         return parse_keys(self.key_mapping, self.mapping)
 
+    def options_of(self, side: str) -> dict[str, str]:
+        """The reader options of a side, a JSON object of texts."""
+        text = self.source_options if side == "source" else self.target_options
+        try:
+            options = json.loads(text) if (text or "").strip() else {}
+        except ValueError as error:
+            raise ConfigError(f"{self.job_name}: the {side} options are no JSON: {error}") from None
+        if not isinstance(options, dict):
+            raise ConfigError(f"{self.job_name}: the {side} options are no JSON object: {text}")
+        return {name: str(value) for name, value in options.items()}
+
     def validate(self) -> Job:
         """Raise for anything that can be seen to be wrong without reading data."""
+        self.options_of("source"), self.options_of("target")
         names = self.check_names
         unknown = [name for name in names if name not in CHECKS]
         if unknown or not names:

@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from accordance.functions.expressions import (
+    as_text,
     castable_from_text,
     comparable,
     holds,
+    is_binary_float,
+    is_exact,
+    kept_by_cast,
     quoted,
     struct,
     try_cast,
@@ -24,6 +28,7 @@ RESERVED = (
     "column_name",
     "joined_rows",
     "kind",
+    "repeated",
     "source_value",
     "src_n",
     "target_value",
@@ -103,8 +108,11 @@ def mapped_sides(
         raise ConfigError("the list of key columns is empty")
     check_pairs(keys)
     check_pairs(mapping)
-    key_sources = {s.lower() for s, _ in keys}
-    compared = [pair for pair in mapping if pair[0].lower() not in key_sources]
+    partner = {s.lower(): t.lower() for s, t in keys}
+    for src, tgt in mapping:
+        if partner.get(src.lower(), tgt.lower()) != tgt.lower():
+            raise ConfigError(f"the key maps {src} to {partner[src.lower()]}, the mapping to {tgt}")
+    compared = [pair for pair in mapping if pair[0].lower() not in partner]
     pairs = [*keys, *compared]
     require_columns(source, [s for s, _ in pairs], "source")
     require_columns(target, [t for _, t in pairs], "target")
@@ -156,14 +164,21 @@ def align_types(
 ) -> tuple[DataFrame, DataFrame]:
     """Read text as the other side's type wherever exactly one side is text.
 
-    Text that is no value of that type becomes null, and the raw text is kept in the struct
-    column ``marker`` (null on rows where all text could be read).  The marker is there only
-    if some column was read.  Different numeric or date types are left to Spark's widening.
+    Text that is no value of that type, or says more than a value of that type can, becomes null,
+    and the raw text is kept in the struct column ``marker`` (null on rows where all text could be
+    read).  Whole numbers and decimals against floating numbers become such, and those that would change are kept as
+    text in the same way.  The marker is there only if some column was read.  Other numeric
+    or date types are left to Spark's widening; times with and without zone never agree.
     """
     left_types, right_types = types_of(source), types_of(target)
     casts = {}
     for name in source.columns if names is None else names:
         left, right = left_types[name], right_types[name]
+        if {type(left), type(right)} == {T.TimestampType, T.TimestampNTZType}:
+            raise ConfigError(f"column {name}: cannot compare times with and without zone")
+        if is_exact(left) and is_binary_float(right) or is_exact(right) and is_binary_float(left):
+            casts[name] = left if is_binary_float(left) else right
+            continue
         if isinstance(left, T.StringType) == isinstance(right, T.StringType):
             continue
         typed = right if isinstance(left, T.StringType) else left
@@ -180,18 +195,21 @@ def types_of(df: DataFrame) -> dict[str, T.DataType]:
 
 
 def _read_text(df: DataFrame, casts: dict[str, T.DataType], marker: str) -> DataFrame:
-    is_text = {name for name, dtype in types_of(df).items() if isinstance(dtype, T.StringType)}
-    raw = {
-        name: uncastable_text(quoted(name), dtype) if name in is_text else "CAST(NULL AS STRING)"
-        for name, dtype in casts.items()
-    }
+    own = types_of(df)
+    raw, read = {}, {}
+    for name, dtype in casts.items():
+        value = quoted(name)
+        raw[name] = "CAST(NULL AS STRING)"
+        if isinstance(own[name], T.StringType):
+            raw[name] = uncastable_text(value, dtype)
+        elif is_exact(own[name]) and is_binary_float(dtype):
+            text = as_text(value, own[name])
+            raw[name] = f"if({value} IS NULL OR {kept_by_cast(value, own[name], dtype)}, NULL, {text})"
+        else:
+            continue
+        read[name] = f"if({raw[name]} IS NULL, {try_cast(value, dtype)}, NULL)"
     return df.selectExpr(
-        *[
-            f"{try_cast(quoted(c), casts[c])} AS {quoted(c)}"
-            if c in casts and c in is_text
-            else quoted(c)
-            for c in df.columns
-        ],
+        *[f"{read[c]} AS {quoted(c)}" if c in read else quoted(c) for c in df.columns],
         f"if(coalesce({', '.join(raw.values())}) IS NULL, NULL, {struct(raw)}) AS {marker}",
     )
 

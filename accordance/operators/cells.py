@@ -1,15 +1,13 @@
 """Keyed comparison, cell by cell.
 
 Where keys are known to be unique, two tables are matched by a full outer join: no key can
-be hot then.  Otherwise they are matched by aggregation: the union of both sides is grouped
-by key, with partial aggregation before the single wide shuffle, so that a key holding a
-large part of all rows reaches the reducer as one row per map task.  A key with at most one
-row per side is settled there.
-
-Keys with several rows on a side stand for the product of their rows.  Up to ``max_pairs``
-joined rows per key the pairs are built and compared.  Beyond it they are never built: the
-product is given factorised, one line per distinct cell value with the rows of each side
-that hold it and the exact number of joined rows that differ, which is linear in the data.
+be hot then.  Otherwise differences come first: the union of both sides is grouped by key
+*and* row, which drops equal rows before the shuffle by key and spreads a hot key over its rows.  What is
+left of unique keys is joined, so nearly equal tables move next to nothing.
+
+A key with several rows on a side stands for the product of its rows, which is never built:
+each distinct cell value is one line with the rows of each side that hold it and the exact
+number of joined rows that differ, which is linear in the data.
 """
 
 from __future__ import annotations
@@ -40,15 +38,15 @@ from accordance.operators.align import (
     types_of,
 )
 
-MAX_PAIRS = 1000
-
 _ROW, _SRC, _TGT = "__row", "__source_row", "__target_row"
 _GROUP = "__group"
 _COUNTS = ("src_n", "tgt_n", "joined_rows")
+_TOTALS = ("src_total", "tgt_total")
 
 _SINGLE = "(src_n = 1 AND tgt_n = 1)"
 _MISSING = "(src_n = 0 OR tgt_n = 0)"
 _MISSING_KIND = f"if(tgt_n = 0, '{Kind.MISSING_IN_TARGET}', '{Kind.MISSING_IN_SOURCE}')"
+_LINE = ("column_name", "source_value", "target_value", "kind")
 _NO_TEXT = "CAST(NULL AS STRING)"
 
 
@@ -165,25 +163,29 @@ def cell_diff(
     keys: Pairs,
     unique_keys: bool = False,
     duplicates: DataFrame | None = None,
-    max_pairs: int = MAX_PAIRS,
 ) -> DataFrame:
     """One row per differing cell, named as in the source.
 
-    ``<keys>, column_name, source_value, target_value, kind, src_n, tgt_n, joined_rows``.
-    Missing keys give a line with a null ``column_name``.  ``src_n`` and ``tgt_n`` are the
-    rows behind the line and ``joined_rows`` the rows a join on the keys would show for it.
+    ``<keys>, column_name, source_value, target_value, kind, repeated, src_n, tgt_n,
+    joined_rows``.  Missing keys give a line with a null ``column_name``.  ``src_n`` and
+    ``tgt_n`` are the rows behind the line and ``joined_rows`` the rows a join on the keys
+    would show for it.  ``repeated`` says that the key has several rows on a side; its lines
+    are of single values, of the kind of that value.
 
     ``unique_keys`` says that no key has several rows on a side; one join then does it all.
     ``duplicates`` is a stored result of ``keys_not_unique`` for the same arguments.  Being
     a file of known size, Spark broadcasts it if it is small, and shuffles it if not.
     """
     cells = _cells(source, target, mapping, keys)
-    settled = _joined(cells) if unique_keys else _grouped(cells)
-    result = _inline(cells, settled, f"if({_SINGLE}, {cells.lines()}, {cells.key_lines()})")
+    lines = f"if({_SINGLE}, {cells.lines()}, {cells.key_lines()})"
     if unique_keys:
-        return result
-    pairs, values = _duplicate_keys(cells, duplicates, max_pairs)
-    return result.unionByName(_inline(cells, pairs, cells.lines())).unionByName(values)
+        return _inline(cells, _joined(cells), lines, repeated=False)
+    totals = _totals(cells) if duplicates is None else duplicates
+    return (
+        _inline(cells, _excess(cells, totals), lines, repeated=False)
+        .unionByName(_inline(cells, _missing(totals), cells.key_lines(), repeated=True))
+        .unionByName(_values(cells, totals, duplicates is not None))
+    )
 
 
 def keys_not_unique(
@@ -197,20 +199,16 @@ def keys_not_unique(
 
 
 def mismatch_details(
-    source: DataFrame,
-    target: DataFrame,
-    mapping: Pairs,
-    keys: Pairs,
-    max_pairs: int = MAX_PAIRS,
+    source: DataFrame, target: DataFrame, mapping: Pairs, keys: Pairs
 ) -> DataFrame:
     """One row per differing joined row: ``<keys>, mismatch_details, src_n, tgt_n, joined_rows``.
 
     The detail lists ``column:source!=target`` for each differing cell in mapping order, or
-    tells on which side the key is missing.  Keys whose product is not built give a row per
+    tells on which side the key is missing.  Keys with several rows on a side give a row per
     distinct value, ``column:value in N source rows and M target rows``.
     """
     cells = _cells(source, target, mapping, keys)
-    pairs, values = _duplicate_keys(cells, None, max_pairs)
+    totals = _totals(cells)
     value = (
         "concat(column_name, ':', coalesce(source_value, target_value, 'NULL'),"
         " format_string(' in %s source rows and %s target rows', src_n, tgt_n))"
@@ -222,9 +220,9 @@ def mismatch_details(
 
     once = f"if({_SINGLE}, {cells.details()}, {cells.key_detail()})"
     return (
-        detailed(_grouped(cells), once)
-        .unionByName(detailed(pairs, cells.details()))
-        .unionByName(detailed(values, value))
+        detailed(_excess(cells, totals), once)
+        .unionByName(detailed(_missing(totals), cells.key_detail()))
+        .unionByName(detailed(_values(cells, totals, False), value))
     )
 
 
@@ -259,25 +257,41 @@ def _cells(source: DataFrame, target: DataFrame, mapping: Pairs, keys: Pairs) ->
     )
 
 
-def _grouped(cells: _Cells) -> DataFrame:
-    """Keys on one side only, and keys with one row per side whose rows differ.
+def _counted(cells: _Cells) -> DataFrame:
+    """Each distinct row of a key with its copies on both sides."""
+    return cells.rows.groupBy(*cells.group, _ROW).agg(
+        F.expr(f"sum({IN_SOURCE}) AS src_n"), F.expr(f"sum({IN_TARGET}) AS tgt_n")
+    )
+
+
+def _excess(cells: _Cells, totals: DataFrame) -> DataFrame:
+    """Keys with at most one row per side that are on one side only or whose rows differ.
 
     ``<keys>, [uncastable_key], src_n, tgt_n, joined_rows, __source_row, __target_row``
     """
+    differing = (
+        _counted(cells)
+        .where("src_n <> tgt_n")
+        .alias("r")
+        .join(totals.alias("d"), F.expr(_same_key(cells, "r", "d")), "left_anti")
+    )
+    source = differing.where("src_n > tgt_n").withColumnRenamed("src_n", IN_SOURCE).drop("tgt_n")
+    target = differing.where("tgt_n > src_n").withColumnRenamed("tgt_n", IN_TARGET).drop("src_n")
+    joined = source.alias("s").join(target.alias("t"), F.expr(_same_key(cells, "s", "t")), "full_outer")
+    return joined.selectExpr(
+        *[f"coalesce(s.{k}, t.{k}) AS {k}" for k in cells.group],
+        f"coalesce({IN_SOURCE}, 0L) AS src_n",
+        f"coalesce({IN_TARGET}, 0L) AS tgt_n",
+        "1L AS joined_rows",
+        f"s.{_ROW} AS {_SRC}",
+        f"t.{_ROW} AS {_TGT}",
+    )
 
-    def only_row(mark: str) -> str:
-        return f"first(if({mark} = 1, {_ROW}, NULL), true)"
 
-    return (
-        cells.rows.groupBy(*cells.group)
-        .agg(
-            F.expr(f"sum({IN_SOURCE}) AS src_n"),
-            F.expr(f"sum({IN_TARGET}) AS tgt_n"),
-            F.expr(f"{only_row(IN_SOURCE)} AS {_SRC}"),
-            F.expr(f"{only_row(IN_TARGET)} AS {_TGT}"),
-        )
-        .where(f"{_MISSING} OR ({_SINGLE} AND {cells.any_diff()})")
-        .selectExpr("*", "src_n + tgt_n - if(src_n > 0 AND tgt_n > 0, 1, 0) AS joined_rows")
+def _missing(totals: DataFrame) -> DataFrame:
+    """Keys with several rows on one side and none on the other."""
+    return totals.where("src_total = 0 OR tgt_total = 0").selectExpr(
+        "*", "src_total AS src_n", "tgt_total AS tgt_n", "src_total + tgt_total AS joined_rows"
     )
 
 
@@ -304,9 +318,10 @@ def _joined(cells: _Cells) -> DataFrame:
     )
 
 
-def _inline(cells: _Cells, rows: DataFrame, lines: str) -> DataFrame:
+def _inline(cells: _Cells, rows: DataFrame, lines: str, repeated: bool) -> DataFrame:
     keys = [quoted(k) for k in cells.keys]
-    return rows.selectExpr(*keys, f"inline({lines})", *_COUNTS).where("kind IS NOT NULL")
+    found = rows.selectExpr(*keys, f"inline({lines})", *_COUNTS).where("kind IS NOT NULL")
+    return found.selectExpr(*keys, *_LINE, f"{str(repeated).lower()} AS repeated", *_COUNTS)
 
 
 def _totals(cells: _Cells) -> DataFrame:
@@ -320,10 +335,12 @@ def _totals(cells: _Cells) -> DataFrame:
     )
 
 
-def _duplicate_keys(
-    cells: _Cells, stored: DataFrame | None, max_pairs: int
-) -> tuple[DataFrame, DataFrame]:
-    """The differing pairs of smaller duplicate keys, and the values of larger ones.
+def _values(cells: _Cells, totals: DataFrame, stored: bool) -> DataFrame:
+    """The product of each repeated key, given by the distinct values of each column.
+
+    Of the ``src_total * tgt_total`` joined rows, those with this value in the source and
+    another in the target number ``src_n * (tgt_total - tgt_n)``; summed over the lines of
+    a column they are all joined rows whose cells differ.
 
     Unless the keys are stored, the rows pass a test that there are such keys.  The join has one
     row per key on its right side, so that adaptive execution can split a hot key on the
@@ -331,62 +348,22 @@ def _duplicate_keys(
     of each distinct row, then shuffles anew and does not tie that split to the join.
     """
     # Keys of one side only have nothing to be multiplied with.
-    totals = (_totals(cells) if stored is None else stored).where("src_total * tgt_total > 0")
-    rows = cells.rows.where(totals.exists()) if stored is None else cells.rows
+    totals = totals.where("src_total * tgt_total > 0")
+    rows = cells.rows if stored else cells.rows.where(totals.exists())
     group = F.expr(f"struct({', '.join(f'r.{k}' for k in cells.group)}) AS {_GROUP}")
     counted = (
         rows.alias("r")
         .join(totals.alias("d"), F.expr(_same_key(cells, "r", "d")))
-        .groupBy(group, "src_total", "tgt_total", _ROW)
+        .groupBy(group, *_TOTALS, _ROW)
         .agg(F.expr(f"sum({IN_SOURCE}) AS src_n"), F.expr(f"sum({IN_TARGET}) AS tgt_n"))
     )
-    product = "src_total * tgt_total"
-    return (
-        _pairs(cells, counted.where(f"{product} <= {max_pairs}")),
-        _values(cells, counted.where(f"{product} > {max_pairs}")),
-    )
-
-
-def _flat_key(cells: _Cells) -> list[str]:
-    return [f"{_GROUP}.{quoted(k)} AS {quoted(k)}" for k in cells.keys]
-
-
-def _pairs(cells: _Cells, rows: DataFrame) -> DataFrame:
-    """Source rows against target rows of a key; the groups are bounded by the caller."""
-
-    def rows_of(count: str) -> str:
-        return f"collect_list(if({count} > 0, struct({_ROW} AS row, {count} AS n), NULL))"
-
-    return (
-        rows.groupBy(_GROUP)
-        .agg(F.expr(f"{rows_of('src_n')} AS sources"), F.expr(f"{rows_of('tgt_n')} AS targets"))
-        .selectExpr(_GROUP, "targets", "explode(sources) AS s")
-        .selectExpr(_GROUP, "s", "explode(targets) AS t")
-        .selectExpr(
-            *_flat_key(cells),
-            f"s.row AS {_SRC}",
-            f"t.row AS {_TGT}",
-            "s.n AS src_n",
-            "t.n AS tgt_n",
-            "s.n * t.n AS joined_rows",
-        )
-        .where(cells.any_diff())
-    )
-
-
-def _values(cells: _Cells, rows: DataFrame) -> DataFrame:
-    """The product of a key that is not built, given by the distinct values of each column.
-
-    Of the ``src_total * tgt_total`` joined rows, those with this value in the source and
-    another in the target number ``src_n * (tgt_total - tgt_n)``; summed over the lines of
-    a column they are all joined rows whose cells differ.
-    """
 
     def value(name: str) -> str:
         dtype = cells.types[name]
         plain = plain_zero(f"{_ROW}.{quoted(name)}", dtype)
-        text = as_text(plain, dtype)
+        text, unread = as_text(plain, dtype), "false"
         if name in cells.cast:
+            unread = f"{cells.raw(_ROW, name)} IS NOT NULL"
             text = f"coalesce({cells.raw(_ROW, name)}, {text})"
         # Two instants can print alike in the session's zone.
         instant = f"unix_micros({plain})" if isinstance(dtype, T.TimestampType) else "NULL"
@@ -394,24 +371,29 @@ def _values(cells: _Cells, rows: DataFrame) -> DataFrame:
             {
                 "column_name": literal(name),
                 "value": text,
+                "unread": unread,
                 "instant": f"CAST({instant} AS BIGINT)",
             }
         )
 
-    none = "CAST(array() AS ARRAY<STRUCT<column_name: STRING, value: STRING, instant: BIGINT>>)"
+    none = (
+        "CAST(array() AS ARRAY<STRUCT<column_name: STRING, value: STRING, unread: BOOLEAN,"
+        " instant: BIGINT>>)"
+    )
     values = f"array({', '.join(map(value, cells.types))})" if cells.types else none
-    totals = ("src_total", "tgt_total")
+    kind = f"if(value IS NULL, '{Kind.NULL_VS_VALUE}', '{Kind.VALUE}')"
     return (
-        rows.selectExpr(_GROUP, *totals, "src_n", "tgt_n", f"inline({values})")
-        .groupBy(_GROUP, *totals, "column_name", "value", "instant")
+        counted.selectExpr(_GROUP, *_TOTALS, "src_n", "tgt_n", f"inline({values})")
+        .groupBy(_GROUP, *_TOTALS, "column_name", "value", "unread", "instant")
         .agg(F.expr("sum(src_n) AS src_n"), F.expr("sum(tgt_n) AS tgt_n"))
         .where("src_n < src_total OR tgt_n < tgt_total")
         .selectExpr(
-            *_flat_key(cells),
+            *[f"{_GROUP}.{quoted(k)} AS {quoted(k)}" for k in cells.keys],
             "column_name",
             "if(src_n > 0, value, NULL) AS source_value",
             "if(tgt_n > 0, value, NULL) AS target_value",
-            f"'{Kind.MANY_TO_MANY}' AS kind",
+            f"if(unread, '{Kind.UNCASTABLE}', {kind}) AS kind",
+            "true AS repeated",
             "src_n",
             "tgt_n",
             "src_n * (tgt_total - tgt_n) AS joined_rows",

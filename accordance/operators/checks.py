@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 from accordance.functions.expressions import (
     castable_from_text,
+    kept_by_cast,
     literal,
     quoted,
     struct,
-    try_cast,
     uncastable_text,
 )
 from accordance.model import Pairs, Status
@@ -48,19 +48,18 @@ def record_count(source: DataFrame, target: DataFrame) -> DataFrame:
 def threshold(
     source: DataFrame, target: DataFrame, mapping: Pairs | None = None, limit: float | None = None
 ) -> DataFrame:
-    """One row: the share of source rows without a partner, held against the limit.
+    """One row: the share of the rows of both sides without a partner, held against the limit.
 
     No limit means that no row may differ.
     """
     summary = diff_summary(source, target, mapping)
-    ratio = mismatch_ratio(F.col("source_only"), F.col("source_count"))
-    return summary.withColumn("mismatch_ratio", ratio).withColumn(
+    return summary.withColumn("mismatch_ratio", F.expr(MISMATCH_RATIO)).withColumn(
         "status", _success_if(F.col("mismatch_ratio") <= F.lit(float(limit or 0.0)))
     )
 
 
-def mismatch_ratio(source_only: Column, source_count: Column) -> Column:
-    return source_only / F.greatest(source_count, F.lit(1).cast("bigint"))
+#: The share of rows without a partner among the rows of both sides.
+MISMATCH_RATIO = "(source_only + target_only) / greatest(source_count + target_count, 1L)"
 
 
 def schema_drift(
@@ -78,7 +77,7 @@ def schema_drift(
     changed = [
         (name, old_types[own], new_types[name])
         for name, own in zip(target.columns, real_names(renamed, target.columns))
-        if own and old_types[own] != new_types[name]
+        if own and old_types[own].simpleString() != new_types[name].simpleString()
     ]
     counts = [
         f"CAST({_unreadable(quoted(name), old, new)} AS BIGINT) AS n{i}"
@@ -95,11 +94,9 @@ def schema_drift(
     ]
     # Without drift the one line is filtered away and leaves the schema.
     kept = lines or [_drift_line(None, None, None, None, null)]
-    return (
-        renamed.agg(*[F.expr(c) for c in counts or ["0 AS n"]])
-        .selectExpr(f"inline(array({', '.join(kept)}))")
-        .where("drift IS NOT NULL")
-    )
+    # Names alone need no look at the data.
+    one_row = renamed.agg(*map(F.expr, counts)) if counts else renamed.sparkSession.range(1)
+    return one_row.selectExpr(f"inline(array({', '.join(kept)}))").where("drift IS NOT NULL")
 
 
 def _drift_line(name, drift, old: T.DataType | None, new: T.DataType | None, count: str) -> str:
@@ -126,7 +123,7 @@ def _unreadable(column: str, old: T.DataType, new: T.DataType) -> str:
     times = (T.DateType, T.TimestampType, T.TimestampNTZType)
     numbers = isinstance(old, T.NumericType) and isinstance(new, T.NumericType)
     if numbers or (isinstance(old, times) and isinstance(new, times)):
-        return f"count_if({column} IS NOT NULL AND {try_cast(column, new)} IS NULL)"
+        return f"count_if({column} IS NOT NULL AND NOT {kept_by_cast(column, old, new)})"
     return "NULL"
 
 

@@ -97,18 +97,22 @@ def run_report(check_results: DataFrame, jobs: DataFrame) -> DataFrame:
     runs = run_rollup(check_results).select(
         "job_name", "run_id", F.col("status").alias("run_status")
     )
-    flags = jobs.select(
-        "job_name",
-        (F.upper("notify_on_success") == "Y").alias("__on_success"),
-        (F.upper("notify_on_failure") == "Y").alias("__on_failure"),
+    flags = jobs.groupBy("job_name").agg(  # a job that is listed twice asks as either row does
+        F.max(F.upper("notify_on_success") == "Y").alias("__on_success"),
+        F.max(F.upper("notify_on_failure") == "Y").alias("__on_failure"),
     )
     succeeded = F.col("run_status") == Status.SUCCESS
     should_notify = F.coalesce(
         F.when(succeeded, F.col("__on_success")).otherwise(F.col("__on_failure")), F.lit(False)
     )
     # Runs and flags have one row per run and job; the wide side of both joins is the checks.
+    flags = flags.withColumnRenamed("job_name", "__job")
+    runs = runs.join(flags, F.col("job_name").eqNullSafe(F.col("__job")), "left").drop("__job")
+    runs = runs.withColumnsRenamed({"job_name": "__job", "run_id": "__run"})
+    same = F.col("job_name").eqNullSafe(F.col("__job")) & F.col("run_id").eqNullSafe(F.col("__run"))
     return (
-        check_results.join(runs.join(flags, "job_name", "left"), ["job_name", "run_id"])
+        check_results.join(runs, same)
+        .drop("__job", "__run")
         .withColumn("should_notify", should_notify)
         .drop("__on_success", "__on_failure")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,8 @@ from accordance.model import ConfigError, Pairs
 from accordance.operators.rows import row_diff
 
 SOURCE_VIEW, TARGET_VIEW = "source_view", "target_view"
+#: The views of a rule are there while it is analyzed, for one rule at a time.
+_ANALYSIS = threading.RLock()
 
 
 def rule_violations(views: dict[str, DataFrame], sql: str) -> DataFrame:
@@ -20,7 +23,7 @@ def rule_violations(views: dict[str, DataFrame], sql: str) -> DataFrame:
         raise ConfigError("the rule has no views to read")
     spark = next(iter(views.values())).sparkSession
     query = sql.strip().removesuffix(";")
-    with _registered(spark, views):
+    with _ANALYSIS, _registered(spark, views):
         # As a subquery, only a query is accepted.
         return spark.sql(f"SELECT * FROM (\n{query}\n)")
 
@@ -35,8 +38,12 @@ def rule_vs_target(
 @contextmanager
 def _registered(spark: SparkSession, views: dict[str, DataFrame]):
     """Temporary views while a query is analyzed; earlier views of the names come back."""
-    here = {t.name for t in spark.catalog.listTables() if t.isTemporary}
-    earlier = {name: spark.table(name) for name in views if name.lower() in here}
+    earlier = {
+        name: spark.table(name)
+        for name in views
+        # The name as the pattern: the catalog isn't listed.
+        if any(t.isTemporary and t.name == name.lower() for t in spark.catalog.listTables(pattern=name))
+    }
     try:
         for name, df in views.items():
             df.createOrReplaceTempView(name)

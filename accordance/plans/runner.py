@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +24,16 @@ from accordance.sinks.audit import append_audit, audit_events
 from accordance.sinks.results import (
     cell_results,
     key_results,
+    replace_results,
     row_results,
     violation_results,
-    write_results,
 )
 from accordance.sources.jobs import normalize_jobs
 from accordance.sources.readers import read
 
+#: The row of check_results that tells that differences could not be stored.
+STORE = "store_results"
+
 # The tables written to unless others are named.
 RESULTS_TABLE, AUDIT_TABLE = "recon_results", "recon_audit_log"
 
@@ -69,19 +72,19 @@ class _Sides:
     def __init__(self, spark: SparkSession, job: Job, options: dict[str, dict[str, str]]):
         self.spark, self.job, self.options = spark, job, options
 
-    def _read(self, kind: str, location: str | None, query: str | None) -> DataFrame:
-        options = self.options.get((kind or "").lower())
+    def _read(self, side: str, kind: str, location: str | None, query: str | None) -> DataFrame:
+        options = {**self.options.get((kind or "").lower(), {}), **self.job.options_of(side)}
         return read(self.spark, kind, location, query, options=options)
 
     @cached_property
     def source(self) -> DataFrame:
         job = self.job
-        return self._read(job.source_type, job.source_location, job.source_query)
+        return self._read("source", job.source_type, job.source_location, job.source_query)
 
     @cached_property
     def target(self) -> DataFrame:
         job = self.job
-        return self._read(job.target_type, job.target_location, job.target_query)
+        return self._read("target", job.target_type, job.target_location, job.target_query)
 
     @cached_property
     def views(self) -> dict[str, DataFrame]:
@@ -103,6 +106,12 @@ class _Sides:
         counts = self.rows.agg(*only_counts()).first()
         return counts["source_only"], counts["target_only"]
 
+    @cached_property
+    def one_sided(self) -> str | None:
+        """What a comparison of whole rows leaves out, if anything."""
+        only_source, only_target = one_sided_columns(self.source, self.target, self.job.mapping)
+        return _left_out(only_source, only_target)
+
     @cached_property
     def counts(self) -> tuple[int, int]:
         counts = record_count(self.source, self.target).first()
@@ -157,31 +166,46 @@ def _row_outcome(rows: DataFrame, only: tuple[int, int], agree: str) -> Outcome:
 
 
 def _source_to_target(sides: _Sides) -> Callable[[], Outcome]:
-    only_source, only_target = one_sided_columns(sides.source, sides.target, sides.job.mapping)
+    left_out = sides.one_sided
     sides.rows_plan  # noqa: B018 - raises for wrong columns before any job runs
 
     def run() -> Outcome:
         outcome = _row_outcome(sides.rows, sides.only, "source and target hold the same rows")
-        if only_source or only_target:
-            outcome.warnings.append(
-                f"columns differ: only in the source {only_source}, only in the target"
-                f" {only_target}; the common columns were compared"
-            )
+        if left_out:
+            outcome.warnings.append(left_out)
         return outcome
 
     return run
 
 
+def _left_out(only_source: list[str], only_target: list[str]) -> str | None:
+    if not (only_source or only_target):
+        return None
+    return (
+        f"columns differ: only in the source {only_source}, only in the target {only_target};"
+        " the common columns were compared"
+    )
+
+
+def _failed_by(left_out: str | None, outcome: Outcome) -> Outcome:
+    """Columns that were not compared make the check fail: its result says nothing of them."""
+    if left_out:
+        outcome.status = Status.FAILURE
+        outcome.warnings.append(left_out)
+    return outcome
+
+
 def _business_rule(sides: _Sides) -> Callable[[], Outcome]:
     result = rule_violations(sides.views, sides.job.rule_sql)
     own_names = real_names(result, [name for name, _ in sides.job.mapping])
     named = [pair for pair, own in zip(sides.job.mapping, own_names) if own]
     plan = row_diff(result, sides.target, named)
+    left_out = _left_out(*one_sided_columns(result, sides.target, named))
 
     def run() -> Outcome:
         rows = stage(plan, "rule_rows")
         only = tuple(rows.agg(*only_counts()).first())
-        return _row_outcome(rows, only, "the rule gives the target's rows")
+        return _failed_by(left_out, _row_outcome(rows, only, "the rule gives the target's rows"))
 
     return run
 
@@ -245,19 +269,22 @@ def _missing_extra(sides: _Sides) -> Callable[[], Outcome]:
 def _threshold(sides: _Sides) -> Callable[[], Outcome]:
     sides.rows_plan  # noqa: B018 - raises for wrong columns before any job runs
     limit = sides.job.threshold or 0.0
+    left_out = sides.one_sided
 
     def run() -> Outcome:
         (source_only, target_only), (source, target) = sides.only, sides.counts
-        ratio = source_only / max(source, 1)
-        return Outcome(
+        ratio = (source_only + target_only) / max(source + target, 1)
+        outcome = Outcome(
             Status.SUCCESS if ratio <= limit else Status.FAILURE,
-            f"{source_only} of {source} source rows differ, the limit is {limit}",
+            f"{source_only} of {source} source rows and {target_only} of {target} target rows"
+            f" differ, the limit is {limit}",
             source_count=source,
             target_count=target,
             source_only=source_only,
             target_only=target_only,
             mismatch_ratio=ratio,
         )
+        return _failed_by(left_out, outcome)
 
     return run
 
@@ -312,7 +339,7 @@ def run_job(
     sides = _Sides(spark, job, reader_options or {})
     planned = [(name, _plan(name, sides)) for name in job.check_names]
 
-    events, results, previews = [], [], {}
+    events, results, previews, differences = [], [], {}, []
 
     def log(name: str, status: str, message: str) -> None:
         now = datetime.now(timezone.utc)
@@ -325,7 +352,10 @@ def run_job(
             outcome = plan()
             for warning in outcome.warnings:
                 log(name, Status.WARNING, warning)
-            if outcome.found and outcome.differences is not None and _yes(job.write_results):
+                outcome.message += f"; {warning}"
+                if outcome.status == Status.SUCCESS:
+                    outcome.status = Status.WARNING
+            if outcome.differences is not None:
                 tagged = tag_results(
                     outcome.differences,
                     job.job_name,
@@ -335,14 +365,14 @@ def run_job(
                     _now_ms(),
                     outcome.source_count,
                     record_count=outcome.found,
-                ).withColumn("run_id", F.lit(run_id))
-                write_results(tagged, results_type, results_location)
+                )
+                differences.append(tagged.withColumn("run_id", F.lit(run_id)))
             if outcome.found and outcome.preview is not None:
                 previews[name] = outcome.preview
         except ConfigError:
             raise
         except Exception as error:  # noqa: BLE001 - a check's trouble is its result
-            outcome = Outcome(Status.ERROR, _first_line(error))
+            outcome = Outcome(Status.ERROR, _message(error))
         log(name, outcome.status, outcome.message)
         results.append(
             (
@@ -358,6 +388,16 @@ def run_job(
                 outcome.message,
             )
         )
+    if differences and _yes(job.write_results):
+        # All checks at once, so that none replaces what another has found.
+        rows = reduce(DataFrame.unionByName, differences)
+        try:
+            replace_results(rows, results_type, results_location, job.job_name)
+        except ConfigError:
+            raise
+        except Exception as error:  # noqa: BLE001 - the findings stay, with the trouble
+            log(STORE, Status.ERROR, _message(error))
+            results.append((job.job_name, run_id, STORE, Status.ERROR, *[None] * 5, _message(error)))
 
     event_rows = audit_events(spark, events)
     if _yes(job.write_audit):
@@ -420,5 +460,5 @@ def _now_ms() -> int:
     return int(datetime.now(timezone.utc).timestamp() * 1000)
 
 
-def _first_line(error: Exception) -> str:
-    return (str(error).strip() or type(error).__name__).splitlines()[0]
+def _message(error: Exception) -> str:
+    return str(error).strip() or type(error).__name__

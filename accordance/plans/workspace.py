@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +10,11 @@ from accordance.model import ConfigError
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only for a local master."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ConfigError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="accordance-"))
-    return context.getCheckpointDir()
+    """The checkpoint folder of the session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ConfigError("set spark.checkpoint.dir to a folder all executors share")
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -69,7 +69,11 @@ def violation_results(rows: DataFrame) -> DataFrame:
 
 
 def write_results(df: DataFrame, target_type: str, location: str) -> None:
-    """Append to a table, or replace the files of the jobs in ``df`` and of no other job."""
+    """Append to a table, or replace the files of the jobs in ``df`` and of no other job.
+
+    All rows of a job have to come in one call.  For a run that may have found nothing use
+    ``replace_results``.
+    """
     kind = (target_type or "").lower()
     if kind not in TARGET_TYPES:
         raise ConfigError(f"unsupported target type {target_type!r}, know {list(TARGET_TYPES)}")
@@ -83,3 +87,23 @@ def write_results(df: DataFrame, target_type: str, location: str) -> None:
         .format(kind)
         .save(location)
     )
+
+
+def replace_results(df: DataFrame, target_type: str, location: str, job_name: str) -> None:
+    """All difference rows of one job: appended to a table, else in place of its earlier files.
+
+    Without rows the earlier files of the job go too.
+    """
+    kind = (target_type or "").lower()
+    if kind not in ("parquet", "orc"):
+        write_results(df, target_type, location)
+        return
+    # The folder of the job's partition is written itself, so that no rows clear it as well.
+    path = f"{location.rstrip('/')}/job_name={_escaped(job_name)}"
+    df.drop("job_name").write.mode("overwrite").format(kind).save(path)
+
+
+def _escaped(value: str) -> str:
+    """A partition value as Spark spells it in paths."""
+    special = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(32)}
+    return "".join(f"%{ord(c):02X}" if c in special else c for c in value)

@@ -16,7 +16,6 @@ SOURCE_TYPES = (
     "parquet",
     "orc",
     "json",
-    "excel",
     "hive",
     "local",
     "jdbc",
@@ -38,11 +37,9 @@ _COMPRESSED = {"bz2", "gz", "lz4", "snappy", "zst"}
 _DEFAULTS = {
     "csv": {"header": "true"},
     "dat": {"header": "true", "delimiter": "|"},
-    "excel": {"header": "true"},
 }
 
-# The connector that reads workbooks has to be on the cluster's class path.
-_FORMAT_OF_TYPE = {"dat": "csv", "excel": "com.crealytics.spark.excel"}
+_FORMAT_OF_TYPE = {"dat": "csv"}
 
 
 def read(
@@ -56,7 +53,7 @@ def read(
     """A table of any source type; wrong types raise before Spark is asked.
 
     Text formats give strings unless a schema is given: they are read as the other side's
-    types when the sides are aligned, which loses nothing.
+    types when the sides are aligned; what such a type cannot hold is kept and reported.
     """
     kind = (source_type or "").strip().lower()
     if kind not in SOURCE_TYPES:
@@ -96,6 +93,8 @@ def _read_jdbc(spark: SparkSession, table: str, options: dict[str, str]) -> Data
         raise ConfigError("a jdbc source needs the option url")
     split = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
     given = [name for name in split if name in options]
-    if given and len(given) < len(split):
-        raise ConfigError(f"a partitioned jdbc source needs all of {', '.join(split)}")
+    if given != list(split) and given != ["numPartitions"]:
+        raise ConfigError(
+            f"a jdbc source needs all of {', '.join(split)}; numPartitions=1 alone reads the table by one task"
+        )
     return spark.read.format("jdbc").options(**{**options, "dbtable": table}).load()

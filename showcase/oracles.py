@@ -12,7 +12,7 @@ def _with(**ctes: str) -> str:
 ORDERS = dict(
     s=pairs.ORDERS_SOURCE,
     t=f"""SELECT order_id AS o_orderkey, cust_id AS o_custkey, total AS o_totalprice,
-                 status AS o_orderstatus, priority AS o_orderpriority
+                 status AS o_orderstatus, ordered AS o_orderdate, priority AS o_orderpriority
           FROM ({pairs.ORDERS_TARGET}) x""",
 )
 
@@ -38,23 +38,40 @@ def _joined(keys: list[str], columns: list[str], sides: dict[str, str]) -> dict[
 
 def _cells(keys: list[str], columns: list[str], sides: dict[str, str]) -> dict[str, str]:
     k = ", ".join(keys)
+    same = " AND ".join(f"totals.{c} IS NOT DISTINCT FROM x.{c}" for c in keys)
+    own = ", ".join(f"x.{c}" for c in keys)
+    totals = f"""
+        SELECT {k}, CAST(sum(a) AS BIGINT) AS st, CAST(sum(b) AS BIGINT) AS tt
+        FROM (SELECT {k}, 1 AS a, 0 AS b FROM s UNION ALL SELECT {k}, 0, 1 FROM t) u GROUP BY {k}"""
     missing = f"""
         SELECT {k}, CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS VARCHAR) AS source_value,
                CAST(NULL AS VARCHAR) AS target_value,
-               CASE WHEN sum(tn) IS NULL THEN 'missing_in_target' ELSE 'missing_in_source' END AS kind,
-               CAST(coalesce(sum(sn), 0) AS BIGINT) AS src_n,
-               CAST(coalesce(sum(tn), 0) AS BIGINT) AS tgt_n,
-               CAST(coalesce(sum(sn), 0) + coalesce(sum(tn), 0) AS BIGINT) AS joined_rows
-        FROM j WHERE sn IS NULL OR tn IS NULL GROUP BY {k}"""
-    lines = [
+               CASE WHEN tt = 0 THEN 'missing_in_target' ELSE 'missing_in_source' END AS kind,
+               st + tt > 1 AS repeated, st AS src_n, tt AS tgt_n, st + tt AS joined_rows
+        FROM totals WHERE st = 0 OR tt = 0"""
+    once = [
         f"""
-        SELECT {k}, '{c}', CAST(s_{c} AS VARCHAR), CAST(t_{c} AS VARCHAR),
+        SELECT {own}, '{c}', CAST(s_{c} AS VARCHAR), CAST(t_{c} AS VARCHAR),
                CASE WHEN s_{c} IS NULL OR t_{c} IS NULL THEN 'null_vs_value' ELSE 'value' END,
-               CAST(sn AS BIGINT), CAST(tn AS BIGINT), CAST(sn * tn AS BIGINT)
-        FROM j WHERE sn IS NOT NULL AND tn IS NOT NULL AND s_{c} IS DISTINCT FROM t_{c}"""
+               false, st, tt, CAST(1 AS BIGINT)
+        FROM j x JOIN totals ON {same}
+        WHERE st = 1 AND tt = 1 AND s_{c} IS DISTINCT FROM t_{c}"""
         for c in columns
     ]
-    return {**_joined(keys, columns, sides), "cells": " UNION ALL ".join([missing, *lines])}
+    values = [
+        f"""
+        SELECT {own}, '{c}', CASE WHEN src_n > 0 THEN value END, CASE WHEN tgt_n > 0 THEN value END,
+               CASE WHEN value IS NULL THEN 'null_vs_value' ELSE 'value' END, true,
+               src_n, tgt_n, src_n * (tt - tgt_n)
+        FROM (SELECT {k}, value, CAST(sum(a) AS BIGINT) AS src_n, CAST(sum(b) AS BIGINT) AS tgt_n
+              FROM (SELECT {k}, CAST({c} AS VARCHAR) AS value, 1 AS a, 0 AS b FROM s
+                    UNION ALL SELECT {k}, CAST({c} AS VARCHAR), 0, 1 FROM t) u
+              GROUP BY {k}, value) x JOIN totals ON {same}
+        WHERE (st > 1 OR tt > 1) AND st > 0 AND tt > 0 AND (src_n < st OR tgt_n < tt)"""
+        for c in columns
+    ]
+    lines = " UNION ALL ".join([missing, *once, *values])
+    return {**_joined(keys, columns, sides), "totals": totals, "cells": lines}
 
 
 def _rows(columns: list[str], sides: dict[str, str]) -> dict[str, str]:
@@ -69,20 +86,24 @@ def _rows(columns: list[str], sides: dict[str, str]) -> dict[str, str]:
     }
 
 
-ORDER_COLUMNS = ["o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
+ORDER_COLUMNS = ["o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 ORDER_CELLS = _with(**_cells(["o_orderkey"], ORDER_COLUMNS, ORDERS))
 LINES = dict(s=pairs.LINES_SOURCE, t=pairs.LINES_TARGET)
-LINE_KEYS, LINE_COLUMNS = ["l_orderkey", "l_linenumber"], ["l_quantity", "l_returnflag"]
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_COLUMNS = [
+    "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
 LINE_CELLS = _with(**_cells(LINE_KEYS, LINE_COLUMNS, LINES))
-LINE_ROWS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"]
+LINE_ROWS = [*LINE_KEYS, *LINE_COLUMNS]
 
 ORDERS_RENAMED = dict(
     s="""SELECT o_orderkey AS order_id, o_custkey AS cust_id, o_totalprice AS total,
-                o_orderstatus AS status, o_orderpriority AS priority
+                o_orderstatus AS status, o_orderdate AS ordered, o_orderpriority AS priority
          FROM (""" + pairs.ORDERS_SOURCE + ") x",
     t=pairs.ORDERS_TARGET,
 )
-RENAMED_COLUMNS = ["order_id", "cust_id", "total", "status", "priority"]
+RENAMED_COLUMNS = ["order_id", "cust_id", "total", "status", "ordered", "priority"]
 
 # Text read as the typed side's types; raw keeps what could not be read.
 TEXT = dict(
@@ -118,35 +139,19 @@ RESULT_KEYS = f"""
 SELECT 'keys', '{{"order_id":' || o_orderkey || '}}', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
        CAST(NULL AS VARCHAR), kind, (SELECT count(*) FROM ({KEY_DIFF}) n) FROM ({KEY_DIFF}) k
 """
+STORED = ORDER_CELLS + f"""
+SELECT 'orders' AS job_name, 's2t' AS recon_type, '{{"o_orderkey":' || o_orderkey || '}}' AS row_key, column_name,
+       source_value, target_value, kind, (SELECT count(*) FROM cells) AS record_count FROM cells
+UNION ALL
+SELECT 'orders', 'missing_extra_records', '{{"order_id":' || o_orderkey || '}}', CAST(NULL AS VARCHAR),
+       CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), kind, (SELECT count(*) FROM ({KEY_DIFF}) n) FROM ({KEY_DIFF}) k
+"""
 RESULTS = ORDER_CELLS + RESULT_ROWS + " UNION ALL " + RESULT_KEYS
 
 
-def _hot_values(column: str) -> str:
-    return f"""
-    SELECT v.event_type, '{column}' AS column_name,
-           CASE WHEN src_n > 0 THEN v.value END AS source_value,
-           CASE WHEN tgt_n > 0 THEN v.value END AS target_value,
-           'many_to_many' AS kind, src_n, tgt_n, src_n * (tt - tgt_n) AS joined_rows
-    FROM (SELECT event_type, value, CAST(sum(a) AS BIGINT) AS src_n, CAST(sum(b) AS BIGINT) AS tgt_n
-          FROM (SELECT event_type, CAST({column} AS VARCHAR) AS value, 1 AS a, 0 AS b FROM s
-                UNION ALL SELECT event_type, CAST({column} AS VARCHAR), 0, 1 FROM t) u
-          GROUP BY event_type, value) v
-    JOIN totals ON totals.event_type = v.event_type
-    WHERE src_n < st OR tgt_n < tt"""
-
-
-HOT_CELLS = (
-    _with(
-        s=pairs.EVENTS_SOURCE,
-        t=pairs.EVENTS_TARGET,
-        totals="""SELECT event_type, CAST(sum(a) AS BIGINT) AS st, CAST(sum(b) AS BIGINT) AS tt
-                  FROM (SELECT event_type, 1 AS a, 0 AS b FROM s
-                        UNION ALL SELECT event_type, 0, 1 FROM t) u GROUP BY event_type""",
-    )
-    + _hot_values("user_id")
-    + " UNION ALL "
-    + _hot_values("amount")
-)
+EVENTS = dict(s=pairs.EVENTS_SOURCE, t=pairs.EVENTS_TARGET)
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "amount", "props"]
+HOT_CELLS = _with(**_cells(["event_type"], EVENT_COLUMNS, EVENTS)) + "SELECT * FROM cells"
 
 MAPPING_PIECES = """
 SELECT job_name, CAST(pos AS INTEGER) AS pos, string_split(column_mapping, ',')[pos + 1] AS piece
@@ -196,7 +201,7 @@ def _suite() -> str:
     rules = ["SELECT source_only FROM only_rules", "SELECT target_only FROM only_rules"]
     n_s, n_t = "SELECT count(*) FROM s", "SELECT count(*) FROM t"
     n_d, n_l = "SELECT count(*) FROM documents", "SELECT count(*) FROM labels"
-    ratio = f"CAST(({only[0]}) AS DOUBLE) / greatest(({n_s}), 1)"
+    ratio = f"CAST(({only[0]}) + ({only[1]}) AS DOUBLE) / greatest(({n_s}) + ({n_t}), 1)"
     rows = [
         _suite_row("documents_labelled", "missing_extra_records",
                    _failure_if("EXISTS (SELECT 1 FROM label_diff)"), only=labels),
@@ -253,12 +258,14 @@ SOURCE_VIEW = _with(source_view=pairs.ORDERS_SOURCE)
 
 ORACLES = {
     "src_csv": f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-        CAST(o_totalprice AS VARCHAR) AS o_totalprice, o_orderstatus, o_orderpriority
+        CAST(o_totalprice AS VARCHAR) AS o_totalprice, o_orderstatus,
+        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') AS o_orderdate, o_orderpriority
         FROM ({pairs.ORDERS_SOURCE}) x""",
-    "src_dat": f"""SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in LINE_ROWS)}
+    "src_dat": f"""SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in LINE_ROWS[:-1])},
+        strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.000') AS l_shipdate
         FROM ({pairs.LINES_SOURCE}) x""",
     "src_text": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
-    "src_parquet": "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem",
+    "src_parquet": "SELECT * FROM lineitem",
     "src_orc": "SELECT * FROM events",
     "src_json": "SELECT * FROM conversations",
     "src_table": "SELECT * FROM customer",
@@ -292,14 +299,15 @@ ORACLES = {
                CAST(t.total AS VARCHAR) AS target_value,
                CASE WHEN s.raw IS NOT NULL THEN 'uncastable'
                     WHEN s.total IS NULL OR t.total IS NULL THEN 'null_vs_value' ELSE 'value' END AS kind,
-               CAST(1 AS BIGINT) AS src_n, CAST(1 AS BIGINT) AS tgt_n, CAST(1 AS BIGINT) AS joined_rows
+               false AS repeated, CAST(1 AS BIGINT) AS src_n, CAST(1 AS BIGINT) AS tgt_n,
+               CAST(1 AS BIGINT) AS joined_rows
         FROM s JOIN t ON s.order_key = t.order_key
         WHERE s.raw IS NOT NULL OR s.total IS DISTINCT FROM t.total
         UNION ALL
-        SELECT s.order_key, 'status', s.status, t.status, 'value', 1, 1, 1
+        SELECT s.order_key, 'status', s.status, t.status, 'value', false, 1, 1, 1
         FROM s JOIN t ON s.order_key = t.order_key WHERE s.status <> t.status
         UNION ALL
-        SELECT order_key, NULL, NULL, NULL, 'missing_in_target', 1, 0, 1
+        SELECT order_key, NULL, NULL, NULL, 'missing_in_target', false, 1, 0, 1
         FROM s WHERE order_key NOT IN (SELECT order_key FROM t)""",
     "s2t_cells_of_duplicates": LINE_CELLS + "SELECT * FROM cells",
     "s2t_cells_of_hot_keys": HOT_CELLS,
@@ -308,12 +316,14 @@ ORACLES = {
         FROM cells GROUP BY column_name, kind""",
     "mismatch_detail_text": LINE_CELLS + f"""
         SELECT l_orderkey, l_linenumber, {_details(LINE_COLUMNS)} AS mismatch_details,
-               CAST(sn AS BIGINT) AS src_n, CAST(tn AS BIGINT) AS tgt_n,
-               CAST(sn * tn AS BIGINT) AS joined_rows
-        FROM j WHERE sn IS NOT NULL AND tn IS NOT NULL AND {_details(LINE_COLUMNS)} <> ''
+               st AS src_n, tt AS tgt_n, CAST(1 AS BIGINT) AS joined_rows
+        FROM j JOIN totals USING (l_orderkey, l_linenumber)
+        WHERE st = 1 AND tt = 1 AND {_details(LINE_COLUMNS)} <> ''
         UNION ALL
-        SELECT l_orderkey, l_linenumber, kind, src_n, tgt_n, joined_rows
-        FROM cells WHERE kind LIKE 'missing%'""",
+        SELECT l_orderkey, l_linenumber, CASE WHEN column_name IS NULL THEN kind ELSE column_name || ':'
+               || coalesce(source_value, target_value, 'NULL') || ' in ' || src_n
+               || ' source rows and ' || tgt_n || ' target rows' END, src_n, tgt_n, joined_rows
+        FROM cells WHERE repeated OR column_name IS NULL""",
     "duplicate_keys": _with(**LINES) + """
         SELECT l_orderkey, l_linenumber, CAST(sum(a) AS BIGINT) AS src_n, CAST(sum(b) AS BIGINT) AS tgt_n,
                CAST(sum(a) * sum(b) AS BIGINT) AS joined_rows
@@ -346,8 +356,9 @@ ORACLES = {
         FROM (SELECT (SELECT count(*) FROM s) AS source_count, (SELECT count(*) FROM t) AS target_count) c""",
     "threshold": _with(**_rows(RENAMED_COLUMNS, ORDERS_RENAMED), only_orders=ORDER_ONLY) + """
         SELECT source_count, target_count, source_only, target_only,
-               CAST(source_only AS DOUBLE) / greatest(source_count, 1) AS mismatch_ratio,
-               CASE WHEN CAST(source_only AS DOUBLE) / greatest(source_count, 1) <= 0.05
+               CAST(source_only + target_only AS DOUBLE) / greatest(source_count + target_count, 1)
+                   AS mismatch_ratio,
+               CASE WHEN CAST(source_only + target_only AS DOUBLE) / greatest(source_count + target_count, 1) <= 0.05
                     THEN 'SUCCESS' ELSE 'FAILURE' END AS status
         FROM (SELECT (SELECT count(*) FROM s) AS source_count, (SELECT count(*) FROM t) AS target_count,
                      CAST(source_only AS BIGINT) AS source_only, CAST(target_only AS BIGINT) AS target_only
@@ -382,8 +393,8 @@ ORACLES = {
         FROM audit a JOIN runs ON a.job_name = runs.job_name AND a.run_id = runs.run_id
         JOIN flags ON a.job_name = flags.job_name""",
     "sink_table": RESULTS,
-    "sink_parquet": RESULTS,
-    "sink_orc": RESULTS,
+    "sink_parquet": STORED,
+    "sink_orc": STORED,
     "sink_audit": f"""
         SELECT *, CAST(1700000000123 AS BIGINT) AS event_ts
         FROM ({pairs.AUDIT_OF_EVENTS}) x WHERE run_id = 'run-8'""",

@@ -1,12 +1,12 @@
 """Pairs of tables to compare, derived from the given tables.
 
-The texts run in Spark and in DuckDB alike.  Money is compared as DECIMAL so that it prints
-the same in both.
+The texts run in Spark and in DuckDB alike and keep all columns.  Totals and amounts are
+compared as DECIMAL, lines with their doubles as they are.
 """
 
 ORDERS_SOURCE = """
 SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
-       o_orderstatus, o_orderpriority
+       o_orderstatus, o_orderdate, o_orderpriority
 FROM orders
 """
 
@@ -16,21 +16,21 @@ SELECT o_orderkey AS order_id, o_custkey AS cust_id,
        CASE WHEN o_orderkey % 83 = 0 THEN NULL
             WHEN o_orderkey % 89 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) + 1 AS DECIMAL(18,2))
             ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS total,
-       o_orderstatus AS status, o_orderpriority AS priority
+       o_orderstatus AS status, o_orderdate AS ordered, o_orderpriority AS priority
 FROM orders WHERE o_orderkey % 97 <> 0
 UNION ALL
 SELECT o_orderkey + 10000000, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)),
-       o_orderstatus, o_orderpriority
+       o_orderstatus, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderkey % 101 = 0
 UNION ALL
 SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)),
-       o_orderstatus, o_orderpriority
+       o_orderstatus, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderkey % 499 = 0
 """
 
 ORDERS_MAPPING = (
     "o_orderkey:order_id, o_custkey:cust_id, o_totalprice:total, o_orderstatus:status,"
-    " o_orderpriority:priority"
+    " o_orderdate:ordered, o_orderpriority:priority"
 )
 ORDERS_KEYS = "o_orderkey"
 
@@ -54,41 +54,45 @@ FROM orders WHERE o_orderkey % 97 <> 0
 
 # The key (l_orderkey, l_linenumber) is not unique.
 LINES_SOURCE = """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       CAST(l_quantity AS DECIMAL(18,2)) AS l_quantity, l_returnflag
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus, l_shipdate
 FROM lineitem
 """
 
 LINES_TARGET = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       CASE WHEN l_partkey % 53 = 0 THEN CAST(CAST(l_quantity AS DECIMAL(18,2)) + 1 AS DECIMAL(18,2))
-            ELSE CAST(l_quantity AS DECIMAL(18,2)) END AS l_quantity,
-       CASE WHEN l_suppkey % 31 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag
+       CASE WHEN l_partkey % 53 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+       l_extendedprice, l_discount, l_tax,
+       CASE WHEN l_suppkey % 31 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag,
+       l_linestatus, l_shipdate
 FROM lineitem WHERE l_suppkey % 29 <> 0
 UNION ALL
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       CAST(l_quantity AS DECIMAL(18,2)), l_returnflag
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus, l_shipdate
 FROM lineitem WHERE l_suppkey % 23 = 0
 """
 
 LINES_MAPPING = (
-    "l_orderkey:l_orderkey, l_linenumber:l_linenumber, l_quantity:l_quantity,"
-    " l_returnflag:l_returnflag"
+    "l_orderkey:l_orderkey, l_linenumber:l_linenumber, l_partkey:l_partkey, l_suppkey:l_suppkey,"
+    " l_quantity:l_quantity, l_extendedprice:l_extendedprice, l_discount:l_discount, l_tax:l_tax,"
+    " l_returnflag:l_returnflag, l_linestatus:l_linestatus, l_shipdate:l_shipdate"
 )
 LINES_KEYS = "l_orderkey, l_linenumber"
 
 # Five keys hold all rows, so each of them is hot.
 EVENTS_SOURCE = """
-SELECT event_type, user_id, CAST(value AS DECIMAL(18,2)) AS amount FROM events
+SELECT event_type, event_id, ts, user_id, CAST(value AS DECIMAL(18,2)) AS amount, props FROM events
 """
 
 EVENTS_TARGET = """
-SELECT event_type, user_id,
-       CASE WHEN user_id % 10 = 0 THEN NULL ELSE CAST(value AS DECIMAL(18,2)) END AS amount
+SELECT event_type, event_id, ts, user_id,
+       CASE WHEN user_id % 10 = 0 THEN NULL ELSE CAST(value AS DECIMAL(18,2)) END AS amount, props
 FROM events WHERE user_id % 7 <> 0
 """
 
-EVENTS_MAPPING = "event_type:event_type, user_id:user_id, amount:amount"
+EVENTS_MAPPING = (
+    "event_type:event_type, event_id:event_id, ts:ts, user_id:user_id, amount:amount, props:props"
+)
 EVENTS_KEYS = "event_type"
 
 # A jobs table of one job per part; some mappings are empty, some are malformed.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +44,12 @@ def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return ac.rule_violations(used, text)
 
 
+def on_files(text: str, sf_dir: str) -> str:
+    """The text with the files of the test tables in place of views."""
+    used = [f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in TABLES if t in text]
+    return f"WITH {', '.join(used)} {text}"
+
+
 def orders_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return sql(spark, sf_dir, pairs.ORDERS_SOURCE), sql(spark, sf_dir, pairs.ORDERS_TARGET)
 
@@ -80,7 +89,7 @@ def src_text(spark, sf_dir):
 
 
 def src_parquet(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    return table(spark, sf_dir, "lineitem")
 
 
 def src_orc(spark, sf_dir):
@@ -336,11 +345,22 @@ def sink_table(spark, sf_dir):
 
 
 def _sink_files(spark, sf_dir, kind):
-    """Two jobs in one folder; writing one of them again does not touch the other."""
+    """A job of two checks, run twice: the second run replaces what the first has stored."""
     path = new_folder(spark, f"results.{kind}")
-    for results in (_cell_results, _key_results, _key_results):
-        write_results(results(spark, sf_dir), kind, path)
-    return ac.read(spark, kind, path).select(RESULT_COLUMNS)
+    job = ac.Job(
+        job_name="orders",
+        source_type="query",
+        source_query=on_files(pairs.ORDERS_SOURCE, sf_dir),
+        target_type="query",
+        target_query=on_files(pairs.ORDERS_TARGET, sf_dir),
+        checks="s2t, missing_extra_records",
+        column_mapping=pairs.ORDERS_MAPPING,
+        key_mapping=pairs.ORDERS_KEYS,
+        write_results="Y",
+    )
+    for _ in range(2):
+        ac.run_job(spark, job, results_type=kind, results_location=path)
+    return ac.read(spark, kind, path).select("recon_type", *RESULT_COLUMNS)
 
 
 def sink_parquet(spark, sf_dir):
@@ -368,10 +388,6 @@ def sink_audit(spark, sf_dir):
 def suite_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three jobs over the whole test tables, of query and file sources."""
 
-    def on_files(text: str) -> str:
-        views = [f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in TABLES if t in text]
-        return f"WITH {', '.join(views)} {text}"
-
     jobs = [
         dict(
             job_name="documents_labelled",
@@ -386,9 +402,9 @@ def suite_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         dict(
             job_name="orders_copied",
             source_type="query",
-            source_query=on_files(pairs.ORDERS_SOURCE),
+            source_query=on_files(pairs.ORDERS_SOURCE, sf_dir),
             target_type="query",
-            target_query=on_files(pairs.ORDERS_TARGET),
+            target_query=on_files(pairs.ORDERS_TARGET, sf_dir),
             checks="s2t, source_to_target, record_count, missing_extra_records, threshold, schema_drift",
             column_mapping=pairs.ORDERS_MAPPING,
             key_mapping=pairs.ORDERS_KEYS,
@@ -398,9 +414,9 @@ def suite_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         dict(
             job_name="orders_rules",
             source_type="query",
-            source_query=on_files(pairs.ORDERS_SOURCE),
+            source_query=on_files(pairs.ORDERS_SOURCE, sf_dir),
             target_type="query",
-            target_query=on_files(pairs.TOTALS_TARGET),
+            target_query=on_files(pairs.TOTALS_TARGET, sf_dir),
             checks="business_rule",
             column_mapping="o_custkey:cust_id",
             rule_sql=pairs.RULE_TOTALS,
@@ -415,6 +431,20 @@ def suite_summary(spark, sf_dir):
     return results.drop("message")
 
 
+def _with_folder(query):
+    """For a local session without a shared folder, such as the driver's, one is made."""
+
+    @wraps(query)
+    def run(spark, sf_dir):
+        context = spark.sparkContext
+        unset = not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir())
+        if unset and context.master.startswith("local"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="showcase-"))
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "src_csv": src_csv,
     "src_dat": src_dat,
@@ -465,3 +495,4 @@ QUERIES = {
     "sink_audit": sink_audit,
     "suite_summary": suite_summary,
 }
+QUERIES = {name: _with_folder(query) for name, query in QUERIES.items()}

@@ -18,6 +18,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.checkpoint.dir", f"{scratch}/shared")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

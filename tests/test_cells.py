@@ -63,11 +63,11 @@ def counted(cells):
 
 
 @SETTINGS
-@given(source=ROWS, target=ROWS, max_pairs=st.sampled_from([0, 2, 1000]))
-def test_joined_rows_equal_nested_loops(spark, source, target, max_pairs):
+@given(source=ROWS, target=ROWS)
+def test_joined_rows_equal_nested_loops(spark, source, target):
     s, t = spark.createDataFrame(source, SCHEMA), spark.createDataFrame(target, SCHEMA)
     expected = joined_cells(source, target)
-    assert counted(ac.cell_diff(s, t, SAME, KEY, max_pairs=max_pairs)) == expected
+    assert counted(ac.cell_diff(s, t, SAME, KEY)) == expected
     stored = keys_not_unique(s, t, SAME, KEY)
     assert counted(ac.cell_diff(s, t, SAME, KEY, duplicates=stored)) == expected
     # The join gives one line per joined row, so it agrees whatever the keys.
@@ -91,7 +91,7 @@ def test_sample_customers(spark):
     mapping = ac.parse_mapping("id:cust_id,name:cust_name,email:cust_email")
     keys = ac.parse_keys("id", mapping)
     assert [tuple(r) for r in ac.cell_diff(source, target, mapping, keys).collect()] == [
-        ("2", "email", "jane.smith@example.com", "jane.s@example.com", "value", 1, 1, 1)
+        ("2", "email", "jane.smith@example.com", "jane.s@example.com", "value", False, 1, 1, 1)
     ]
     details = ac.mismatch_details(source, target, mapping, keys).collect()
     assert details[0]["mismatch_details"] == "email:jane.smith@example.com!=jane.s@example.com"
@@ -171,14 +171,14 @@ def test_nested_values(spark):
     cells = ac.cell_diff(source, other, mapping, mapping[:1]).collect()
     assert {r["column_name"] for r in cells} == set("majsb")
     doubled = source.unionAll(source)
-    many = ac.cell_diff(doubled, other, mapping, mapping[:1], max_pairs=0).collect()
+    many = ac.cell_diff(doubled, other, mapping, mapping[:1]).collect()
     assert {r["column_name"] for r in many if r["joined_rows"]} == set("majsb")
 
 
 def test_only_keys_are_mapped(spark):
     source = spark.createDataFrame([(1,), (2,)], "k int")
     target = spark.createDataFrame([(2,), (2,), (3,)], "k int")
-    for options in ({}, {"max_pairs": 0}, {"unique_keys": True}):
+    for options in ({}, {"unique_keys": True}):
         cells = ac.cell_diff(source, target, KEY, KEY, **options).collect()
         assert sorted((r["k"], r["kind"]) for r in cells) == [
             (1, "missing_in_target"),
@@ -223,3 +223,63 @@ def test_wrong_keys_raise(spark, keys):
     one = spark.createDataFrame([(1, "a", 1.0)], SCHEMA)
     with pytest.raises(ac.ConfigError):
         ac.cell_diff(one, one, SAME, keys)
+
+
+@pytest.mark.parametrize("copies", [2, 31, 32, 400])
+def test_repeated_keys_have_one_form_and_real_kinds(spark, copies):
+    """However many rows a key has: a line per distinct value, of that value's kind."""
+    source = spark.range(copies).selectExpr("1 AS k", "if(id = 0, NULL, 'a') AS v", "'5' AS x")
+    target = spark.range(copies).selectExpr("1 AS k", "'b' AS v", "if(id = 0, 6, 5) AS x")
+    source = source.selectExpr("k", "v", "if(v IS NULL, 'z', x) AS x")
+    for stored in (None, keys_not_unique(source, target, SAME, KEY)):
+        lines = ac.cell_diff(source, target, SAME, KEY, duplicates=stored).collect()
+        assert all(r["repeated"] for r in lines)
+        found = {tuple(r)[1:5]: (r["src_n"], r["tgt_n"], r["joined_rows"]) for r in lines}
+        n = copies
+        assert found == {
+            ("v", None, None, "null_vs_value"): (1, 0, n),
+            ("v", "a", None, "value"): (n - 1, 0, (n - 1) * n),
+            ("v", None, "b", "value"): (0, n, 0),
+            ("x", "z", None, "uncastable"): (1, 0, n),
+            ("x", "5", "5", "value"): (n - 1, n - 1, n - 1),
+            ("x", None, "6", "value"): (0, 1, 0),
+        }
+
+
+def test_no_plan_sorts_to_aggregate(spark):
+    """Rows are counted by hash, and no pairs are built."""
+    rows = spark.range(100).selectExpr("id % 50 AS k", "CAST(id AS STRING) AS v", "1.5D AS x")
+    plan = ac.cell_diff(rows, rows, SAME, KEY)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "CartesianProduct" not in plan
+
+
+def test_contradictory_mapping_raises(spark):
+    one = spark.createDataFrame([(1, "a", 1.0)], SCHEMA)
+    with pytest.raises(ac.ConfigError):
+        ac.cell_diff(one, one, [("k", "x"), ("v", "v")], KEY)
+
+
+def test_what_a_type_cannot_hold_is_reported(spark):
+    source = spark.sql(
+        """SELECT 1 AS k, '1.239' AS a, '2024-01-01 10:00:00' AS b, 9007199254740993 AS c, '9007199254740993' AS d
+           UNION ALL SELECT 2, '1.24', '2024-01-01', 9007199254740992, '7'"""
+    )
+    target = spark.sql(
+        """SELECT k, CAST(1.24 AS DECIMAL(18,2)) AS a, DATE'2024-01-01' AS b, 9007199254740992D AS c,
+                  if(k = 1, 9007199254740992D, 7D) AS d FROM VALUES (1), (2) AS t(k)"""
+    )
+    mapping = [(c, c) for c in "kabcd"]
+    for options in ({}, {"unique_keys": True}):
+        lines = ac.cell_diff(source, target, mapping, KEY, **options).collect()
+        assert {(r["k"], r["column_name"], r["source_value"], r["kind"]) for r in lines} == {
+            (1, "a", "1.239", "uncastable"),
+            (1, "b", "2024-01-01 10:00:00", "uncastable"),
+            (1, "c", "9007199254740993", "uncastable"),
+            (1, "d", "9007199254740993", "uncastable"),
+        }
+    drift = {r["column_name"]: r["unreadable_rows"] for r in ac.schema_drift(source, target).collect()}
+    assert drift == {"a": 1, "b": 1, "c": 1, "d": 1}
+    zoned = spark.sql("SELECT 1 AS k, TIMESTAMP'2024-01-01 00:00:00' AS t")
+    plain = spark.sql("SELECT 1 AS k, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS t")
+    with pytest.raises(ac.ConfigError):
+        ac.cell_diff(zoned, plain, [("k", "k"), ("t", "t")], KEY)

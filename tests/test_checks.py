@@ -17,6 +17,12 @@ def test_parse_mapping():
             ac.parse_mapping(wrong)
 
 
+def test_names_are_compared_without_case():
+    assert ac.parse_keys("ID", [("id", "cust")]) == [("ID", "cust")]
+    with pytest.raises(ac.ConfigError):
+        ac.parse_mapping("a:x,A:y")
+
+
 def test_parse_keys():
     mapping = ac.parse_mapping("id:cust_id,name:n")
     assert ac.parse_keys("id", mapping) == [("id", "cust_id")]
@@ -57,6 +63,9 @@ def test_record_count_and_threshold(spark):
     assert ac.record_count(s, t.limit(3)).first()["status"] == "FAILURE"
     found = ac.threshold(s, t, limit=0.1).first()
     assert (found["source_only"], found["mismatch_ratio"], found["status"]) == (1, 0.1, "SUCCESS")
+    more = ac.threshold(s, spark.range(1000).toDF("n")).first()
+    assert (more["target_only"], more["status"]) == (990, "FAILURE")
+    assert ac.threshold(s.where("false"), t).first()["status"] == "FAILURE"
     assert ac.threshold(s, t).first()["status"] == "FAILURE"
     assert ac.threshold(s, s).first()["status"] == "SUCCESS"
 
@@ -71,6 +80,8 @@ def test_schema_drift(spark):
         ("b", "type_differs", "int", "tinyint", 1),
     }
     assert ac.schema_drift(s, s).count() == 0
+    arrays = [spark.sql(f"SELECT array({x}) AS a") for x in ("1", "CAST(NULL AS INT)")]
+    assert ac.schema_drift(*arrays).count() == 0
     assert ac.schema_drift(s, s).columns == ac.schema_drift(s, t).columns
 
 
@@ -164,6 +175,19 @@ def test_report_tells_whom_to_notify(spark):
         assert found == {"good": on_success == "Y", "bad": on_failure == "Y"}
 
 
+def test_report_keeps_checks_without_ids_and_of_jobs_listed_twice(spark):
+    checks = spark.createDataFrame(
+        [(None, None, "s2t", "FAILURE"), ("twice", "1", "s2t", "FAILURE")],
+        "job_name string, run_id string, recon_type string, status string",
+    )
+    flags = spark.createDataFrame(
+        [("twice", "N", "N"), ("twice", "N", "Y")],
+        "job_name string, notify_on_success string, notify_on_failure string",
+    )
+    found = {r["job_name"]: r["should_notify"] for r in ac.run_report(checks, flags).collect()}
+    assert found == {None: False, "twice": True}
+
+
 def test_tags(spark):
     df = spark.range(3).toDF("n")
     row = ac.tag_results(df, "j", "s2t", "FAILURE", 1_700_000_000_999, 1_700_000_002_998, 10).first()

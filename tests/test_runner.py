@@ -71,8 +71,9 @@ def test_jdbc_is_read_in_partitions():
     ac.read(spark, "jdbc", "orders", options=options)
     spark.read.format.assert_called_with("jdbc")
     spark.read.format().options.assert_called_with(**options, dbtable="orders")
-    with pytest.raises(ac.ConfigError):
-        ac.read(spark, "jdbc", "orders", options={"url": "jdbc:x", "numPartitions": "4"})
+    for wrong in ({}, {"partitionColumn": "id"}):
+        with pytest.raises(ac.ConfigError):
+            ac.read(spark, "jdbc", "orders", options={"url": "jdbc:x", **wrong})
 
 
 def test_shared_folder_is_the_session_s(spark):
@@ -175,7 +176,18 @@ def test_differing_job_stores_results_and_audit(spark, employees):
     assert rolled == {"r1": "FAILURE", "r2": "FAILURE"}
     assert run.previews["s2t"].count() == 2
     ac.run_job(spark, job, "r3", results_type="orc", results_location=results, audit_table=audit)
-    assert spark.read.orc(results).where("job_name = 'employees'").count() > 0
+    by_check = {"source_to_target": 3, "s2t": 2, "missing_extra_records": 1}
+
+    def stored_checks():
+        rows = spark.read.orc(results).groupBy("job_name", "recon_type").count().collect()
+        return {(r["job_name"], r["recon_type"]): r["count"] for r in rows}
+
+    assert stored_checks() == {("employees", c): n for c, n in by_check.items()}
+    other = change(job, job_name="a/b=c")
+    ac.run_job(spark, other, "r4", results_type="orc", results_location=results, audit_table=audit)
+    clean = change(employees, write_results="Y")
+    ac.run_job(spark, clean, "r5", results_type="orc", results_location=results, audit_table=audit)
+    assert stored_checks() == {("a/b=c", c): n for c, n in by_check.items()}
 
 
 def test_one_check_s_error_does_not_stop_the_next(spark, employees):
@@ -200,8 +212,70 @@ def test_rules_of_a_job(spark, employees):
 def test_drift_is_a_warning(spark, employees):
     job = change(employees, checks="schema_drift,source_to_target", column_mapping="id:emp_id,name:emp_name")
     run = ac.run_job(spark, job)
-    assert statuses(run) == {"schema_drift": "WARNING", "source_to_target": "SUCCESS"}
-    assert run.events.where("status = 'WARNING'").count() == 2
+    assert statuses(run) == {"schema_drift": "WARNING", "source_to_target": "WARNING"}
+    assert run.events.where("status = 'WARNING'").count() == 3
+    assert {r["run_status"] for r in run.report.collect()} == {"WARNING"}
+
+
+def test_columns_left_out_are_no_success(spark):
+    folders = [new_folder(spark, f"{side}.parquet") for side in ("source", "target")]
+    spark.createDataFrame([(1, 5, "a")], "id int, amount int, note string").write.parquet(folders[0])
+    spark.createDataFrame([(1, 6)], "id int, total int").write.parquet(folders[1])
+    job = Job(
+        job_name="left_out",
+        source_type="parquet",
+        source_location=folders[0],
+        target_type="parquet",
+        target_location=folders[1],
+        checks="source_to_target,threshold,business_rule",
+        rule_sql="SELECT * FROM source_view",
+    )
+    run = ac.run_job(spark, job)
+    assert statuses(run) == {
+        "source_to_target": "WARNING",
+        "threshold": "FAILURE",
+        "business_rule": "FAILURE",
+    }
+    assert all("columns differ" in r["message"] for r in run.check_results.collect())
+
+
+def test_a_failed_write_keeps_the_finding(spark, employees):
+    job = change(employees, checks="record_count,s2t", column_mapping="id:emp_id,name:emp_salary", write_results="Y")
+    taken = new_folder(spark, "file.txt")
+    spark.range(1).selectExpr("CAST(id AS STRING)").coalesce(1).write.text(taken)
+    inside = next(r.f for r in spark.read.text(taken).selectExpr("input_file_name() AS f").collect())
+    run = ac.run_job(spark, job, results_type="parquet", results_location=inside)
+    assert statuses(run) == {"record_count": "SUCCESS", "s2t": "FAILURE", "store_results": "ERROR"}
+
+
+def test_options_of_each_side(spark):
+    folders = [new_folder(spark, f"{side}.csv") for side in ("source", "target")]
+    for folder, sep in zip(folders, ";|"):
+        spark.range(3).selectExpr("id", "id AS v").write.csv(folder, header=True, sep=sep)
+    job = Job(
+        job_name="options",
+        source_type="csv",
+        source_location=folders[0],
+        target_type="csv",
+        target_location=folders[1],
+        checks="source_to_target",
+        source_options='{"sep": ";"}',
+        target_options='{"sep": "|"}',
+    )
+    assert statuses(ac.run_job(spark, job)) == {"source_to_target": "SUCCESS"}
+    with pytest.raises(ac.ConfigError):
+        change(job, source_options="sep=;").validate()
+
+
+def test_jobs_run_side_by_side(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def rule(n):
+        views = {"source_view": spark.range(n)}
+        return [ac.rule_violations(views, "SELECT * FROM source_view").count() for _ in range(5)]
+
+    with ThreadPoolExecutor(2) as pool:
+        assert [set(x) for x in pool.map(rule, (3, 4))] == [{3}, {4}]
 
 
 def test_wrong_columns_raise_before_anything_runs(spark, employees):
