@@ -215,7 +215,8 @@ def candidate_stars(tiles: DataFrame, threshold: float) -> DataFrame:
 
 def _agree(bits, a: list, b: list, least: float, found_a: list, found_b: list) -> None:
     """Moves the pairs whose min-hashes agree to what is found."""
-    x, y = np.concatenate(a), np.concatenate(b)
+    none = np.zeros(0, np.int64)
+    x, y = np.concatenate([none, *a]), np.concatenate([none, *b])
     good = np.zeros(len(x), bool)
     for at in range(0, len(x), 50_000):
         part = slice(at, at + 50_000)
@@ -295,7 +296,8 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     prefixes = texts.select("node", F.explode("keys").alias("key"))
     buckets = keep(prefixes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    members = prefixes.join(buckets, "key").join(texts.select("node", "bits"), "node")
+    # Sides that grow with the documents are merged at every size.
+    members = prefixes.join(buckets.hint("merge"), "key").join(texts.select("node", "bits").hint("merge"), "node")
     tiles = _tiled(members, "key", F.ceil(F.col("n") / BLOCK))
     stars = keep(candidate_stars(tiles, threshold).distinct(), "stars")
     clusters = components(stars)
@@ -310,7 +312,7 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
     # One row of each node: repeated rows share doc_id and text.
-    own = rows.join(clusters, same).select("node", "cluster", "n", "text").dropDuplicates(["node"])
+    own = rows.join(clusters.hint("merge"), same).select("node", "cluster", "n", "text").dropDuplicates(["node"])
     tiles = _tiled(own, "cluster", F.ceil(F.col("n") * 2 / BLOCK))
     exact = keep(verified(tiles, threshold), "verified")
     classes = components(exact.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
