@@ -281,7 +281,10 @@ def verified(tiles: DataFrame, threshold: float) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_key, class_id, n_links, n_copies of each document."""
+    """doc_id, text_key, class_id, n_links, n_copies and class_node of each document.
+
+    class_node names the class, also if none of it has an id; it is null for documents without words.
+    """
     found = keep(sketches(docs, prefix_length(threshold)), "sketches")
     texts = keep(
         found.where("node IS NOT NULL")
@@ -334,4 +337,27 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
+        F.col("root").alias("class_node"),
+    )
+
+
+def one_of_each_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The document with the least doc_id of each class (one of equal rows), and all without words."""
+    rows = keep(similar_classes(docs, threshold), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    each = rows.groupBy("class_node", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    firsts = rows.where("class_node IS NOT NULL").groupBy("class_node").agg(F.min(order).alias("first"))
+    own = F.col("e.class_node") == F.col("f.class_node")
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    stay = keep(
+        each.alias("e")
+        .join(firsts.alias("f"), own, "left")
+        .where(F.col("e.class_node").isNull() | first)
+        .select("doc_id", "text_key", F.when(F.col("e.class_node").isNull(), 1).otherwise(F.col("n")).alias("n")),
+        "stay",
     )
+    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.xxhash64("d.text") == F.col("s.text_key"))
+    once = docs.alias("d").join(stay.where("n = 1").alias("s").hint("merge"), same, "left_semi")
+    # Equal rows of one class: the first that comes.
+    several = docs.alias("d").join(keep(stay.where("n > 1"), "several").alias("s"), same, "left_semi")
+    return once.unionByName(several.dropDuplicates(["doc_id", "text"]))
