@@ -4,7 +4,7 @@ Labelled pages of a host are k bad ones of n.  The bad rate of a suffix is shrun
 all pages, that of a registered domain towards its suffix and that of a host towards its domain:
 with a beta prior of mean m and strength s the posterior mean is (k + s m) / (n + s).  The strength
 of each level comes from the variance between its groups beyond what binomial draws explain
-(method of moments).  A host is blocked if the lower bound of its posterior bad rate is above a
+(method of moments), but is never more than the evidence that the parent's own rate rests on.  A host is blocked if the lower bound of its posterior bad rate is above a
 limit, so that few labels never block a host.
 
 Everything is built-in functions.  Outcomes are summed by host before any other shuffle, and
@@ -60,7 +60,7 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
 
 
 def _shrunk(groups: DataFrame, parents: DataFrame, on: list[str], least: float, most: float):
-    """Groups with k and n, and the rate of their parent, get the posterior ``a`` and ``b``."""
+    """Groups with k and n, and rate m and evidence w of their parents, give the posterior ``a`` and ``b``."""
     joined = groups.join(parents, on) if on else groups.crossJoin(F.broadcast(parents))
     labelled = joined.where("n > 0")
     spread = labelled.agg(
@@ -83,10 +83,11 @@ def _shrunk(groups: DataFrame, parents: DataFrame, on: list[str], least: float,
         .otherwise(F.lit(most))
         .alias("s")
     )  # one row
+    s = F.least("s", "w")
     return joined.crossJoin(F.broadcast(strength)).select(
         *groups.columns,
-        (F.col("k") + F.col("s") * F.col("m")).alias("a"),
-        (F.col("n") - F.col("k") + F.col("s") * (1 - F.col("m"))).alias("b"),
+        (F.col("k") + s * F.col("m")).alias("a"),
+        (F.col("n") - F.col("k") + s * (1 - F.col("m"))).alias("b"),
     )
 
 
@@ -108,11 +109,13 @@ def host_reputation(
         (
             (F.coalesce(F.sum("k"), F.lit(0)) + least * base_rate)
             / (F.coalesce(F.sum("n"), F.lit(0)) + least)
-        ).alias("m")
+        ).alias("m"),
+        (F.coalesce(F.sum("n"), F.lit(0)) + least).alias("w"),
     )
-    mean = (F.col("a") / (F.col("a") + F.col("b"))).alias("m")
-    suffix_rate = _shrunk(suffixes, top, [], least, most).select("suffix", mean)
-    domain_rate = _shrunk(domains, suffix_rate, ["suffix"], least, most).select("domain", mean)
+    weight = F.col("a") + F.col("b")
+    known = ((F.col("a") / weight).alias("m"), weight.alias("w"))
+    suffix_rate = _shrunk(suffixes, top, [], least, most).select("suffix", *known)
+    domain_rate = _shrunk(domains, suffix_rate, ["suffix"], least, most).select("domain", *known)
     return _shrunk(hosts, domain_rate, ["domain"], least, most).select("host", "k", "n", "a", "b")
 
 

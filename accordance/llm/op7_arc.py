@@ -81,7 +81,9 @@ def write_arc(pages: DataFrame, path: str) -> None:
                 size = len(body.encode())
                 content = _http(page_id, size) + body
                 head = len(content) - len(body)
-                place = "-" if url is None or not url else quote(url, safe="%/:=&?~#+!$,;'@()*[]|")
+                place = quote(url, safe="%/:=&?~#+!$,;'@()*[]|") if url else "-"
+                if place.startswith("filedesc://"):  # only an archive's own record starts so
+                    place = place.replace(":", "%3A", 1)
                 out.append(_header(place, "text/html", head + size, version, name, offset) + content)
                 offset += len(out[-1].encode()) + 1
                 count += 1

@@ -19,16 +19,16 @@ WITH judged AS (
   FROM (SELECT *, coalesce(l[2] || '.' || l[1], '') IN ('ac.uk', 'co.jp', 'co.nz', 'co.uk', 'com.au', 'com.br', 'gov.uk', 'org.uk') AS two FROM parts)
 ), domains AS (SELECT domain, suffix, sum(k) AS k, sum(n) AS n FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, sum(k) AS k, sum(n) AS n FROM domains GROUP BY ALL),
-top AS (SELECT (coalesce(sum(k), 0) + 0.2) / (coalesce(sum(n), 0) + 2) AS m FROM suffixes),
-s1 AS (SELECT suffix, k, n, m FROM suffixes, top),
+top AS (SELECT (coalesce(sum(k), 0) + 0.2) / (coalesce(sum(n), 0) + 2) AS m, coalesce(sum(n), 0) + 2 AS w FROM suffixes),
+s1 AS (SELECT suffix, k, n, m, w FROM suffixes, top),
 t1 AS (SELECT {strength} AS s FROM s1 WHERE n > 0),
-r1 AS (SELECT suffix, (k + s * m) / (n + s) AS m FROM s1, t1),
-s2 AS (SELECT domain, k, n, m FROM domains JOIN r1 USING (suffix)),
+r1 AS (SELECT suffix, (k + least(s, w) * m) / (n + least(s, w)) AS m, n + least(s, w) AS w FROM s1, t1),
+s2 AS (SELECT domain, k, n, m, w FROM domains JOIN r1 USING (suffix)),
 t2 AS (SELECT {strength} AS s FROM s2 WHERE n > 0),
-r2 AS (SELECT domain, (k + s * m) / (n + s) AS m FROM s2, t2),
-s3 AS (SELECT host, k, n, m FROM hosts JOIN r2 USING (domain)),
+r2 AS (SELECT domain, (k + least(s, w) * m) / (n + least(s, w)) AS m, n + least(s, w) AS w FROM s2, t2),
+s3 AS (SELECT host, k, n, m, w FROM hosts JOIN r2 USING (domain)),
 t3 AS (SELECT {strength} AS s FROM s3 WHERE n > 0),
-r3 AS (SELECT host, (k + s * m) / (n + s) AS p, n + s AS w FROM s3, t3),
+r3 AS (SELECT host, (k + least(s, w) * m) / (n + least(s, w)) AS p, n + least(s, w) AS w FROM s3, t3),
 ruled AS (
   SELECT *, CASE
     WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
