@@ -19,7 +19,7 @@ from accordance.operators.keys import key_diff
 from accordance.operators.report import preview, run_report, tag_results
 from accordance.operators.rows import only_counts, row_diff
 from accordance.operators.rules import SOURCE_VIEW, TARGET_VIEW, rule_violations
-from accordance.plans.workspace import stage
+from accordance.plans.workspace import local_rows, new_folder, remove_folder, stage
 from accordance.sinks.audit import append_audit, audit_events
 from accordance.sinks.results import (
     cell_results,
@@ -71,6 +71,10 @@ class _Sides:
 
     def __init__(self, spark: SparkSession, job: Job, options: dict[str, dict[str, str]]):
         self.spark, self.job, self.options = spark, job, options
+        self.folder = new_folder(spark, "job")
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(df, name, self.folder)
 
     def _read(self, side: str, kind: str, location: str | None, query: str | None) -> DataFrame:
         options = {**self.options.get((kind or "").lower(), {}), **self.job.options_of(side)}
@@ -99,7 +103,7 @@ class _Sides:
 
     @cached_property
     def rows(self) -> DataFrame:
-        return stage(self.rows_plan, "rows")
+        return self.stage(self.rows_plan, "rows")
 
     @cached_property
     def only(self) -> tuple[int, int]:
@@ -125,9 +129,9 @@ def _s2t(sides: _Sides) -> Callable[[], Outcome]:
 
     def run() -> Outcome:
         # A look at the key columns alone settles how the rows have to be compared.
-        stored = stage(duplicates, "duplicates")
+        stored = sides.stage(duplicates, "duplicates")
         how = {"unique_keys": True} if stored.isEmpty() else {"duplicates": stored}
-        cells = stage(cell_diff(*arguments, **how), "cells")
+        cells = sides.stage(cell_diff(*arguments, **how), "cells")
         found = cells.agg(
             F.count("*").alias("n"),
             F.count_if(F.col("kind") == Kind.MISSING_IN_TARGET).alias("source_only"),
@@ -203,7 +207,7 @@ def _business_rule(sides: _Sides) -> Callable[[], Outcome]:
     left_out = _left_out(*one_sided_columns(result, sides.target, named))
 
     def run() -> Outcome:
-        rows = stage(plan, "rule_rows")
+        rows = sides.stage(plan, "rule_rows")
         only = tuple(rows.agg(*only_counts()).first())
         return _failed_by(left_out, _row_outcome(rows, only, "the rule gives the target's rows"))
 
@@ -214,7 +218,7 @@ def _sql(sides: _Sides) -> Callable[[], Outcome]:
     plan = violation_results(rule_violations(sides.views, sides.job.rule_sql))
 
     def run() -> Outcome:
-        rows = stage(plan, "violations")
+        rows = sides.stage(plan, "violations")
         found = rows.count()
         message = f"{found} rows violate the rule" if found else "no row violates the rule"
         return Outcome(
@@ -245,7 +249,7 @@ def _missing_extra(sides: _Sides) -> Callable[[], Outcome]:
     plan = key_diff(sides.source, sides.target, sides.job.keys)
 
     def run() -> Outcome:
-        keys = stage(plan, "keys")
+        keys = sides.stage(plan, "keys")
         in_target, in_source = keys.agg(
             F.count_if(F.col("kind") == Kind.MISSING_IN_TARGET),
             F.count_if(F.col("kind") == Kind.MISSING_IN_SOURCE),
@@ -293,7 +297,7 @@ def _schema_drift(sides: _Sides) -> Callable[[], Outcome]:
     plan = schema_drift(sides.source, sides.target, sides.job.mapping)
 
     def run() -> Outcome:
-        drift = stage(plan, "drift")
+        drift = sides.stage(plan, "drift")
         found = drift.count()
         message = f"{found} columns drifted" if found else "names and types agree"
         return Outcome(
@@ -368,7 +372,7 @@ def run_job(
                 )
                 differences.append(tagged.withColumn("run_id", F.lit(run_id)))
             if outcome.found and outcome.preview is not None:
-                previews[name] = outcome.preview
+                previews[name] = local_rows(outcome.preview)
         except ConfigError:
             raise
         except Exception as error:  # noqa: BLE001 - a check's trouble is its result
@@ -398,6 +402,7 @@ def run_job(
         except Exception as error:  # noqa: BLE001 - the findings stay, with the trouble
             log(STORE, Status.ERROR, _message(error))
             results.append((job.job_name, run_id, STORE, Status.ERROR, *[None] * 5, _message(error)))
+    remove_folder(spark, sides.folder)
 
     event_rows = audit_events(spark, events)
     if _yes(job.write_audit):

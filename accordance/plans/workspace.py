@@ -22,12 +22,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/accordance/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read back.
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """The frame written to the shared folder, or to one in it, and read back.
 
     What reads the result does not run the comparison again, also not after an executor
     is lost.
     """
-    path = new_folder(df.sparkSession, name)
+    path = f"{folder}/{name}" if folder else new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove what was staged in a folder, wherever Spark keeps it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def local_rows(df: DataFrame) -> DataFrame:
+    """The few rows of a preview, kept without the files they come from."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

@@ -217,6 +217,19 @@ def test_drift_is_a_warning(spark, employees):
     assert {r["run_status"] for r in run.report.collect()} == {"WARNING"}
 
 
+def test_nothing_staged_is_left(spark, employees):
+    def staged():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark) + "/accordance")
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return {str(f.getPath()) for f in system.globStatus(path.suffix("/*/job"))}
+
+    before = staged()
+    changed = change(employees, column_mapping="id:emp_id,name:emp_name", checks="s2t,source_to_target,schema_drift")
+    run = ac.run_job(spark, changed)
+    assert staged() == before
+    assert run.previews["schema_drift"].count() > 0
+
+
 def test_columns_left_out_are_no_success(spark):
     folders = [new_folder(spark, f"{side}.parquet") for side in ("source", "target")]
     spark.createDataFrame([(1, 5, "a")], "id int, amount int, note string").write.parquet(folders[0])
