@@ -37,7 +37,10 @@ def log_count_ratios(y: np.ndarray, x: list[np.ndarray], smooth: float = 1.0) ->
 def dual_coordinate_descent(
     y: np.ndarray, x: list[np.ndarray], r: np.ndarray, cost: float, epochs: int, seed: int = 7
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise |w|^2 / 2 + cost * sum of squared hinge losses; classes weigh the same."""
+    """Weights and bias that minimise |w|^2 / 2 + cost * sum of hinge losses; classes weigh the same.
+
+    One dual variable at a time is moved to its best value between 0 and the cost of its document.
+    """
     signs = np.where(y > 0, 1.0, -1.0)
     share = np.array([(signs < 0).mean(), (signs > 0).mean()])
     each = cost / (2 * np.where(signs > 0, share[1], share[0]))
@@ -45,13 +48,13 @@ def dual_coordinate_descent(
     values = [r[row] for row in x]
     norm = [1 / max(np.sqrt(v @ v), 1e-9) for v in values]
     values = [v * n for v, n in zip(values, norm, strict=True)]
-    diagonal = np.array([v @ v + 1 for v in values]) + 1 / (2 * each)
+    diagonal = np.array([v @ v + 1 for v in values])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         largest = 0.0
         for i in rng.permutation(len(x)):
-            gradient = signs[i] * (w[x[i]] @ values[i] + bias) - 1 + alpha[i] / (2 * each[i])
-            new = max(alpha[i] - gradient / diagonal[i], 0.0)
+            gradient = signs[i] * (w[x[i]] @ values[i] + bias) - 1
+            new = min(max(alpha[i] - gradient / diagonal[i], 0.0), each[i])
             if change := new - alpha[i]:
                 w[x[i]] += change * signs[i] * values[i]
                 bias += change * signs[i]
