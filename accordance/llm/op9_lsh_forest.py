@@ -118,13 +118,17 @@ def sketches(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _tiled(members: DataFrame, key: str, blocks) -> DataFrame:
-    """Each row once for each tile (i, j) of its group that it is in; ``block`` is its own."""
+    """Each row once for each tile (i, j) of its group that it is in; ``block`` is its own.
+
+    Nodes of a tile are in order, so that the first of a group, the middle of its star, is the same in
+    most tiles of the group.
+    """
     block = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
     rows = members.withColumn("blocks", blocks.cast("int")).withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("other", other)
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    return rows.drop("blocks", "other").repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
+    return rows.drop("blocks", "other").repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
