@@ -98,9 +98,35 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
+_CAPITALS = "".join(chr(c) for c in [*range(65, 91), *range(0xC0, 0xDF)] if c != 0xD7)
+_SMALL = "".join(chr(ord(c) + 32) for c in _CAPITALS)
+
+CLASSES = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_CAPITALS}', '{_SMALL}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), n AS (
+  SELECT row_number() OVER () AS id, w, min(doc_id) AS first, count(*) AS n_copies FROM d WHERE len(w) > 0 GROUP BY w
+), sh AS (
+  SELECT DISTINCT id, array_to_string(w[s:s + 4], ' ') AS x
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM n)
+), size AS (SELECT id, count(*) AS n FROM sh GROUP BY id),
+common AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM sh a JOIN sh b ON a.x = b.x AND a.id < b.id GROUP BY ALL),
+pair AS (
+  SELECT a, b FROM common JOIN size p ON p.id = a JOIN size q ON q.id = b WHERE 10 * k >= 8 * (p.n + q.n - k)
+), link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach AS (SELECT id, id AS other FROM n UNION SELECT reach.id, link.b FROM reach JOIN link ON link.a = reach.other),
+class AS (SELECT reach.id, min(n.first) AS class_id FROM reach JOIN n ON n.id = reach.other GROUP BY reach.id),
+degree AS (SELECT a AS id, count(*) AS n_links FROM link GROUP BY a)
+SELECT doc_id, CASE WHEN n.id IS NULL THEN doc_id ELSE class_id END AS class_id,
+  coalesce(n_links, 0) AS n_links, coalesce(n_copies, 1) AS n_copies
+FROM d LEFT JOIN n ON n.w = d.w LEFT JOIN class USING (id) LEFT JOIN degree USING (id)
+"""
+
 ORACLES = {
     "op4_url_reputation": URL,
     "op5_winnowing": WINDOWS,
     "op7_arc_to_warc": ARCHIVES,
+    "op9_lsh_forest": CLASSES,
     "op10_pivot_topk": TOP_K,
 }
