@@ -45,10 +45,13 @@ def op2_nbsvm_quality(spark, sf_dir):
 
 
 def op3_cross_entropy(spark, sf_dir):
-    """The target are the documents that a label calls good."""
+    """The target are the documents that a label calls good.
+
+    Labels grow with the documents, so the two are merged at every size.
+    """
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return op3.cross_entropy_difference(docs, docs.join(good, "doc_id", "left_semi"))
+    return op3.cross_entropy_difference(docs, docs.join(good.hint("merge"), "doc_id", "left_semi"))
 
 
 def op4_url_reputation(spark, sf_dir):
