@@ -1,13 +1,16 @@
 """LM scoring: cross-entropy difference of a target and a background model.
 
-Both are models of pairs of words over one vocabulary, the words (as 64-bit hashes) most frequent in all
-documents; other words share one id.  Words, pairs and their contexts are counted over all documents and
-all target documents: tasks count their share, Spark adds up.  The models keep the pairs with the highest
-counts, as many as fit ``PAIRS``, with absolute discounting; what the others of a context have lost goes to single words, so that each
-context's chances add up to one.  A document's score is its loss per word under the target model less that
-under the background model: the lower, the closer to the target.
+Both are models of pairs of words over one vocabulary, all words of the documents (as 64-bit hashes).  Words,
+pairs and their contexts are counted over all documents and all target documents, and every pair counts, with absolute
+discounting: what a context's pairs lose goes to single words, so that each context's chances add up to one.
+A document's score is its loss per word under the target model less that under the background model: the lower, the
+closer to the target.
 
-Counting moves what tasks have seen, which grows with the corpus; only the bounded models go to all tasks.
+The counts of words and pairs are written tables until the chances of pairs are one.  Frequent words have numbers, and the chances of frequent pairs go to all
+tasks (``LOOKED_UP`` of each at most); a document's other pairs are joined with their chances.  How a pair is looked up
+does not change its chance.  Pairs that occur once in all and never in the target are not joined: they are those not found.
+
+``words`` and ``pairs``, if given, ask for a model bounded to the most frequent ones, which fits a task's memory.
 
 Defined results: a null or empty text has no words, and its losses and score are 0.  Repeated rows are scored and counted each.
 Without target documents the target model knows no pairs and all words alike.  Extra columns are left out.
@@ -16,18 +19,22 @@ Without target documents the target model knows no pairs and all words alike.  E
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accordance.llm.tables import keep
-from accordance.llm.tokens import chunks, runs
+from accordance.llm.tables import keep, new_path
+from accordance.llm.tokens import chunks, mixed, runs
+from accordance.plans.workspace import remove_folder
 
-#: Words of the vocabulary and pairs of the models at most: the bounds of what tasks get.
-VOCABULARY, PAIRS = 1 << 14, 1 << 20
+#: Words and pairs that tasks look up in memory; the others are joined, with the same result.
+LOOKED_UP = 1 << 20
+#: Bits of a word's number in a pair's key, and the most frequent words, whose pairs are dealt out by the pair.
+BITS, TOP = 21, 1 << 12
 DISCOUNT, ADDED = 0.75, 0.5
 #: Words that a task counts before it sends counts on.
 HELD = 4_000_000
@@ -60,7 +67,7 @@ def _words(texts: list[bytes]) -> np.ndarray:
     return runs(texts).words()[1].view(np.int64)
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
+def vocabulary(docs: DataFrame, size: int) -> np.ndarray:
     """The hashes of the most frequent words, sorted; of equally frequent ones the smaller hashes."""
     counts = _counted(docs, _words, "n").groupBy("value").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "value").limit(size).select("value").toArrow()
@@ -111,7 +118,20 @@ class Models:
         return out
 
 
-def fit(docs: DataFrame, target: DataFrame, words: np.ndarray, pairs: int = PAIRS) -> Models:
+def _most(counts: DataFrame, weight: Column, bound: int) -> DataFrame:
+    """The rows from the least count on at which they fit the bound."""
+    most = 1 << 16
+    steps = counts.groupBy(F.least(weight, F.lit(most)).alias("n")).count().orderBy(F.desc("n")).collect()
+    least, held = most + 1, 0
+    for row in steps:  # at most 2^16
+        held += row["count"]
+        if held > bound:
+            break
+        least = row["n"]
+    return counts.where(weight >= least)
+
+
+def fit(docs: DataFrame, target: DataFrame, words: np.ndarray, pairs: int) -> Models:
     width = len(words) + 2
 
     def keys(texts: list[bytes]) -> np.ndarray:
@@ -123,17 +143,7 @@ def fit(docs: DataFrame, target: DataFrame, words: np.ndarray, pairs: int = PAIR
         _counted(target, keys, "own").withColumn("all", none)
     )
     counts = keep(both.groupBy("value").agg(F.sum("own").alias("own"), F.sum("all").alias("all")), "pairs")
-    # The least count at which all pairs fit the model.
-    most = 1 << 16
-    weight = F.col("own") + F.col("all")
-    steps = counts.groupBy(F.least(weight, F.lit(most)).alias("n")).count().orderBy(F.desc("n")).collect()
-    least, held = most + 1, 0
-    for row in steps:  # at most 2^16
-        held += row["count"]
-        if held > pairs:
-            break
-        least = row["n"]
-    kept = counts.where(weight >= least).toArrow().sort_by("value")
+    kept = _most(counts, F.col("own") + F.col("all"), pairs).toArrow().sort_by("value")
     value = np.asarray(kept["value"], dtype=np.int64)
     of_context = _totals(counts, F.floor(F.col("value") / width), width)
     of_word = _totals(counts, F.pmod("value", F.lit(width)), width)
@@ -160,10 +170,255 @@ def _totals(counts: DataFrame, by, width: int) -> dict[str, np.ndarray]:
     return out
 
 
+@dataclass
+class Known:
+    """What tasks look up: frequent words by hash, their counts by number, and chances of frequent pairs."""
+
+    hashes: np.ndarray
+    numbers: np.ndarray
+    context: np.ndarray | None = None  # by number: rows of own and all, distinct pairs of own and all
+    single: np.ndarray | None = None  # by number: own and all
+    words: int = 0  # of the whole vocabulary
+    total: tuple[int, int] = (0, 0)
+    keys: np.ndarray | None = None
+    chances: np.ndarray | None = None
+
+    def pairs_of(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        """doc, key, word before and word of each word.
+
+        A word is its number or a negative hash; a key holds two numbers or is a negative hash, other than that of a word.
+        """
+        doc, hashes = runs(texts).words()
+        word = _negative(hashes, 2)
+        if len(self.hashes):
+            signed = hashes.view(np.int64)
+            at = np.minimum(np.searchsorted(self.hashes, signed), len(self.hashes) - 1)
+            word = np.where(self.hashes[at] == signed, self.numbers[at].astype(np.int64), word)
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        first = np.ones(len(word), bool)
+        first[1:] = doc[1:] != doc[:-1]
+        before[first] = START
+        both = mixed(before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64))
+        key = np.where((before >= 0) & (word >= 0), (before << BITS) | word, _negative(both, 3))
+        return doc, key, before, word
+
+    def log_chances(self, own, both, context, single) -> list[np.ndarray]:
+        """Log chances of pairs with these counts under the target and the background model."""
+        out = []
+        for k, n in enumerate((own, both)):
+            rows = np.maximum(context[k], 1)
+            rest = np.where(context[k] > 0, DISCOUNT * context[k + 2] / rows, 1.0)
+            p = (single[k] + ADDED) / (self.total[k] + ADDED * (self.words + 1))
+            out.append(np.log(np.maximum(n - DISCOUNT, 0) / rows + rest * p))
+        return out
+
+    def of_keys(self, key, own, both) -> list[np.ndarray]:
+        before, word = key >> BITS, key & ((1 << BITS) - 1)
+        return self.log_chances(own, both, self.context[:, before], self.single[:, word])
+
+
+def _negative(hashes: np.ndarray, mark: int) -> np.ndarray:
+    return ((hashes >> np.uint64(2)) | np.uint64(mark << 62)).view(np.int64)
+
+
+#: The words of a pair, as SQL.
+BEFORE, AFTER = f"coalesce(before, shiftright(key, {BITS}))", f"coalesce(word, key & {(1 << BITS) - 1})"
+COUNTS = ("own", "all")
+CONTEXT = ("rows_own", "rows_all", "pairs_own", "pairs_all")
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """As keep(), at a path; the shuffles behind it are removed once the driver's JVM has collected the plan."""
+    df.write.parquet(path)
+    df.sparkSession._jvm.System.gc()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _pair_counts(docs: DataFrame, known: Broadcast, name: str) -> DataFrame:
+    def counted(held: list[tuple]) -> pa.RecordBatch:
+        key, before, word = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*held) if held else ((), (), ())))
+        key, at, n = np.unique(key, return_index=True, return_counts=True)
+        parts = [pa.array(key), *(pa.array(x[at], mask=key >= 0) for x in (before, word)), pa.array(n.astype(np.int64))]
+        return pa.record_batch(parts, names=["key", "before", "word", name])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for _, some in chunks(batch.column("text").to_pylist()):
+                held.append(known.value.pairs_of(some)[1:])
+                size += len(held[-1][0])
+                if size >= HELD:
+                    yield counted(held)
+                    held, size = [], 0
+        yield counted(held)
+
+    return docs.select("text").mapInArrow(count, f"key long, before long, word long, {name} long")
+
+
+def _array(rows: pa.Table, names: tuple[str, ...], size: int) -> np.ndarray:
+    out = np.zeros((len(names), size))
+    for k, name in enumerate(names):
+        out[k, np.asarray(rows["id"], dtype=np.int64)] = np.asarray(rows[name], dtype=np.float64)
+    return out
+
+
+def tables(docs: DataFrame, target: DataFrame):
+    """What tasks look up (broadcast), and the table of the chances (key, target, background) of the pairs to be joined."""
+    spark = docs.sparkSession
+    folder = new_path(spark, "counts")
+    words = _counted(docs, _words, "all").groupBy("value").agg(F.sum("all").alias("all"))
+    words = _written(words, f"{folder}/words")
+    frequent = _most(words, F.col("all"), LOOKED_UP).toArrow().sort_by([("all", "descending"), ("value", "ascending")])
+    value = np.asarray(frequent["value"], dtype=np.int64)
+    order = np.argsort(value)
+    known, size = Known(value[order], (order + 1).astype(np.int32)), len(value) + 1
+    numbers = spark.sparkContext.broadcast(known)
+
+    none = F.lit(0).cast("long")
+    # Written first, so that the shuffles that find the target are gone before those of all pairs are made.
+    of_target = _written(_pair_counts(target, numbers, "own"), f"{folder}/own")
+    both = _pair_counts(docs, numbers, "all").withColumn("own", none).unionByName(of_target.withColumn("all", none))
+    # Pairs of a context lie together, so that contexts are nearly counted where they are read; those of top words are spread.
+    place = F.expr(f"CASE WHEN {BEFORE} BETWEEN 0 AND {TOP} THEN key ELSE {BEFORE} END")
+    pairs = both.withColumn("place", F.pmod(F.xxhash64(place), F.lit(1 << 16))).repartition("place")
+    pairs = pairs.groupBy("place", "key").agg(
+        F.max("before").alias("before"), F.max("word").alias("word"), *(F.sum(c).alias(c) for c in COUNTS)
+    )
+    pairs = _written(pairs.drop("place"), f"{folder}/pairs")
+    numbers.destroy()
+    remove_folder(spark, f"{folder}/own")
+
+    contexts = pairs.groupBy(F.expr(BEFORE).alias("id")).agg(
+        *(F.sum(c).alias(f"rows_{c}") for c in COUNTS), *(F.count_if(F.col(c) > 0).alias(f"pairs_{c}") for c in COUNTS)
+    )
+    contexts = _written(contexts, f"{folder}/contexts")
+    singles = pairs.where("own > 0").groupBy(F.expr(AFTER).alias("id")).agg(F.sum("own").alias("own"))
+    singles = _written(singles, f"{folder}/singles")
+    own = singles.agg(F.coalesce(F.sum("own"), none).alias("n")).first()["n"]
+    whole = words.agg(F.count("*").alias("words"), F.coalesce(F.sum("all"), none).alias("n")).first()
+    context = _array(contexts.where("id >= 0").toArrow(), CONTEXT, size)
+    single = np.zeros((2, size))
+    single[0] = _array(singles.where("id >= 0").toArrow(), ("own",), size)[0]
+    single[1, 1:] = np.asarray(frequent["all"], dtype=np.float64)
+    context, single = context.astype(np.float32), single.astype(np.float32)
+    known = replace(known, context=context, single=single, words=whole["words"], total=(own, whole["n"]))
+
+    inner = pairs.where("key >= 0")
+    top = _most(inner, F.col("own") + F.col("all"), LOOKED_UP).select("key", *COUNTS).toArrow().sort_by("key")
+    known.keys = np.asarray(top["key"], dtype=np.int64)
+    counts = (np.asarray(top[c], dtype=np.float64) for c in COUNTS)
+    known.chances = np.array(known.of_keys(known.keys, *counts), np.float32).reshape(2, -1)
+    shared = spark.sparkContext.broadcast(known)
+
+    def of_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, own, both = (np.asarray(c) for c in batch.columns)
+            new = ~_found(shared.value.keys, key)[1]
+            parts = shared.value.of_keys(key[new], own[new], both[new])
+            yield pa.record_batch([pa.array(key[new]), *(pa.array(x.astype(np.float32)) for x in parts)], names=["key", "target", "background"])
+
+    def of_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = {name: batch.column(name) for name in batch.schema.names}
+            own, both, before, word = (np.asarray(at[c]) for c in (*COUNTS, "before", "word"))
+            context = np.array([np.asarray(at[c].fill_null(0)) for c in CONTEXT], np.float64)
+            single = np.array([np.asarray(at[c].fill_null(0)) for c in ("n_own", "n_all")], np.float64)
+            numbered = before >= 0
+            context[:, numbered] = shared.value.context[:, before[numbered]]
+            numbered = word >= 0
+            single[:, numbered] = shared.value.single[:, word[numbered]]
+            parts = shared.value.log_chances(own, both, context, single)
+            yield pa.record_batch([at["key"], *(pa.array(x.astype(np.float32)) for x in parts)], names=["key", "target", "background"])
+
+    kind = "key long, target float, background float"
+    # Words without a number are joined with their counts; a pair's other word gets a key that no word has.
+    rare_words = words.select(
+        F.shiftrightunsigned("value", 2).bitwiseOR(F.lit(-(1 << 63)).cast("long")).alias("word_key"),
+        F.col("all").alias("n_all"),
+    )
+    own_words = singles.where("id < 0").select(F.col("id").alias("word_key"), F.col("own").alias("n_own"))
+    rare_words = rare_words.join(own_words.hint("merge"), "word_key", "left")
+    outer = pairs.where("key < 0").withColumns(
+        {f"{c}_key": F.when(F.col(c) < 0, F.col(c)).otherwise(F.col("key")) for c in ("before", "word")}
+    )
+    outer = outer.join(contexts.where("id < 0").withColumnRenamed("id", "before_key").hint("merge"), "before_key", "left")
+    outer = outer.join(rare_words.hint("merge"), "word_key", "left")
+    found = inner.where("own > 0 OR all > 1").select("key", *COUNTS).mapInArrow(of_numbers, kind)
+    found = found.unionByName(outer.drop("before_key", "word_key").mapInArrow(of_hashes, kind))
+    found = _written(found, new_path(spark, "chances"))
+    remove_folder(spark, folder)
+    return shared, found
+
+
+def _found(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    return at, keys[at] == key
+
+
+def _by_tables(docs: DataFrame, target: DataFrame) -> DataFrame:
+    shared, chances = tables(docs, target)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    own_key = 1 << 62  # of a document's own row, which no pair has
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each document with what its frequent pairs add, and one for each other pair."""
+        known, row = shared.value, TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for start, some in chunks(batch.column("text").to_pylist()):
+                doc, key, _, _ = known.pairs_of(some)
+                at, frequent = _found(known.keys, key)
+                rows = row + np.arange(len(some))
+                row += len(some)
+                sums = [-np.bincount(doc[frequent], c[at[frequent]], len(some)).astype(np.float64) for c in known.chances]
+                n, none = np.bincount(doc, minlength=len(some)), int((~frequent).sum())
+                ids = batch.column("doc_id").slice(start, len(some))
+                parts = [np.concatenate([rows, rows[doc[~frequent]]]), np.concatenate([own_key | rows, key[~frequent]])]
+                parts = [pa.array(x) for x in parts]
+                for x in (ids, *(pa.array(x) for x in (n, *sums))):
+                    parts.append(pa.concat_arrays([x, pa.nulls(none, x.type)]))
+                yield pa.record_batch(parts, names=["row", "key", "doc_id", "n_words", "t", "b"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            at = {name: batch.column(name) for name in batch.schema.names}
+            key = np.asarray(at["key"])
+            once = (key >= 0) & (key < own_key) & np.asarray(at["target"].is_null())
+            single = known.of_keys(key[once], np.zeros(once.sum()), np.ones(once.sum()))
+            sums = []
+            for k, (own, chance) in enumerate((("t", "target"), ("b", "background"))):
+                x = np.asarray(at[own].fill_null(0.0)) - np.asarray(at[chance].cast(pa.float64()).fill_null(0.0))
+                x[once] -= single[k]
+                sums.append(pa.array(x))
+            yield pa.record_batch([at["row"], at["doc_id"], at["n_words"], *sums], names=["row", "doc_id", "n_words", "t", "b"])
+
+    rows = docs.select("doc_id", "text").mapInArrow(
+        held, f"row long, key long, doc_id {kind}, n_words long, t double, b double"
+    )
+    rows = rows.join(chances.hint("merge"), "key", "left")
+    rows = rows.mapInArrow(added, f"row long, doc_id {kind}, n_words long, t double, b double")
+    sums = rows.groupBy("row").agg(*(F.max(c).alias(c) for c in ("doc_id", "n_words")), F.sum("t").alias("t"), F.sum("b").alias("b"))
+    words = F.greatest("n_words", F.lit(1))
+    return sums.select(
+        "doc_id",
+        "n_words",
+        (F.col("t") / words).alias("target_loss"),
+        (F.col("b") / words).alias("background_loss"),
+        ((F.col("t") - F.col("b")) / words).alias("score"),
+    )
+
+
 def cross_entropy_difference(
-    docs: DataFrame, target: DataFrame, words: int = VOCABULARY, pairs: int = PAIRS
+    docs: DataFrame, target: DataFrame, words: int | None = None, pairs: int | None = None
 ) -> DataFrame:
     """doc_id, n_words, target_loss and background_loss (nats per word), score (their difference)."""
+    if words is None and pairs is None:
+        return _by_tables(docs, target)
+    if words is None or pairs is None:
+        raise ValueError("give both bounds or none")
     models = fit(docs, target, vocabulary(docs, words), pairs)
     shared = docs.sparkSession.sparkContext.broadcast(models)  # its size is bounded by words and pairs
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -113,3 +113,23 @@ def test_chances_of_a_context_add_up_to_one(spark):
     for before in range(m.width):
         for loss in m.losses(o.np.full(len(ids), before), ids):
             assert o.np.exp(-loss).sum() == pytest.approx(1, abs=1e-4)
+
+
+@pytest.mark.parametrize("looked_up", [0, 3, 40, 1 << 20])
+def test_all_words_and_pairs_count_however_they_are_looked_up(spark, monkeypatch, looked_up):
+    monkeypatch.setattr(o, "LOOKED_UP", looked_up)
+    texts = ["a b a c a b", "a b c", "x y a b", "", None, "b b b b a", "A, b! c?", "a b a c a b", "q r s t u v w q r"]
+    docs = [(n, t) for n, t in enumerate(texts)]
+    df = spark.createDataFrame([(i, t, 1, "n") for i, t in docs], SCHEMA)
+    got = scores(o.cross_entropy_difference(df, df.where("doc_id IN (0, 5, 8)")))
+    same(got, brute_scores(docs, [texts[k] for k in (0, 5, 8)], 1 << 30, 1 << 30))
+
+
+def test_the_query_tells_apart_all_words_and_pairs(spark):
+    """More words than any fixed vocabulary had: 2^14 common ones, then two rare ones of the target and the rest."""
+    common = " ".join(f"w{n}" for n in range(1 << 14))
+    rows = [(0, common, 0, ""), (1, common, 0, ""), (2, "rare rare", 0, ""), (3, "other other", 0, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = scores(o.cross_entropy_difference(df, df.where("doc_id = 2")))
+    assert got[2][3] < got[3][3] - 1
+    same(got, brute_scores([r[:2] for r in rows], ["rare rare"], 1 << 30, 1 << 30))
