@@ -18,7 +18,7 @@ zeros.  Extra columns are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +34,13 @@ EXACT, LIMIT = 2.0**53, 2**63 - 1
 HITS = "query_id long, vec_id long, score long"
 
 
-def whole_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id and the components as whole doubles, of the vectors that take part."""
+def whole_vectors(vectors: DataFrame, scale: int = 256, also: Sequence[str] = ()) -> DataFrame:
+    """vec_id and the components as whole doubles, with other columns, of the vectors that take part."""
     x = F.col("embedding")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     whole = F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("double"))
     return vectors.where(F.col("vec_id").isNotNull() & (F.size(x) > 0) & ~bad).select(
-        F.col("vec_id").cast("long").alias("vec_id"), whole.alias("x")
+        F.col("vec_id").cast("long").alias("vec_id"), *also, whole.alias("x")
     )
 
 

@@ -98,6 +98,26 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS a, c.vec_id AS c, a.label = c.label AS same, CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), p AS (
+  SELECT a, c AS p, score AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, c) <= 5
+)
+SELECT a AS anchor_id, p AS positive_id,
+  CAST(row_number() OVER (PARTITION BY a, p ORDER BY score DESC, c) AS INTEGER) AS rank,
+  c AS negative_id, ps AS positive_score, score AS negative_score
+FROM p JOIN s USING (a) WHERE NOT same AND 30 * ps <= 100 * score AND 100 * score <= 90 * ps
+QUALIFY row_number() OVER (PARTITION BY a, p ORDER BY score DESC, c) <= 10
+"""
+
 _CAPITALS = "".join(chr(c) for c in [*range(65, 91), *range(0xC0, 0xDF)] if c != 0xD7)
 _SMALL = "".join(chr(ord(c) + 32) for c in _CAPITALS)
 
@@ -129,4 +149,5 @@ ORACLES = {
     "op7_arc_to_warc": ARCHIVES,
     "op9_lsh_forest": CLASSES,
     "op10_pivot_topk": TOP_K,
+    "op11_hard_negatives": NEGATIVES,
 }

@@ -15,6 +15,7 @@ from accordance.llm import op7_arc as op7
 from accordance.llm import op8_token_file as op8
 from accordance.llm import op9_lsh_forest as op9
 from accordance.llm import op10_pivots as op10
+from accordance.llm import op11_hard_negatives as op11
 from accordance.llm.tables import table, words_of
 
 #: The tokenizer file of this environment, and the id that ends a document.
@@ -101,6 +102,12 @@ def op10_pivot_topk(spark, sf_dir):
     return op10.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Every seventh row has another label, so that labels and vectors disagree."""
+    other = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+    return op11.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, other)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,5 +121,6 @@ QUERIES = {
         op8_token_file,
         op9_lsh_forest,
         op10_pivot_topk,
+        op11_hard_negatives,
     )
 }
