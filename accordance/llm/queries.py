@@ -16,10 +16,13 @@ from accordance.llm import op8_token_file as op8
 from accordance.llm import op9_lsh_forest as op9
 from accordance.llm import op10_pivots as op10
 from accordance.llm import op11_hard_negatives as op11
+from accordance.llm import op12_alignment as op12
 from accordance.llm.tables import table, words_of
 
 #: The tokenizer file of this environment, and the id that ends a document.
 TOKENIZER, END_ID = public_tokenizers.path("word_bpe_49k.json"), 1
+#: The tokenizer files that are aligned.
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 #: The rules of the URL query.
 URL_RULES = {
@@ -108,6 +111,10 @@ def op11_hard_negatives(spark, sf_dir):
     return op11.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, other)
 
 
+def op12_tokenizer_alignment(spark, sf_dir):
+    return op12.aligned(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -122,5 +129,6 @@ QUERIES = {
         op9_lsh_forest,
         op10_pivot_topk,
         op11_hard_negatives,
+        op12_tokenizer_alignment,
     )
 }
