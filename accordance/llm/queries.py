@@ -17,6 +17,7 @@ from accordance.llm import op9_lsh_forest as op9
 from accordance.llm import op10_pivots as op10
 from accordance.llm import op11_hard_negatives as op11
 from accordance.llm import op12_alignment as op12
+from accordance.llm import op13_suffix_dedup as op13
 from accordance.llm.tables import table, words_of
 
 #: The tokenizer file of this environment, and the id that ends a document.
@@ -115,6 +116,10 @@ def op12_tokenizer_alignment(spark, sf_dir):
     return op12.aligned(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
 
 
+def op13_suffix_dedup(spark, sf_dir):
+    return op13.without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -130,5 +135,6 @@ QUERIES = {
         op10_pivot_topk,
         op11_hard_negatives,
         op12_tokenizer_alignment,
+        op13_suffix_dedup,
     )
 }
