@@ -6,8 +6,9 @@ candidate has an upper bound of its score.  A query takes candidates by falling
 stops where the bound is below its k-th score so far: what comes after can't be better.
 
 Queries are taken in blocks of bounded size; each block is sent to all tasks, which hold all other
-rows in batches.  A task returns k rows a query, and the best of those are ranked.  Pivots are chosen
-from a bounded sample, far from each other; they only steer what is evaluated, never the result.
+rows in batches, with their distances to the pivots, which are computed once and stored.  A task returns k rows a query, and the
+best of those are ranked.  Pivots are chosen from a bounded sample, far from each other; they only steer what is evaluated, never the
+result.  How much they eliminate depends on the vectors: nearly all among clusters, a few percent among directions without order.
 
 Defined results: vectors that are null, empty or hold null or non-finite components, and those without
 id, take no part.  Components are floor(256 x); sums beyond 2^53 are computed with whole numbers and end at the
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 from accordance.llm.tables import keep
 
 #: Vectors among which pivots are chosen, pivots, and queries of one block: bounds of what tasks get.
-SAMPLE, PIVOTS, BLOCK = 2048, 24, 2048
+SAMPLE, PIVOTS, BLOCK = 2048, 64, 2048
+#: Candidates that are scored at once, at first and at most.
+FIRST, MOST = 64, 4096
 EXACT, LIMIT = 2.0**53, 2**63 - 1
 HITS = "query_id long, vec_id long, score long"
 
@@ -78,36 +81,66 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.stack([np.sqrt(((x - p) ** 2).sum(1)) for p in pivots], 1)
 
 
-def _scores(x: np.ndarray, q: np.ndarray) -> list[int]:
+def _scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Whole inner products, ended at the limits of a long."""
-    if (np.abs(x) @ np.abs(q)).max(initial=0) < EXACT:
-        return (x @ q).astype(np.int64).tolist()
+    if max(x.max(initial=0), -x.min(initial=0)) * np.abs(q).sum() < EXACT:
+        return (x @ q).astype(np.int64)
     whole = [int(v) for v in q]
-    return [
-        max(-LIMIT - 1, min(LIMIT, sum(int(a) * b for a, b in zip(row, whole, strict=True)))) for row in x.tolist()
-    ]
+    scores = (sum(int(a) * b for a, b in zip(row, whole, strict=True)) for row in x.tolist())
+    return np.array([max(-LIMIT - 1, min(LIMIT, s)) for s in scores], np.int64)
 
 
 def best_of_batch(
     best: list[tuple[int, int]], q_id: int, q: np.ndarray, q_far: np.ndarray,
     ids: np.ndarray, x: np.ndarray, squares: np.ndarray, far: np.ndarray, k: int,
 ) -> list[tuple[int, int]]:
-    """The k best (-score, vec_id) so far with those of a batch, taken by falling bound."""
-    apart = np.abs(far - q_far).max(1)
+    """The k best (-score, vec_id) so far with those of a batch, taken by falling bound; far has a row for each pivot."""
+    apart, one = np.zeros(len(ids)), np.empty(len(ids))
+    for of_pivot, own_far in zip(far, q_far.tolist(), strict=True):
+        np.subtract(of_pivot, own_far, out=one)
+        np.abs(one, out=one)
+        np.maximum(apart, one, out=apart)
     own = q @ q
     bound = (own + squares - apart * apart) / 2
     bound += 1e-9 * (own + squares) + 1  # what rounding of the distances can take away
     least = -best[k - 1][0] if len(best) == k else -np.inf
     left = np.flatnonzero((bound >= least) & (ids != q_id))
     left = left[np.argsort(-bound[left], kind="stable")]
-    for at in range(0, len(left), 64):
-        some = left[at : at + 64]
-        if len(best) == k and bound[some[0]] < -best[k - 1][0]:
-            break
-        best = sorted(best + [(-s, i) for s, i in zip(_scores(x[some], q), ids[some].tolist(), strict=True)])[:k]
+    at, size = 0, FIRST
+    while at < len(left):
+        some = left[at : at + size]
+        at, size = at + size, min(4 * size, MOST)
+        if len(best) == k:
+            least = -best[k - 1][0]
+            some = some[bound[some] >= least]
+            if not len(some):
+                break
+        scores = _scores(x[some], q)
+        if len(best) == k:
+            own_best = np.flatnonzero(scores >= least)
+        else:
+            own_best = np.arange(len(some))
+        if len(own_best) > k:
+            own_best = own_best[np.lexsort([ids[some[own_best]], ~scores[own_best]])[:k]]
+        found = zip((-int(s) for s in scores[own_best].tolist()), ids[some[own_best]].tolist(), strict=True)
+        best = sorted([*best, *found])[:k]
     return best
 
 
+def with_distances(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Vectors with their distances to the pivots."""
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                far = _distances(_matrix(batch.column("x")), pivots)
+                offsets = np.arange(0, far.size + 1, far.shape[1], dtype=np.int32)
+                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(far.ravel()))
+                yield pa.record_batch([*batch.columns, column], names=["vec_id", "x", "far"])
+
+    return vectors.select("vec_id", "x").mapInArrow(of_task, "vec_id long, x array<double>, far array<double>")
+
+
 def _search(vectors: DataFrame, queries: pa.Table, pivots: np.ndarray, k: int) -> DataFrame:
     q_ids = queries["vec_id"].to_pylist()
     q = _matrix(queries["x"].combine_chunks())
@@ -119,11 +152,11 @@ def _search(vectors: DataFrame, queries: pa.Table, pivots: np.ndarray, k: int) -
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            x = _matrix(batch.column(1))
+            ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
+            x = _matrix(batch.column("x"))
             own = _wide(q, x.shape[1])
             x = _wide(x, own.shape[1])
-            squares, far = (x * x).sum(1), _distances(x, pivots)
+            squares, far = (x * x).sum(1), np.ascontiguousarray(_matrix(batch.column("far")).T)
             for n, q_id in enumerate(q_ids):
                 best[n] = best_of_batch(best[n], q_id, own[n], q_far[n], ids, x, squares, far, k)
         rows = [(q_id, i, -s) for q_id, found in zip(q_ids, best, strict=True) for s, i in found]
@@ -142,6 +175,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, block: int = BLOCK) -> DataF
     queries = keep(rows.where(is_query).groupBy("vec_id").agg(F.min("x").alias("x")), "queries")
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("x").toArrow()
     pivots = choose_pivots(_matrix(sample["x"].combine_chunks()))
+    rows = keep(with_distances(rows, pivots), "distances")
     blocks = -(-queries.count() // block)
     found = spark.createDataFrame([], HITS)
     for n in range(blocks):
