@@ -7,11 +7,10 @@ A document's score is its loss per word under the target model less that under t
 closer to the target.
 
 The counts of words and pairs are written tables until the chances of pairs are one.  Frequent words have numbers, and the chances of frequent pairs go to all
-tasks (``LOOKED_UP`` of each at most); a document's other pairs are joined with their chances.  How a pair is looked up
+tasks (the ``LOOKED_UP`` most frequent of each); a document's other pairs are joined with their chances.  How a pair is looked up
 does not change its chance.  Pairs that occur once in all and never in the target are not joined: they are those not found.
 
-``words`` and ``pairs``, if given, ask for a model bounded to the most frequent ones, which fits a task's memory.
-
+Texts are gone through in pieces, long ones too.
 Defined results: a null or empty text has no words, and its losses and score are 0.  Repeated rows are scored and counted each.
 Without target documents the target model knows no pairs and all words alike.  Extra columns are left out.
 """
@@ -27,7 +26,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accordance.llm.tables import keep, new_path
+from accordance.llm.tables import new_path
 from accordance.llm.tokens import chunks, mixed, runs
 from accordance.plans.workspace import remove_folder
 
@@ -36,9 +35,9 @@ LOOKED_UP = 1 << 20
 #: Bits of a word's number in a pair's key, and the most frequent words, whose pairs are dealt out by the pair.
 BITS, TOP = 21, 1 << 12
 DISCOUNT, ADDED = 0.75, 0.5
-#: Words that a task counts before it sends counts on.
-HELD = 4_000_000
-START = 0  # the id before the first word; words have 1 to the size of the vocabulary, others the id after
+#: Distinct words or pairs of chunks that a task holds before it sends their counts on.
+HELD = 1 << 20
+START = 0  # the number before the first word; frequent words have numbers from 1 on
 
 
 def _counted(docs: DataFrame, of_chunk, counts: str) -> DataFrame:
@@ -48,128 +47,52 @@ def _counted(docs: DataFrame, of_chunk, counts: str) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             for _, some in chunks(batch.column("text").to_pylist()):
-                held.append(of_chunk(some))
-                size += len(held[-1])
+                values, n = np.unique(of_chunk(some), return_counts=True)
+                held.append((values, n))
+                size += len(values)
                 if size >= HELD:
                     yield _counts(held, counts)
                     held, size = [], 0
-        yield _counts(held, counts)
+        if held:
+            yield _counts(held, counts)
 
     return docs.select("text").mapInArrow(count, f"value long, {counts} long")
 
 
-def _counts(held: list[np.ndarray], name: str) -> pa.RecordBatch:
-    values, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
-    return pa.record_batch([pa.array(values), pa.array(n.astype(np.int64))], names=["value", name])
-
-
-def _words(texts: list[bytes]) -> np.ndarray:
-    return runs(texts).words()[1].view(np.int64)
-
-
-def vocabulary(docs: DataFrame, size: int) -> np.ndarray:
-    """The hashes of the most frequent words, sorted; of equally frequent ones the smaller hashes."""
-    counts = _counted(docs, _words, "n").groupBy("value").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "value").limit(size).select("value").toArrow()
-    return np.sort(np.asarray(top["value"], dtype=np.int64))
+def _counts(held: list[tuple[np.ndarray, np.ndarray]], name: str) -> pa.RecordBatch:
+    value, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    first, order, sums = _added(value, n)
+    return pa.record_batch([pa.array(value[order][first]), pa.array(sums)], names=["value", name])
 
 
-def pairs_of(texts: list[bytes], words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc, id before and id of each word."""
-    doc, hashes = runs(texts).words()
-    hashes = hashes.view(np.int64)
-    if len(words):
-        at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
-        ids = np.where(words[at] == hashes, at + 1, len(words) + 1)
-    else:
-        ids = np.ones(len(hashes), np.int64)
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    first = np.ones(len(ids), bool)
-    first[1:] = doc[1:] != doc[:-1]
-    before[first] = START
-    return doc, before, ids
+def _added(value: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the values, the first place of each distinct one in it, and the sums of n."""
+    order = np.argsort(value, kind="stable")
+    value = value[order]
+    first = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(n[order], first) if len(first) else n
+    return first, order, sums.astype(np.int64)
 
 
-@dataclass
-class Models:
-    """Log chances of both models; a pair's key is id before * width + id."""
-
-    words: np.ndarray
-    keys: np.ndarray
-    pairs: tuple[np.ndarray, np.ndarray]  # of kept pairs, target and background
-    rest: tuple[np.ndarray, np.ndarray]  # what a context leaves to single words
-    single: tuple[np.ndarray, np.ndarray]
-
-    @property
-    def width(self) -> int:
-        return len(self.words) + 2
-
-    def losses(self, before: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
-        """The loss of each word under the target and the background model."""
-        keys = before * self.width + ids
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        kept = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        out = []
-        for pairs, rest, single in zip(self.pairs, self.rest, self.single, strict=True):
-            loss = -(rest[before] + single[ids])
-            loss[kept] = -pairs[at[kept]]
-            out.append(loss)
-        return out
+def _words(texts: list[bytes]) -> np.ndarray:
+    return runs(texts).words()[1].view(np.int64)
 
 
-def _most(counts: DataFrame, weight: Column, bound: int) -> DataFrame:
-    """The rows from the least count on at which they fit the bound."""
+def _most(counts: DataFrame, weight: Column, tie: str) -> DataFrame:
+    """The rows of highest weight, LOOKED_UP at most: whole classes of one weight, or a part of the highest class."""
     most = 1 << 16
     steps = counts.groupBy(F.least(weight, F.lit(most)).alias("n")).count().orderBy(F.desc("n")).collect()
     least, held = most + 1, 0
     for row in steps:  # at most 2^16
         held += row["count"]
-        if held > bound:
+        if held > LOOKED_UP:
             break
         least = row["n"]
+    if least > most:
+        return counts.where(weight >= most).orderBy(weight.desc(), tie).limit(LOOKED_UP)
     return counts.where(weight >= least)
 
 
-def fit(docs: DataFrame, target: DataFrame, words: np.ndarray, pairs: int) -> Models:
-    width = len(words) + 2
-
-    def keys(texts: list[bytes]) -> np.ndarray:
-        _, before, ids = pairs_of(texts, words)
-        return before * width + ids
-
-    none = F.lit(0).cast("long")
-    both = _counted(docs, keys, "all").withColumn("own", none).unionByName(
-        _counted(target, keys, "own").withColumn("all", none)
-    )
-    counts = keep(both.groupBy("value").agg(F.sum("own").alias("own"), F.sum("all").alias("all")), "pairs")
-    kept = _most(counts, F.col("own") + F.col("all"), pairs).toArrow().sort_by("value")
-    value = np.asarray(kept["value"], dtype=np.int64)
-    of_context = _totals(counts, F.floor(F.col("value") / width), width)
-    of_word = _totals(counts, F.pmod("value", F.lit(width)), width)
-    found = []
-    for name in ("own", "all"):
-        n = np.asarray(kept[name], dtype=np.float64)
-        single = (of_word[name] + ADDED) / (of_word[name].sum() + ADDED * (width - 1))
-        context = np.maximum(of_context[name], 1e-9)
-        before = value // width
-        discounted = np.maximum(n - DISCOUNT, 0) / context[before]
-        rest = np.maximum(1 - np.bincount(before, discounted, width), 1e-9)
-        pair = discounted + rest[before] * single[value % width]
-        found.append(tuple(np.log(x).astype(np.float32) for x in (pair, rest, single)))
-    return Models(words, value, *(tuple(f[k] for f in found) for k in range(3)))
-
-
-def _totals(counts: DataFrame, by, width: int) -> dict[str, np.ndarray]:
-    """Sums by id, at most as many as the vocabulary has."""
-    rows = counts.groupBy(by.cast("long").alias("id")).agg(F.sum("own").alias("own"), F.sum("all").alias("all")).toArrow()
-    out = {}
-    for name in ("own", "all"):
-        out[name] = np.zeros(width)
-        out[name][np.asarray(rows["id"], dtype=np.int64)] = np.asarray(rows[name], dtype=np.float64)
-    return out
-
-
 @dataclass
 class Known:
     """What tasks look up: frequent words by hash, their counts by number, and chances of frequent pairs."""
@@ -229,29 +152,33 @@ CONTEXT = ("rows_own", "rows_all", "pairs_own", "pairs_all")
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
-    """As keep(), at a path; the shuffles behind it are removed once the driver's JVM has collected the plan."""
+    """The rows written at a path and read back."""
     df.write.parquet(path)
-    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _pair_counts(docs: DataFrame, known: Broadcast, name: str) -> DataFrame:
     def counted(held: list[tuple]) -> pa.RecordBatch:
-        key, before, word = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*held) if held else ((), (), ())))
-        key, at, n = np.unique(key, return_index=True, return_counts=True)
-        parts = [pa.array(key), *(pa.array(x[at], mask=key >= 0) for x in (before, word)), pa.array(n.astype(np.int64))]
+        key, before, word, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        first, order, sums = _added(key, n)
+        own = order[first]
+        key = key[own]
+        parts = [pa.array(key), *(pa.array(x[own], mask=key >= 0) for x in (before, word)), pa.array(sums)]
         return pa.record_batch(parts, names=["key", "before", "word", name])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             for _, some in chunks(batch.column("text").to_pylist()):
-                held.append(known.value.pairs_of(some)[1:])
-                size += len(held[-1][0])
+                _, key, before, word = known.value.pairs_of(some)
+                key, at, n = np.unique(key, return_index=True, return_counts=True)
+                held.append((key, before[at], word[at], n))
+                size += len(key)
                 if size >= HELD:
                     yield counted(held)
                     held, size = [], 0
-        yield counted(held)
+        if held:
+            yield counted(held)
 
     return docs.select("text").mapInArrow(count, f"key long, before long, word long, {name} long")
 
@@ -269,14 +196,15 @@ def tables(docs: DataFrame, target: DataFrame):
     folder = new_path(spark, "counts")
     words = _counted(docs, _words, "all").groupBy("value").agg(F.sum("all").alias("all"))
     words = _written(words, f"{folder}/words")
-    frequent = _most(words, F.col("all"), LOOKED_UP).toArrow().sort_by([("all", "descending"), ("value", "ascending")])
+    frequent = _most(words, F.col("all"), "value").toArrow().sort_by([("all", "descending"), ("value", "ascending")])
     value = np.asarray(frequent["value"], dtype=np.int64)
+    if len(value) >> BITS:
+        raise ValueError(f"numbers of {len(value)} words do not fit {BITS} bits")
     order = np.argsort(value)
     known, size = Known(value[order], (order + 1).astype(np.int32)), len(value) + 1
     numbers = spark.sparkContext.broadcast(known)
 
     none = F.lit(0).cast("long")
-    # Written first, so that the shuffles that find the target are gone before those of all pairs are made.
     of_target = _written(_pair_counts(target, numbers, "own"), f"{folder}/own")
     both = _pair_counts(docs, numbers, "all").withColumn("own", none).unionByName(of_target.withColumn("all", none))
     # Pairs of a context lie together, so that contexts are nearly counted where they are read; those of top words are spread.
@@ -305,7 +233,7 @@ def tables(docs: DataFrame, target: DataFrame):
     known = replace(known, context=context, single=single, words=whole["words"], total=(own, whole["n"]))
 
     inner = pairs.where("key >= 0")
-    top = _most(inner, F.col("own") + F.col("all"), LOOKED_UP).select("key", *COUNTS).toArrow().sort_by("key")
+    top = _most(inner, F.col("own") + F.col("all"), "key").select("key", *COUNTS).toArrow().sort_by("key")
     known.keys = np.asarray(top["key"], dtype=np.int64)
     counts = (np.asarray(top[c], dtype=np.float64) for c in COUNTS)
     known.chances = np.array(known.of_keys(known.keys, *counts), np.float32).reshape(2, -1)
@@ -358,7 +286,8 @@ def _found(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == key
 
 
-def _by_tables(docs: DataFrame, target: DataFrame) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """doc_id, n_words, target_loss and background_loss (nats per word), score (their difference)."""
     shared, chances = tables(docs, target)
     kind = docs.schema["doc_id"].dataType.simpleString()
     own_key = 1 << 62  # of a document's own row, which no pair has
@@ -409,38 +338,3 @@ def _by_tables(docs: DataFrame, target: DataFrame) -> DataFrame:
         (F.col("b") / words).alias("background_loss"),
         ((F.col("t") - F.col("b")) / words).alias("score"),
     )
-
-
-def cross_entropy_difference(
-    docs: DataFrame, target: DataFrame, words: int | None = None, pairs: int | None = None
-) -> DataFrame:
-    """doc_id, n_words, target_loss and background_loss (nats per word), score (their difference)."""
-    if words is None and pairs is None:
-        return _by_tables(docs, target)
-    if words is None or pairs is None:
-        raise ValueError("give both bounds or none")
-    models = fit(docs, target, vocabulary(docs, words), pairs)
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # its size is bounded by words and pairs
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            n = np.zeros(batch.num_rows, np.int64)
-            sums = np.zeros((2, batch.num_rows))
-            for start, some in chunks(batch.column("text").to_pylist()):
-                doc, before, ids = pairs_of(some, own.words)
-                part = slice(start, start + len(some))
-                n[part] = np.bincount(doc, minlength=len(some))
-                for k, loss in enumerate(own.losses(before, ids)):
-                    sums[k, part] = np.bincount(doc, loss, len(some))
-            losses = sums / np.maximum(n, 1)
-            columns = [batch.column("doc_id"), n, losses[0], losses[1], losses[0] - losses[1]]
-            yield pa.record_batch(
-                [c if isinstance(c, pa.Array) else pa.array(c) for c in columns],
-                names=["doc_id", "n_words", "target_loss", "background_loss", "score"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(
-        score, f"doc_id {kind}, n_words long, target_loss double, background_loss double, score double"
-    )

@@ -10,50 +10,35 @@ from tests.llm import brute
 SCHEMA = "doc_id long, text string, value long, n string"
 
 
-def brute_scores(docs, target, size, pairs):
-    """By dictionaries of words; ties of the vocabulary must not matter."""
+def brute_scores(docs, target):
+    """By dictionaries of words."""
     split = lambda t: [brute.fold(w) for w in brute.words(t)]
-    counts = Counter(w for _, t in docs for w in split(t))
-    words = {w for w, _ in counts.most_common(size)}
 
     def grams(text):
-        ids = [w if w in words else None for w in split(text)]
-        return list(zip(["<s>", *ids[:-1]], ids, strict=True)) if ids else []
+        words = split(text)
+        return list(zip(["<s>", *words[:-1]], words, strict=True)) if words else []
 
+    size = len({w for _, t in docs for w in split(t)})
     models = []
-    all_pairs = Counter(g for _, t in docs for g in grams(t))
-    own_pairs = Counter(g for t in target for g in grams(t))
-    total = Counter(all_pairs)
-    total.update(own_pairs)
-    by_count = Counter(total.values())
-    least, held = 1 << 30, 0
-    for n in sorted(by_count, reverse=True):
-        held += by_count[n]
-        if held > pairs:
-            break
-        least = n
-    kept = {g for g, n in total.items() if n >= least}
-    for found in (own_pairs, all_pairs):
-        context, single = Counter(), Counter()
+    for texts in (target, [t for _, t in docs]):
+        found, context, single, kinds = Counter(g for t in texts for g in grams(t)), Counter(), Counter(), Counter()
         for (a, b), n in found.items():
             context[a] += n
             single[b] += n
-        whole = sum(single.values())
-        p1 = lambda b, s=single, w=whole: (s[b] + 0.5) / (w + 0.5 * (len(words) + 1))
-        given = lambda g, f=found, c=context: max(f[g] - 0.75, 0) / c[g[0]] if c[g[0]] else 0.0
-        rest = {}
-        for g in kept:
-            rest[g[0]] = rest.get(g[0], 1.0) - given(g)
-        models.append((given, rest, p1))
+            kinds[a] += 1
+        models.append((found, context, single, kinds, sum(single.values())))
+
+    def chance(model, a, b):
+        found, context, single, kinds, whole = model
+        alone = (single[b] + 0.5) / (whole + 0.5 * (size + 1))
+        if not context[a]:
+            return alone
+        return max(found[a, b] - 0.75, 0) / context[a] + 0.75 * kinds[a] / context[a] * alone
+
     out = {}
     for i, t in docs:
         g = grams(t)
-        losses = []
-        for given, rest, p1 in models:
-            each = [
-                -math.log((given(x) if x in kept else 0) + rest.get(x[0], 1.0) * p1(x[1])) for x in g
-            ]
-            losses.append(sum(each) / max(len(g), 1))
+        losses = [-sum(math.log(chance(m, *x)) for x in g) / max(len(g), 1) for m in models]
         out[i] = (len(g), *losses, losses[0] - losses[1])
     return out
 
@@ -69,33 +54,14 @@ def scores(df):
     return {r.doc_id: (r.n_words, r.target_loss, r.background_loss, r.score) for r in df.collect()}
 
 
-def test_the_table_is_scored_as_by_dictionaries(spark, sf_dir):
+def test_the_query_is_scored_as_by_dictionaries(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     good = {
         r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").collect()
     }
     rows = [(r.doc_id, r.text) for r in docs]
-    counts = Counter(brute.fold(w) for _, t in rows for w in brute.words(t))
-    size = sum(n >= 3 for n in counts.values())  # no tie at the end of the vocabulary
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    target = table.where(o.F.col("doc_id").isin(*good))
-    expected = brute_scores(rows, [t for i, t in rows if i in good], size, 20_000)
-    same(scores(o.cross_entropy_difference(table, target, size, 20_000)), expected)
-    got = scores(op3_cross_entropy(spark, sf_dir))
-    assert {i: r[0] for i, r in got.items()} == {i: r[0] for i, r in expected.items()}
-
-
-def test_small_vocabulary_and_few_pairs(spark):
-    texts = ["a b a c a b", "a b c", "x y a b", "", None, "b b b b a", "A, b! c?"]
-    docs = [(n, t) for n, t in enumerate(texts)]
-    target = ["a b a c a b", "b b b b a"]
-    df = spark.createDataFrame([(i, t, 1, "n") for i, t in docs], SCHEMA)
-    target_df = df.where("doc_id IN (0, 5)")
-    for size, pairs in ((3, 100), (3, 4), (2, 1)):
-        same(
-            scores(o.cross_entropy_difference(df, target_df, size, pairs)),
-            brute_scores(docs, target, size, pairs),
-        )
+    expected = brute_scores(rows, [t for i, t in rows if i in good])
+    same(scores(op3_cross_entropy(spark, sf_dir)), expected)
 
 
 def test_without_target_or_documents(spark):
@@ -105,14 +71,15 @@ def test_without_target_or_documents(spark):
     assert scores(o.cross_entropy_difference(df, df))[None] == (0, 0.0, 0.0, 0.0)
 
 
-def test_chances_of_a_context_add_up_to_one(spark):
-    rows = [(n, "a b c a b d e f a c b", 0, "") for n in range(5)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    m = o.fit(df, df.where("doc_id = 1"), o.vocabulary(df, 4), 5)
-    ids = o.np.arange(1, m.width)
-    for before in range(m.width):
-        for loss in m.losses(o.np.full(len(ids), before), ids):
-            assert o.np.exp(-loss).sum() == pytest.approx(1, abs=1e-4)
+def test_what_is_looked_up_is_bounded(spark, monkeypatch):
+    """Also where every count is high: the most frequent rows, ties by value."""
+    monkeypatch.setattr(o, "LOOKED_UP", 10)
+    counts = spark.range(100).selectExpr("id AS value", "CAST(70000 + id % 2 AS LONG) AS all")
+    assert sorted(r.value for r in o._most(counts, o.F.col("all"), "value").collect()) == list(range(1, 20, 2))
+    monkeypatch.setattr(o, "BITS", 2)
+    df = spark.createDataFrame([(1, "a b c d e f g", 0, "")], SCHEMA)
+    with pytest.raises(ValueError, match="do not fit"):
+        o.cross_entropy_difference(df, df)
 
 
 @pytest.mark.parametrize("looked_up", [0, 3, 40, 1 << 20])
@@ -122,7 +89,7 @@ def test_all_words_and_pairs_count_however_they_are_looked_up(spark, monkeypatch
     docs = [(n, t) for n, t in enumerate(texts)]
     df = spark.createDataFrame([(i, t, 1, "n") for i, t in docs], SCHEMA)
     got = scores(o.cross_entropy_difference(df, df.where("doc_id IN (0, 5, 8)")))
-    same(got, brute_scores(docs, [texts[k] for k in (0, 5, 8)], 1 << 30, 1 << 30))
+    same(got, brute_scores(docs, [texts[k] for k in (0, 5, 8)]))
 
 
 def test_the_query_tells_apart_all_words_and_pairs(spark):
@@ -132,4 +99,4 @@ def test_the_query_tells_apart_all_words_and_pairs(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = scores(o.cross_entropy_difference(df, df.where("doc_id = 2")))
     assert got[2][3] < got[3][3] - 1
-    same(got, brute_scores([r[:2] for r in rows], ["rare rare"], 1 << 30, 1 << 30))
+    same(got, brute_scores([r[:2] for r in rows], ["rare rare"]))
