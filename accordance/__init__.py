@@ -28,10 +28,12 @@ from accordance.operators.report import (
     run_rollup,
     tag_results,
 )
-from accordance.operators.rows import diff_summary, row_diff
+from accordance.operators.rows import diff_summary, digest_diff, row_diff
 from accordance.operators.rules import rule_violations, rule_vs_target
 from accordance.plans.runner import run_job, run_suite
-from accordance.sources.readers import read
+from accordance.plans.workspace import stage_row_diff
+from accordance.sinks.results import read_results
+from accordance.sources.readers import malformed_lines, read
 
 __all__ = [
     "CHECKS",
@@ -45,15 +47,18 @@ __all__ = [
     "cell_diff",
     "cell_summary",
     "diff_summary",
+    "digest_diff",
     "duplicate_keys",
     "key_diff",
     "key_projection",
+    "malformed_lines",
     "mismatch_details",
     "missing_extra",
     "parse_keys",
     "parse_mapping",
     "preview",
     "read",
+    "read_results",
     "record_count",
     "row_diff",
     "rule_violations",
@@ -65,6 +70,7 @@ __all__ = [
     "s2t_cells",
     "s2t_rows",
     "schema_drift",
+    "stage_row_diff",
     "tag_results",
     "threshold",
 ]

@@ -19,6 +19,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("jobs_location", help="its path or name")
     parser.add_argument("job_name", nargs="?", help="all jobs if left out")
     parser.add_argument("--run-id")
+    parser.add_argument("--resume", action="store_true", help="go on with the run of this id, after its ended checks")
+    parser.add_argument("--side-by-side", type=int, default=1, help="jobs that run at a time")
     parser.add_argument("--results-type", default="hive")
     parser.add_argument("--results-location", default=RESULTS_TABLE)
     parser.add_argument("--audit-table", default=AUDIT_TABLE)
@@ -57,11 +59,12 @@ def main(argv: list[str] | None = None) -> str:
         audit_table=args.audit_table,
         report_table=args.report_table,
         reader_options=options,
+        resume=args.resume,
     )
     if args.job_name:
         results = run_job(spark, load_job(jobs, args.job_name), **where).check_results
     else:
-        results = run_suite(spark, jobs, **where)
+        results = run_suite(spark, jobs, side_by_side=args.side_by_side, **where)
     for row in results.collect():  # a row for each check
         print(*row, sep=" | ")
     worst = {row["status"] for row in run_rollup(results).select("status").distinct().collect()}

@@ -114,6 +114,36 @@ def as_text(value: str, dtype: T.DataType) -> str:
     return value if isinstance(dtype, T.StringType) else f"CAST({value} AS STRING)"
 
 
+def digestible(types: dict[str, T.DataType]) -> bool:
+    """Whether equal values of these types have equal digests; texts that compare by a collation have not."""
+    return not any(_collated(dtype) for dtype in types.values())
+
+
+def _collated(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StringType):
+        return dtype.collation != "UTF8_BINARY"
+    if isinstance(dtype, T.ArrayType):
+        return _collated(dtype.elementType)
+    return isinstance(dtype, T.StructType) and any(_collated(f.dataType) for f in dtype.fields)
+
+
+def digest(types: dict[str, T.DataType]) -> str:
+    """The SHA-256 of a row of comparable columns, as 32 bytes: equal for rows that group together."""
+    return f"unhex(sha2(concat({', '.join(_part(quoted(c), t) for c, t in types.items())}), 256))"
+
+
+def _part(value: str, dtype: T.DataType) -> str:
+    """A cell as text that ends where the next begins: with its length, or of signs that hold no semicolon."""
+    if isinstance(dtype, (*_NESTED, T.StringType)):
+        text = as_text(plain_zero(value, dtype), dtype)
+        return f"if({value} IS NULL, '-', concat(length({text}), ':', {text}))"
+    if isinstance(dtype, T.TimestampType):  # two instants can print alike in the session's zone
+        value = f"unix_micros({value})"
+    elif isinstance(dtype, T.BinaryType):
+        value = f"hex({value})"
+    return f"coalesce(CAST({plain_zero(value, dtype)} AS STRING), '-'), ';'"
+
+
 def castable_from_text(dtype: T.DataType) -> bool:
     return isinstance(dtype, _CASTABLE_FROM_TEXT)
 

@@ -14,6 +14,10 @@ class ConfigError(ValueError):
     """The job or the mapping is wrong; raised before any Spark job runs."""
 
 
+#: The rows of check results that tell that differences could not be stored, and that a text file has wrong lines.
+STORE, LINES = "store_results", "malformed_lines"
+
+
 class Kind:
     """What is wrong with a cell, a key or a row."""
 
@@ -25,6 +29,7 @@ class Kind:
     SOURCE_ONLY = "source_only"
     TARGET_ONLY = "target_only"
     VIOLATION = "violation"
+    MALFORMED = "malformed"
 
 
 class Status:

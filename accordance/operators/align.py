@@ -23,22 +23,33 @@ from accordance.functions.expressions import (
 )
 from accordance.model import ConfigError, Pairs, check_pairs
 
-# Columns of the library's own results; data columns of these names must be mapped away.
-RESERVED = (
-    "column_name",
-    "joined_rows",
-    "kind",
-    "repeated",
-    "source_value",
-    "src_n",
-    "target_value",
-    "tgt_n",
-    "uncastable",
-    "uncastable_key",
+IN_SOURCE, IN_TARGET, DIGEST = "__in_source", "__in_target", "__digest"
+
+# Columns of the library's own results; a data column of such a name is shown with an underscore after it.
+OWN_NAMES = frozenset(
+    (
+        "column_name",
+        "joined_rows",
+        "kind",
+        "repeated",
+        "source_value",
+        "src_n",
+        "src_total",
+        "target_value",
+        "tgt_n",
+        "tgt_total",
+        "uncastable",
+        "uncastable_key",
+        "__group",
+        "__row",
+        "__source_row",
+        "__target_row",
+        IN_SOURCE,
+        IN_TARGET,
+        DIGEST,
+    )
 )
 
-IN_SOURCE, IN_TARGET = "__in_source", "__in_target"
-
 
 @dataclass(frozen=True)
 class Sides:
@@ -48,6 +59,8 @@ class Sides:
     target: DataFrame
     keys: tuple[str, ...]
     columns: tuple[str, ...]
+    #: The names that columns have in the tables, where it is another.
+    shown: dict[str, str]
 
 
 def real_names(df: DataFrame, names) -> list[str | None]:
@@ -116,13 +129,14 @@ def mapped_sides(
     pairs = [*keys, *compared]
     require_columns(source, [s for s, _ in pairs], "source")
     require_columns(target, [t for _, t in pairs], "target")
-    names = [s if name_of == "source" else t for s, t in pairs]
-    check_reserved(names)
+    own = [s if name_of == "source" else t for s, t in pairs]
+    names = free_names(own)
     return Sides(
         select_as(source, {n: s for (s, _), n in zip(pairs, names)}),
         select_as(target, {n: t for (_, t), n in zip(pairs, names)}),
         tuple(names[: len(keys)]),
         tuple(names[len(keys) :]),
+        dict(zip(names, own)),
     )
 
 
@@ -132,13 +146,8 @@ def shared_sides(source: DataFrame, target: DataFrame, mapping: Pairs | None = N
     names = [c for c, own in zip(target.columns, real_names(renamed, target.columns)) if own]
     if not names:
         raise ConfigError(f"no common columns: {renamed.columns} and {target.columns}")
-    check_reserved(names)
-    return Sides(
-        select_as(renamed, {c: c for c in names}),
-        select_as(target, {c: c for c in names}),
-        (),
-        tuple(names),
-    )
+    shown = dict(zip(free_names(names), names))
+    return Sides(select_as(renamed, shown), select_as(target, shown), (), tuple(shown), shown)
 
 
 def one_sided_columns(
@@ -153,10 +162,16 @@ def one_sided_columns(
     return only_in(renamed, target), only_in(target, renamed)
 
 
-def check_reserved(names) -> None:
-    taken = [n for n in names if n.lower() in RESERVED or n.startswith("__")]
-    if taken:
-        raise ConfigError(f"rename {', '.join(taken)}: the name is used in results")
+def free_names(names) -> list[str]:
+    """The names, with underscores after those that results use themselves, and no name twice."""
+    taken = {name.lower() for name in names}
+    free = []
+    for name in names:
+        while name.lower() in OWN_NAMES or (name != names[len(free)] and name.lower() in taken):
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
 
 
 def align_types(

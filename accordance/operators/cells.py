@@ -43,6 +43,8 @@ _GROUP = "__group"
 _COUNTS = ("src_n", "tgt_n", "joined_rows")
 _TOTALS = ("src_total", "tgt_total")
 
+#: Of keys with their totals: those with several rows on a side.
+NOT_UNIQUE = "src_total > 1 OR tgt_total > 1"
 _SINGLE = "(src_n = 1 AND tgt_n = 1)"
 _MISSING = "(src_n = 0 OR tgt_n = 0)"
 _MISSING_KIND = f"if(tgt_n = 0, '{Kind.MISSING_IN_TARGET}', '{Kind.MISSING_IN_SOURCE}')"
@@ -60,6 +62,7 @@ class _Cells:
     types: dict[str, T.DataType]
     cast: frozenset[str]
     cast_keys: tuple[str, ...]
+    shown: dict[str, str]
 
     @property
     def rows(self) -> DataFrame:
@@ -107,12 +110,12 @@ class _Cells:
         if name in self.cast:
             kind = f"if({self.uncastable(name)}, '{Kind.UNCASTABLE}', {kind})"
         kind = f"if({self.diff(name)}, {kind}, NULL)"
-        return _line(literal(name), self.text(_SRC, name), self.text(_TGT, name), kind)
+        return _line(literal(self.shown[name]), self.text(_SRC, name), self.text(_TGT, name), kind)
 
     def details(self) -> str:
         """``column:source!=target`` for each differing cell, in mapping order."""
         parts = [
-            f"if({self.diff(n)}, {detail_text(n, self.text(_SRC, n), self.text(_TGT, n))}, NULL)"
+            f"if({self.diff(n)}, {detail_text(self.shown[n], self.text(_SRC, n), self.text(_TGT, n))}, NULL)"
             for n in self.types
         ]
         return f"concat_ws(',', {', '.join(parts) or 'NULL'})"
@@ -127,14 +130,14 @@ class _Cells:
             raw = f"uncastable_key.{quoted(name)}"
             source, target = f"if(src_n > 0, {raw}, NULL)", f"if(tgt_n > 0, {raw}, NULL)"
             kind = f"if({raw} IS NULL, NULL, '{Kind.UNCASTABLE}')"
-            unread.append(_line(literal(name), source, target, kind))
+            unread.append(_line(literal(self.shown[name]), source, target, kind))
         return f"if(uncastable_key IS NULL, {plain}, {_array(unread)})"
 
     def key_detail(self) -> str:
         if not self.cast_keys:
             return _MISSING_KIND
         raw = [
-            f"concat({literal(name + ':')}, uncastable_key.{quoted(name)})"
+            f"concat({literal(self.shown[name] + ':')}, uncastable_key.{quoted(name)})"
             for name in self.cast_keys
         ]
         unread = f"concat_ws(',', '{Kind.UNCASTABLE}', {', '.join(raw)})"
@@ -195,7 +198,15 @@ def keys_not_unique(
 
     Reads the key columns only.  If there are none, no key is hot on either side.
     """
-    return _totals(_cells(source, target, mapping, keys))
+    return odd_keys(source, target, mapping, keys).where(NOT_UNIQUE)
+
+
+def odd_keys(source: DataFrame, target: DataFrame, mapping: Pairs, keys: Pairs) -> DataFrame:
+    """All keys but those with one row on each side: ``<keys>, src_total, tgt_total``.
+
+    From one look at the key columns: the keys that are not unique and those that are missing.
+    """
+    return _key_totals(_cells(source, target, mapping, keys)).where("src_total <> 1 OR tgt_total <> 1")
 
 
 def mismatch_details(
@@ -254,6 +265,7 @@ def _cells(source: DataFrame, target: DataFrame, mapping: Pairs, keys: Pairs) ->
         {c: types[c] for c in sides.columns},
         frozenset(cast_in("uncastable")),
         tuple(cast_in("uncastable_key")),
+        sides.shown,
     )
 
 
@@ -324,17 +336,16 @@ def _inline(cells: _Cells, rows: DataFrame, lines: str, repeated: bool) -> DataF
     return found.selectExpr(*keys, *_LINE, f"{str(repeated).lower()} AS repeated", *_COUNTS)
 
 
-def _totals(cells: _Cells) -> DataFrame:
-    return (
-        cells.rows.groupBy(*cells.group)
-        .agg(
-            F.expr(f"sum({IN_SOURCE}) AS src_total"),
-            F.expr(f"sum({IN_TARGET}) AS tgt_total"),
-        )
-        .where("src_total > 1 OR tgt_total > 1")
+def _key_totals(cells: _Cells) -> DataFrame:
+    return cells.rows.groupBy(*cells.group).agg(
+        F.expr(f"sum({IN_SOURCE}) AS src_total"), F.expr(f"sum({IN_TARGET}) AS tgt_total")
     )
 
 
+def _totals(cells: _Cells) -> DataFrame:
+    return _key_totals(cells).where(NOT_UNIQUE)
+
+
 def _values(cells: _Cells, totals: DataFrame, stored: bool) -> DataFrame:
     """The product of each repeated key, given by the distinct values of each column.
 
@@ -369,7 +380,7 @@ def _values(cells: _Cells, totals: DataFrame, stored: bool) -> DataFrame:
         instant = f"unix_micros({plain})" if isinstance(dtype, T.TimestampType) else "NULL"
         return struct(
             {
-                "column_name": literal(name),
+                "column_name": literal(cells.shown[name]),
                 "value": text,
                 "unread": unread,
                 "instant": f"CAST({instant} AS BIGINT)",

@@ -13,6 +13,7 @@ from accordance.operators.align import (
     align_types,
     both_sides,
     comparable_columns,
+    free_names,
     key_projection,
 )
 
@@ -40,6 +41,15 @@ def key_diff(source: DataFrame, target: DataFrame, keys: Pairs) -> DataFrame:
     return one_sided.withColumn("kind", kind).drop("src_n", "tgt_n")
 
 
+def missing_keys(totals: DataFrame, keys: Pairs) -> DataFrame:
+    """The same from stored ``odd_keys``, which are named as in the source."""
+    names = free_names([t for _, t in keys])
+    marker = [c for c in totals.columns if c == "uncastable_key"]
+    kind = f"if(tgt_total = 0, '{Kind.MISSING_IN_TARGET}', '{Kind.MISSING_IN_SOURCE}') AS kind"
+    own = [f"{quoted(c)} AS {quoted(n)}" for c, n in zip(totals.columns, names)]
+    return totals.where("src_total = 0 OR tgt_total = 0").selectExpr(*own, *marker, kind)
+
+
 def duplicate_keys(source: DataFrame, target: DataFrame, keys: Pairs) -> DataFrame:
     """Keys with more than one row on a side: ``<keys>, src_n, tgt_n, joined_rows``.
 

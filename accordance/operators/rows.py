@@ -1,21 +1,32 @@
-"""Whole rows compared as multisets, in one shuffle."""
+"""Whole rows compared as multisets, in one shuffle of rows or of their digests."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accordance.functions.expressions import quoted
+from accordance.functions.expressions import digest, digestible, quoted
 from accordance.model import Pairs
 from accordance.operators.align import (
+    DIGEST,
     IN_SOURCE,
     IN_TARGET,
     align_types,
     both_sides,
     comparable_columns,
     shared_sides,
+    types_of,
 )
 
+_COUNTS = (f"sum({IN_SOURCE}) AS src_n", f"sum({IN_TARGET}) AS tgt_n")
+
+
+def _both(source: DataFrame, target: DataFrame, mapping: Pairs | None) -> tuple[DataFrame, list[str]]:
+    """The rows of both sides, of equal types and marked by side, and their columns."""
+    sides = shared_sides(source, target, mapping)
+    left, right = align_types(comparable_columns(sides.source), comparable_columns(sides.target))
+    return both_sides(left, right), left.columns
+
 
 def row_counts(source: DataFrame, target: DataFrame, mapping: Pairs | None = None) -> DataFrame:
     """Each distinct row with its copies on both sides: ``<columns>, src_n, tgt_n``.
@@ -23,18 +34,49 @@ def row_counts(source: DataFrame, target: DataFrame, mapping: Pairs | None = Non
     One aggregation over the union of both sides.  Copies are counted before the shuffle,
     which spreads rows by all their columns, so no repeated row or key makes a hot task.
     """
-    sides = shared_sides(source, target, mapping)
-    left, right = align_types(comparable_columns(sides.source), comparable_columns(sides.target))
-    return (
-        both_sides(left, right)
-        .groupBy(*[quoted(c) for c in left.columns])
-        .agg(F.sum(IN_SOURCE).alias("src_n"), F.sum(IN_TARGET).alias("tgt_n"))
-    )
+    rows, names = _both(source, target, mapping)
+    return rows.groupBy(*map(quoted, names)).agg(*map(F.expr, _COUNTS))
+
 
+def digest_counts(source: DataFrame, target: DataFrame, mapping: Pairs | None = None) -> DataFrame:
+    """Each distinct row, given by its SHA-256, with its copies on both sides: ``__digest, src_n, tgt_n``.
 
-def row_diff(source: DataFrame, target: DataFrame, mapping: Pairs | None = None) -> DataFrame:
-    """The rows whose number of copies differs: ``<columns>, src_n, tgt_n``."""
-    return row_counts(source, target, mapping).where("src_n <> tgt_n")
+    As ``row_counts``, but 32 bytes a row are shuffled, however wide the tables are.
+    """
+    rows = _digested(*_both(source, target, mapping))
+    return rows.groupBy(DIGEST).agg(*map(F.expr, _COUNTS))
+
+
+def _digested(rows: DataFrame, names: list[str]) -> DataFrame:
+    types = types_of(rows.selectExpr(*map(quoted, names)))
+    if digestible(types):
+        return rows.selectExpr("*", f"{digest(types)} AS {DIGEST}")
+    # Texts that are equal by a collation are no equal bytes; such rows stand for themselves.
+    return rows.selectExpr("*", f"struct({', '.join(map(quoted, names))}) AS {DIGEST}")
+
+
+def digest_diff(source: DataFrame, target: DataFrame, mapping: Pairs | None = None) -> DataFrame:
+    """The digests of the rows whose number of copies differs: ``__digest, src_n, tgt_n``."""
+    return digest_counts(source, target, mapping).where("src_n <> tgt_n")
+
+
+def row_diff(
+    source: DataFrame,
+    target: DataFrame,
+    mapping: Pairs | None = None,
+    digests: DataFrame | None = None,
+) -> DataFrame:
+    """The rows whose number of copies differs: ``<columns>, src_n, tgt_n``.
+
+    ``digests`` is a stored result of ``digest_diff`` for the same arguments.  The sides are then
+    read once more for the rows of these digests only.  Being a file of known size, Spark broadcasts
+    it if it is small, so that of nearly equal tables next to nothing is shuffled, and merges it with the rows if not.
+    """
+    if digests is None:
+        return row_counts(source, target, mapping).where("src_n <> tgt_n")
+    rows, names = _both(source, target, mapping)
+    columns = [*map(quoted, names), "src_n", "tgt_n"]
+    return _digested(rows, names).join(digests, DIGEST).selectExpr(*columns).distinct()
 
 
 def only_counts(prefix: str = ""):
@@ -48,9 +90,9 @@ def only_counts(prefix: str = ""):
 
 
 def diff_summary(source: DataFrame, target: DataFrame, mapping: Pairs | None = None) -> DataFrame:
-    """One row: ``source_count, target_count, source_only, target_only``."""
+    """One row: ``source_count, target_count, source_only, target_only``, from digests alone."""
     zero = F.lit(0).cast("bigint")
-    return row_counts(source, target, mapping).agg(
+    return digest_counts(source, target, mapping).agg(
         F.coalesce(F.sum("src_n"), zero).alias("source_count"),
         F.coalesce(F.sum("tgt_n"), zero).alias("target_count"),
         *only_counts(),

@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accordance.model import ConfigError
+from accordance.model import ConfigError, Pairs
+from accordance.operators.rows import digest_diff, row_diff
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +34,14 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_row_diff(
+    source: DataFrame, target: DataFrame, mapping: Pairs | None = None, folder: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``row_diff`` in two steps, and the stored digests: only digests are shuffled, then only differing rows are read."""
+    digests = stage(digest_diff(source, target, mapping), f"digests-{uuid.uuid4().hex}", folder)
+    return row_diff(source, target, mapping, digests), digests
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Remove what was staged in a folder, wherever Spark keeps it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accordance.model import ConfigError, Job, JOBS_SCHEMA
+from accordance.model import JOBS_SCHEMA, STORE, ConfigError, Job, Status
 
 
 def job_lookup(jobs: DataFrame, job_name: str) -> DataFrame:
@@ -27,6 +27,28 @@ def audit_for_run(audit: DataFrame, run_id: str) -> DataFrame:
     return audit.where(F.col("run_id") == F.lit(run_id))
 
 
+def finished_checks(audit: DataFrame, job_name: str, run_id: str) -> dict[str, tuple[str, str]]:
+    """Status and message of the checks of a run that came to an end other than an ERROR, and were stored.
+
+    A check that was only started, or started again since, has not ended.
+    """
+    events = audit_for_run(audit, run_id).where(F.col("job_name").eqNullSafe(F.lit(job_name)))
+    ended: dict[str, tuple[str, str]] = {}
+    unstored = set()
+    for e in events.orderBy("event_ts").collect():  # a few events for each check of one run
+        name = e["recon_type"]
+        if name == STORE:  # told before the check's own end
+            unstored.add(e["message"].partition(":")[0])
+        elif e["status"] == Status.STARTED:
+            unstored.discard(name)
+            ended.pop(name, None)
+        elif e["status"] == Status.ERROR or name in unstored:
+            ended.pop(name, None)
+        else:
+            ended[name] = e["status"], e["message"]
+    return ended
+
+
 def normalize_jobs(jobs: DataFrame) -> DataFrame:
     """A jobs table of any of the three known layouts, in the library's own.
 

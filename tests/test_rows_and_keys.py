@@ -99,10 +99,85 @@ def test_wrong_mappings_raise(spark, mapping):
         ac.row_diff(df, df, mapping)
 
 
-def test_reserved_names_raise(spark):
-    df = spark.sql("SELECT 1 AS src_n")
-    with pytest.raises(ac.ConfigError):
-        ac.row_diff(df, df)
+def test_any_column_name_is_compared(spark):
+    """Names that results use themselves are shown with an underscore after them; column_name tells the real one."""
+    names = ["kind", "kind_", "src_n", "SRC_TOTAL", "uncastable", "__row", "__digest", "repeated", "s", "column_name", "__in_source"]
+    own = ["kind__", "kind_", "src_n_", "SRC_TOTAL_", "uncastable_", "__row_", "__digest_", "repeated_", "s", "column_name_", "__in_source_"]
+    s = spark.createDataFrame([[str(n)] * len(names) for n in (1, 2, 3)], ", ".join(f"`{c}` string" for c in names))
+    t = s.selectExpr(*[f"`{c}`" for c in names[:-1]], "if(kind = '2', NULL, __in_source) AS __in_source").where("kind <> '3'")
+    for digests in (None, ac.digest_diff(s, t)):
+        diff = ac.row_diff(s, t, digests=digests)
+        assert diff.columns == [*own, "src_n", "tgt_n"]
+        assert {(r["kind__"], r["src_n"], r["tgt_n"]) for r in diff.collect()} == {("2", 1, 0), ("2", 0, 1), ("3", 1, 0)}
+    pairs = [(c, c) for c in names]
+    for keys in (pairs[:1], pairs[2:4]):
+        cells = ac.cell_diff(s, t, pairs, keys).collect()
+        assert {(r["kind"], r["column_name"], r["source_value"]) for r in cells} == {
+            ("missing_in_target", None, None), ("null_vs_value", "__in_source", "2")
+        }
+    assert [tuple(r) for r in ac.key_diff(s, t, pairs[:1]).collect()] == [("3", "missing_in_target")]
+    assert ac.key_diff(s, t, pairs[:1]).columns == ["kind_", "kind"]
+    assert [r["mismatch_details"] for r in ac.mismatch_details(s, t, pairs, pairs[:1]).where("src_n = tgt_n").collect()] == ["__in_source:2!=NULL"]
+    typed = s.selectExpr("CAST(kind AS INT) AS kind", "if(kind = '1', 'x', kind) AS src_n")
+    left = s.select("kind", "src_n")
+    assert {(r["column_name"], r["kind"]) for r in ac.cell_diff(left, typed, pairs[:1] + pairs[2:3], pairs[:1]).collect()} == {("src_n", "value")}
+
+
+@SETTINGS
+@given(left=ROWS, right=ROWS)
+def test_digests_tell_the_same_as_rows(spark, left, right):
+    s, t = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    digests = ac.digest_diff(s, t)
+    rows = sorted(map(str, ac.row_diff(s, t).collect()))
+    assert sorted(map(str, ac.row_diff(s, t, digests=digests).collect())) == rows
+    assert all(len(r["__digest"]) == 32 for r in digests.collect())
+
+
+def test_equal_rows_have_equal_digests_and_others_have_not(spark):
+    values = [
+        "named_struct('a', 1, 'b', -0.0D) AS x, array(1, NULL) AS y, 'a;1:b' AS z, map('k', 1.50) AS m, X'00FF' AS b",
+        "named_struct('a', 1, 'b', 0.0D) AS x, array(1, NULL) AS y, 'a;1:b' AS z, map('k', 1.50) AS m, X'00FF' AS b",
+        "named_struct('a', 1, 'b', double('NaN')) AS x, array(NULL, 1) AS y, '-' AS z, map('k', NULL) AS m, NULL AS b",
+        "named_struct('a', NULL, 'b', 0.0D) AS x, array() AS y, NULL AS z, NULL AS m, X'00' AS b",
+        "NULL AS x, NULL AS y, '' AS z, map() AS m, X'' AS b",
+    ]
+    frames = [spark.sql(f"SELECT {v}") for v in values]
+    schema = "x struct<a: int, b: double>, y array<int>, z string, m map<string, decimal(3,2)>, b binary"
+    frames = [f.to(spark.createDataFrame([], schema).schema) for f in frames]
+    for i, s in enumerate(frames):
+        for j, t in enumerate(frames):
+            same = i == j or {i, j} == {0, 1}
+            assert ac.digest_diff(s, t).isEmpty() == same == ac.row_diff(s, t).isEmpty()
+    for row, other in ((("1", "2;"), ("1;", "2")), ((None, "-"), ("-", None)), (("", None), (None, ""))):
+        s, t = (spark.createDataFrame([v], SCHEMA.replace("int", "string")) for v in (row, other))
+        assert ac.digest_diff(s, t).count() == 2
+
+
+def test_texts_equal_by_collation(spark):
+    s = spark.sql("SELECT 'A' COLLATE UTF8_LCASE AS a")
+    t = spark.sql("SELECT 'a' COLLATE UTF8_LCASE AS a")
+    assert ac.row_diff(s, t).count() == ac.digest_diff(s, t).count() == 0
+    assert tuple(ac.diff_summary(s, t).first()) == (1, 1, 0, 0)
+
+
+def test_nearly_equal_wide_tables_shuffle_digests_only(spark):
+    """Of the rows only those that differ are moved: the others are joined with a broadcast of their digests."""
+    wide = spark.range(3000).selectExpr("id", *[f"repeat(CAST(id AS STRING), 40) AS c{n}" for n in range(12)])
+    changed = wide.withColumn("c3", ac_when("id % 1000 = 7", "c3"))
+    diff, digests = ac.stage_row_diff(wide, changed)
+    assert digests.count() == 6 and diff.count() == 6
+    first = plan_of(ac.digest_diff(wide, changed))
+    exchanges = [line for line in first.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all("__digest" in line and "c3" not in line for line in exchanges)
+    second = plan_of(diff)
+    assert "BroadcastHashJoin" in second and "SortMergeJoin" not in second
+    assert ac.row_diff(wide, changed).count() == 6
+
+
+def ac_when(condition, column):
+    from pyspark.sql import functions as F
+
+    return F.expr(f"if({condition}, 'other', {column})")
 
 
 def test_null_keys_match_and_duplicates_are_seen(spark):
