@@ -26,6 +26,7 @@ from accordance.operators.report import (
     preview,
     run_report,
     run_rollup,
+    stratified_preview,
     tag_results,
 )
 from accordance.operators.rows import diff_summary, digest_diff, row_diff
@@ -71,6 +72,7 @@ __all__ = [
     "s2t_rows",
     "schema_drift",
     "stage_row_diff",
+    "stratified_preview",
     "tag_results",
     "threshold",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,33 +67,31 @@ MISMATCH_RATIO = "(source_only + target_only) / greatest(source_count + target_c
 def schema_drift(
     source: DataFrame, target: DataFrame, mapping: Pairs | None = None
 ) -> DataFrame:
-    """One row per column whose name or type differs.
+    """One row per column or nested field whose name or type differs.
 
-    ``column_name, drift, source_type, target_type, unreadable_rows``.  For a type
-    difference ``unreadable_rows`` counts the source values that are no value of the target's
-    type; all columns are counted in one aggregation.  It is null where no cast exists.
+    ``column_name, drift, source_type, target_type, unreadable_rows``.  Structs, arrays and maps are gone through
+    as long as both sides have them; ``a.b`` is a field, ``a[]`` the elements of an array, ``a{key}`` and ``a{value}`` the
+    entries of a map.  For a type difference ``unreadable_rows`` counts the source values (all elements and entries) that are no value of
+    the target's type; all are counted in one aggregation.  It is null where no cast exists.
     """
     renamed = align_source_to_target(source, mapping or [])
     only_source, only_target = one_sided_columns(source, target, mapping)
     old_types, new_types = types_of(renamed), types_of(target)
-    changed = [
-        (name, old_types[own], new_types[name])
-        for name, own in zip(target.columns, real_names(renamed, target.columns))
-        if own and old_types[own].simpleString() != new_types[name].simpleString()
-    ]
-    counts = [
-        f"CAST({_unreadable(quoted(name), old, new)} AS BIGINT) AS n{i}"
-        for i, (name, old, new) in enumerate(changed)
+    found = [
+        *[_Drift(c, old_types[c], None) for c in only_source],
+        *[_Drift(c, None, new_types[c]) for c in only_target],
     ]
+    for name, own in zip(target.columns, real_names(renamed, target.columns)):
+        if own:
+            found += _drifts(name, f"array({quoted(own)})", old_types[own], new_types[name])
     null = "CAST(NULL AS BIGINT)"
-    lines = [
-        *[_drift_line(c, "only_in_source", old_types[c], None, null) for c in only_source],
-        *[_drift_line(c, "only_in_target", None, new_types[c], null) for c in only_target],
-        *[
-            _drift_line(name, "type_differs", old, new, f"n{i}")
-            for i, (name, old, new) in enumerate(changed)
-        ],
-    ]
+    counts, lines = [], []
+    for drift in found:
+        count = null
+        if drift.unreadable:
+            count = f"n{len(counts)}"
+            counts.append(f"coalesce(sum(size(filter({drift.values}, v -> {drift.unreadable}))), 0) AS {count}")
+        lines.append(_drift_line(drift.path, drift.kind, drift.old, drift.new, count))
     # Without drift the one line is filtered away and leaves the schema.
     kept = lines or [_drift_line(None, None, None, None, null)]
     # Names alone need no look at the data.
@@ -99,6 +99,55 @@ def schema_drift(
     return one_row.selectExpr(f"inline(array({', '.join(kept)}))").where("drift IS NOT NULL")
 
 
+@dataclass(frozen=True)
+class _Drift:
+    """A difference at a path; ``values`` is SQL for the array of a row's source values there."""
+
+    path: str
+    old: T.DataType | None
+    new: T.DataType | None
+    values: str = ""
+
+    @property
+    def kind(self) -> str:
+        if self.old and self.new:
+            return "type_differs"
+        return "only_in_source" if self.old else "only_in_target"
+
+    @property
+    def unreadable(self) -> str | None:
+        """Whether a value ``v`` is none of the new type, as SQL; None where that can't be said."""
+        return _is_unreadable("v", self.old, self.new) if self.old and self.new else None
+
+
+def _drifts(path: str, values: str, old: T.DataType, new: T.DataType) -> list[_Drift]:
+    """The differences of two types, down to the fields that differ."""
+    if old.simpleString() == new.simpleString():
+        return []
+    there = f"filter({values}, v -> v IS NOT NULL)"
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return _drifts(f"{path}[]", f"flatten({there})", old.elementType, new.elementType)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        parts = {
+            part: f"flatten(transform({there}, v -> map_{part}s(v)))" for part in ("key", "value")
+        }
+        return [
+            *_drifts(path + "{key}", parts["key"], old.keyType, new.keyType),
+            *_drifts(path + "{value}", parts["value"], old.valueType, new.valueType),
+        ]
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        olds, news = ({f.name: f.dataType for f in t.fields} for t in (old, new))
+        found = []
+        for name in [*olds, *[n for n in news if n not in olds]]:
+            if name in olds and name in news:
+                inner = f"transform({there}, v -> v.{quoted(name)})"
+                found += _drifts(f"{path}.{name}", inner, olds[name], news[name])
+            else:
+                found.append(_Drift(f"{path}.{name}", olds.get(name), news.get(name)))
+        return found
+    return [_Drift(path, old, new, values)]
+
+
 def _drift_line(name, drift, old: T.DataType | None, new: T.DataType | None, count: str) -> str:
     def text(value) -> str:
         return "CAST(NULL AS STRING)" if value is None else literal(value)
@@ -114,17 +163,17 @@ def _drift_line(name, drift, old: T.DataType | None, new: T.DataType | None, cou
     )
 
 
-def _unreadable(column: str, old: T.DataType, new: T.DataType) -> str:
-    """An aggregate that counts the values of one type that are no value of the other."""
+def _is_unreadable(value: str, old: T.DataType, new: T.DataType) -> str | None:
+    """Whether a value of one type is no value of the other."""
     if isinstance(new, T.StringType) and isinstance(old, T.AtomicType):
-        return "0"
+        return "false"
     if isinstance(old, T.StringType) and castable_from_text(new):
-        return f"count({uncastable_text(column, new)})"
+        return f"{uncastable_text(value, new)} IS NOT NULL"
     times = (T.DateType, T.TimestampType, T.TimestampNTZType)
     numbers = isinstance(old, T.NumericType) and isinstance(new, T.NumericType)
     if numbers or (isinstance(old, times) and isinstance(new, times)):
-        return f"count_if({column} IS NOT NULL AND NOT {kept_by_cast(column, old, new)})"
-    return "NULL"
+        return f"{value} IS NOT NULL AND NOT {kept_by_cast(value, old, new)}"
+    return None
 
 
 def _success_if(condition: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accordance.functions.expressions import epoch_second, quoted
@@ -51,6 +51,20 @@ def preview(df: DataFrame, n: int = 10, by: list[str] | None = None) -> DataFram
     return df.orderBy(*[F.asc_nulls_first(quoted(c)) for c in order]).limit(n)
 
 
+def stratified_preview(
+    df: DataFrame, n: int = 3, of: tuple[str, ...] = ("column_name", "kind"), by: list[str] | None = None
+) -> DataFrame:
+    """The first ``n`` rows of each combination of the columns ``of``, so that a frequent one hides no rare one.
+
+    Each task sends on at most ``n`` rows of each combination.
+    """
+    first = by or []
+    order = [F.asc_nulls_first(quoted(c)) for c in [*first, *[c for c in df.columns if c not in first]]]
+    place = F.row_number().over(Window.partitionBy(*map(quoted, of)).orderBy(*order))
+    ranked = df.select(F.struct("*").alias("row"), *[F.col(quoted(c)) for c in df.columns], place.alias("__place"))
+    return ranked.where(F.col("__place") <= n).select("row.*").orderBy(*order)
+
+
 def cell_summary(cells: DataFrame) -> DataFrame:
     """Lines and joined rows per column and kind of a cell comparison."""
     return cells.groupBy("column_name", "kind").agg(

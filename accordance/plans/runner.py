@@ -18,7 +18,7 @@ from accordance.operators.align import one_sided_columns, real_names
 from accordance.operators.cells import NOT_UNIQUE, cell_diff, keys_not_unique, odd_keys
 from accordance.operators.checks import record_count, schema_drift
 from accordance.operators.keys import key_diff, missing_keys
-from accordance.operators.report import preview, run_report, tag_results
+from accordance.operators.report import preview, run_report, stratified_preview, tag_results
 from accordance.operators.rows import digest_diff, only_counts, row_diff
 from accordance.operators.rules import SOURCE_VIEW, TARGET_VIEW, rule_violations
 from accordance.plans.workspace import local_rows, new_folder, remove_folder, stage, stage_row_diff
@@ -179,8 +179,8 @@ def _s2t(sides: _Sides) -> Callable[[], Outcome]:
             source_only=found["source_only"],
             target_only=found["target_only"],
             found=found["n"],
-            differences=cell_results(cells, keys),
-            preview=preview(cells, by=[*keys, "column_name"]),
+            differences=cell_results(cells, cells.columns[: len(keys)]),
+            preview=stratified_preview(cells, 10, by=[*cells.columns[: len(keys)], "column_name"]),
         )
 
     return run

@@ -256,7 +256,45 @@ def _details(columns: list[str]) -> str:
 
 SOURCE_VIEW = _with(source_view=pairs.ORDERS_SOURCE)
 
+OWN_NAMES = ["kind", "src_n", "uncastable", "__row", "column_name", "repeated"]
+
+
+def _shown(columns: list[str], text: str) -> str:
+    """The columns as results show them."""
+    return "SELECT " + ", ".join(f"{c} AS {c}_" for c in columns) + f" FROM ({text}) x"
+
+
+NAMES = dict(s=_shown(OWN_NAMES, pairs.OWN_NAMES_SOURCE), t=_shown(OWN_NAMES, pairs.OWN_NAMES_TARGET))
+NAME_ROWS = _with(**_rows([f"{c}_" for c in OWN_NAMES], NAMES))
+NAME_CELLS = _with(**_cells(["kind_"], [f"{c}_" for c in OWN_NAMES[1:]], NAMES))
+VECTORS = dict(s=pairs.VECTORS_SOURCE, t=pairs.VECTORS_TARGET)
+
 ORACLES = {
+    "src_malformed_lines": _with(x=pairs.ORDER_LINES) + """
+        SELECT value AS line, CASE wrong WHEN 1 THEN 'fields' ELSE 'open quote' END AS reason
+        FROM x WHERE wrong > 0""",
+    "row_diff_by_digests": _with(**_rows(LINE_ROWS, LINES)) + "SELECT * FROM d",
+    "row_diff_of_own_names": NAME_ROWS + "SELECT * FROM d",
+    "s2t_cells_of_own_names": NAME_CELLS + "SELECT * REPLACE (rtrim(column_name, '_') AS column_name) FROM cells",
+    "row_diff_of_vectors": _with(**_rows(["vec_id", "embedding", "label"], VECTORS)) + """
+        SELECT * REPLACE (array_to_string(list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ',')
+            AS embedding) FROM d""",
+    "s2t_cells_of_vectors": _with(**_cells(["vec_id"], ["embedding", "label"], VECTORS)) + """
+        SELECT * REPLACE (
+            CASE WHEN column_name = 'embedding' THEN CAST(source_value IS NOT NULL AS VARCHAR) ELSE source_value END AS source_value,
+            CASE WHEN column_name = 'embedding' THEN CAST(target_value IS NOT NULL AS VARCHAR) ELSE target_value END AS target_value)
+        FROM cells""",
+    "sink_rerun": _with(v=pairs.ORDERS_SOURCE, t=pairs.ORDERS_TARGET) + f"""
+        , r AS (SELECT o_orderkey AS order_id, o_custkey AS cust_id, o_totalprice AS total, o_orderstatus AS status,
+                       o_orderdate AS ordered, o_orderpriority AS priority FROM v WHERE o_totalprice > 0),
+        n AS (SELECT {', '.join(RENAMED_COLUMNS)}, sum(a) AS a, sum(b) AS b
+              FROM (SELECT *, 1 AS a, 0 AS b FROM r UNION ALL SELECT *, 0, 1 FROM t) u GROUP BY ALL)
+        SELECT 'orders' AS job_name, 'business_rule' AS recon_type, 'first' AS run_id,
+               '{{"order_id":' || order_id || ',"cust_id":' || cust_id || ',"total":' || coalesce(CAST(total AS VARCHAR), 'null')
+               || ',"status":"' || status || '","ordered":"' || strftime(ordered, '%Y-%m-%d %H:%M:%S.000000')
+               || '","priority":"' || priority || '"}}' AS row_key,
+               CASE WHEN a > b THEN 'source_only' ELSE 'target_only' END AS kind
+        FROM n WHERE a <> b""",
     "src_csv": f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
         CAST(o_totalprice AS VARCHAR) AS o_totalprice, o_orderstatus,
         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') AS o_orderdate, o_orderpriority
@@ -372,6 +410,21 @@ ORACLES = {
         UNION ALL
         SELECT 'total', 'type_differs', 'string', 'decimal(18,2)',
                (SELECT count(*) FROM x WHERE TRY_CAST(total AS DECIMAL(18,2)) IS NULL)""",
+    "schema_drift_of_nested": """
+        WITH t AS (SELECT typeof(turn) = 'BIGINT' AS wide FROM conversations LIMIT 1), n AS (SELECT count(*) AS n FROM conversations)
+        SELECT * FROM (VALUES
+            ('conv_id', 'type_differs', (SELECT CASE typeof(any_value(conv_id)) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' END FROM conversations), 'string', CAST(0 AS BIGINT)),
+            ('message.turn', 'type_differs', 'string', (SELECT CASE WHEN wide THEN 'bigint' ELSE 'int' END FROM t), 0),
+            ('message.text', 'only_in_source', 'string', NULL, NULL),
+            ('message.n_chars', 'only_in_target', NULL, 'int', NULL),
+            ('marks[]', 'type_differs', 'string', (SELECT CASE WHEN wide THEN 'bigint' ELSE 'int' END FROM t), (SELECT count(role) FROM conversations)),
+            ('notes{value}', 'type_differs', 'string', 'int', (SELECT count(*) FROM conversations WHERE turn % 2 <> 0 OR turn IS NULL)),
+            ('steps[].at', 'type_differs', 'double', (SELECT CASE WHEN wide THEN 'bigint' ELSE 'int' END FROM t), (SELECT count(turn) FROM conversations))
+        ) v(column_name, drift, source_type, target_type, unreadable_rows)""",
+    "stratified_preview": LINE_CELLS + """
+        SELECT * FROM cells QUALIFY row_number() OVER (PARTITION BY column_name, kind
+            ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, source_value NULLS FIRST, target_value NULLS FIRST,
+                     repeated, src_n, tgt_n, joined_rows) <= 3""",
     "rule_filter": SOURCE_VIEW + pairs.RULE_FILTER,
     "rule_join_agg": SOURCE_VIEW + f"SELECT * FROM ({pairs.RULE_JOIN_AGG}) r",
     "rule_window": _with(source_view="SELECT * FROM lineitem") + pairs.RULE_WINDOW,

@@ -52,6 +52,61 @@ SELECT o_orderkey AS order_key,
 FROM orders WHERE o_orderkey % 97 <> 0
 """
 
+# Orders whose columns have the names that results use themselves.
+OWN_NAMES_SOURCE = """
+SELECT o_orderkey AS kind, o_custkey AS src_n, CAST(o_totalprice AS DECIMAL(18,2)) AS uncastable,
+       o_orderstatus AS __row, o_orderdate AS column_name, o_orderpriority AS repeated
+FROM orders
+"""
+
+OWN_NAMES_TARGET = """
+SELECT o_orderkey AS kind, CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE o_custkey END AS src_n,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS uncastable,
+       CASE WHEN o_orderkey % 17 = 0 THEN 'X' ELSE o_orderstatus END AS __row,
+       o_orderdate AS column_name, o_orderpriority AS repeated
+FROM orders WHERE o_orderkey % 97 <> 0
+"""
+
+# Whole vectors, some of them missing, null, of other labels or twice.
+VECTORS_SOURCE = "SELECT vec_id, embedding, label FROM embeddings"
+
+VECTORS_TARGET = """
+SELECT vec_id, CASE WHEN vec_id % 29 = 0 THEN NULL ELSE embedding END AS embedding,
+       CASE WHEN vec_id % 37 = 0 THEN label + 1 ELSE label END AS label
+FROM embeddings WHERE vec_id % 23 <> 0
+UNION ALL
+SELECT vec_id + 100000000, embedding, label FROM embeddings WHERE vec_id % 41 = 0
+"""
+
+# Turns of conversations, as nested columns of two makes.
+NESTED_SOURCE = """
+SELECT conv_id, named_struct('turn', CAST(turn AS STRING), 'role', role, 'text', text) AS message,
+       array(CAST(turn AS STRING), role) AS marks,
+       map('n', if(turn % 2 = 0, '7', 'x')) AS notes,
+       array(named_struct('at', CAST(turn AS DOUBLE) + 0.5, 'by', role)) AS steps
+FROM conversations
+"""
+
+NESTED_TARGET = """
+SELECT CAST(conv_id AS STRING) AS conv_id,
+       named_struct('turn', turn, 'role', role, 'n_chars', length(text)) AS message,
+       array(turn) AS marks, map('n', 1) AS notes, array(named_struct('at', turn, 'by', role)) AS steps
+FROM conversations
+"""
+
+# The lines of a csv file of orders: some have too many fields, too few, or a quote that stays open.
+ORDER_LINES = """
+SELECT CASE WHEN o_orderkey % 19 = 0 THEN CAST(o_orderkey AS VARCHAR(20)) || ',' || o_orderstatus || ',' || o_orderpriority || ',more,still more'
+            WHEN o_orderkey % 23 = 0 THEN CAST(o_orderkey AS VARCHAR(20)) || ',' || o_orderstatus
+            WHEN o_orderkey % 29 = 0 THEN CAST(o_orderkey AS VARCHAR(20)) || ',' || o_orderstatus || ',"' || o_orderpriority
+            WHEN o_orderkey % 31 = 0 THEN CAST(o_orderkey AS VARCHAR(20)) || ',"' || o_orderstatus || ',' || o_orderpriority
+            WHEN o_orderkey % 37 = 0 THEN CAST(o_orderkey AS VARCHAR(20)) || ',"' || o_orderstatus || ',",' || o_orderpriority
+            ELSE CAST(o_orderkey AS VARCHAR(20)) || ',' || o_orderstatus || ',' || o_orderpriority END AS value,
+       CASE WHEN o_orderkey % 19 = 0 OR o_orderkey % 23 = 0 THEN 1
+            WHEN o_orderkey % 29 = 0 OR o_orderkey % 31 = 0 THEN 2 ELSE 0 END AS wrong
+FROM orders
+"""
+
 # The key (l_orderkey, l_linenumber) is not unique.
 LINES_SOURCE = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,

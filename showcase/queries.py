@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,14 @@ def lines_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return sql(spark, sf_dir, pairs.LINES_SOURCE), sql(spark, sf_dir, pairs.LINES_TARGET)
 
 
+def own_names_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    return sql(spark, sf_dir, pairs.OWN_NAMES_SOURCE), sql(spark, sf_dir, pairs.OWN_NAMES_TARGET)
+
+
+def vectors_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    return sql(spark, sf_dir, pairs.VECTORS_SOURCE), sql(spark, sf_dir, pairs.VECTORS_TARGET)
+
+
 def events_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return sql(spark, sf_dir, pairs.EVENTS_SOURCE), sql(spark, sf_dir, pairs.EVENTS_TARGET)
 
@@ -82,6 +91,13 @@ def src_dat(spark, sf_dir):
     return ac.read(spark, "dat", path)
 
 
+def src_malformed_lines(spark, sf_dir):
+    path = new_folder(spark, "orders.csv")
+    sql(spark, sf_dir, pairs.ORDER_LINES).select("value").write.text(path)
+    schema = "o_orderkey bigint, o_orderstatus string, o_orderpriority string"
+    return ac.malformed_lines(spark, "csv", path, schema=schema, options={"header": "false"})
+
+
 def src_text(spark, sf_dir):
     path = new_folder(spark, "documents.txt")
     table(spark, sf_dir, "documents").select("text").write.text(path)
@@ -225,6 +241,36 @@ def row_diff_of_documents(spark, sf_dir):
     return ac.row_diff(first, second)
 
 
+def row_diff_by_digests(spark, sf_dir):
+    """Digests of all lines first, then the lines whose digest differs."""
+    return ac.stage_row_diff(*lines_pair(spark, sf_dir))[0]
+
+
+def row_diff_of_own_names(spark, sf_dir):
+    return ac.stage_row_diff(*own_names_pair(spark, sf_dir))[0]
+
+
+def s2t_cells_of_own_names(spark, sf_dir):
+    source, target = own_names_pair(spark, sf_dir)
+    pairs_of = [(c, c) for c in source.columns]
+    return ac.s2t_cells(source, target, pairs_of, pairs_of[:1])
+
+
+def row_diff_of_vectors(spark, sf_dir):
+    """Array columns, compared element by element; shown in millionths."""
+    diff = ac.stage_row_diff(*vectors_pair(spark, sf_dir))[0]
+    millionths = "transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT))"
+    return diff.withColumn("embedding", F.expr(f"array_join({millionths}, ',')"))
+
+
+def s2t_cells_of_vectors(spark, sf_dir):
+    """The cells of an array column; of its values only whether there is one, since engines print floats each in its way."""
+    mapping = [(c, c) for c in ("vec_id", "embedding", "label")]
+    cells = ac.s2t_cells(*vectors_pair(spark, sf_dir), mapping, mapping[:1])
+    there = {c: F.when(F.col("column_name") == "embedding", F.col(c).isNotNull().cast("string")).otherwise(F.col(c)) for c in ("source_value", "target_value")}
+    return cells.withColumns(there)
+
+
 def diff_summary(spark, sf_dir):
     return ac.diff_summary(*lines_pair(spark, sf_dir))
 
@@ -250,6 +296,10 @@ def schema_drift(spark, sf_dir):
     return ac.schema_drift(*text_pair(spark, sf_dir))
 
 
+def schema_drift_of_nested(spark, sf_dir):
+    return ac.schema_drift(sql(spark, sf_dir, pairs.NESTED_SOURCE), sql(spark, sf_dir, pairs.NESTED_TARGET))
+
+
 # Rules.
 
 
@@ -284,6 +334,10 @@ def mismatch_preview(spark, sf_dir):
     return ac.preview(s2t_cells(spark, sf_dir), 10, ["o_orderkey", "column_name"])
 
 
+def stratified_preview(spark, sf_dir):
+    return ac.stratified_preview(s2t_cells_of_duplicates(spark, sf_dir), 3, by=["l_orderkey", "l_linenumber"])
+
+
 def tag_results(spark, sf_dir):
     tagged = ac.tag_results(
         missing_extra_keys(spark, sf_dir), "orders", "s2t", "FAILURE", START_MS, END_MS
@@ -371,6 +425,35 @@ def sink_orc(spark, sf_dir):
     return _sink_files(spark, sf_dir, "orc")
 
 
+def sink_rerun(spark, sf_dir):
+    """What is stored after a second run of which one check errs and another finds nothing more.
+
+    Rows of the check that erred are those of the first run; the clean one's are gone.
+    """
+    path = new_folder(spark, "results")
+    job = ac.Job(
+        job_name="orders",
+        source_type="query",
+        source_query=on_files(pairs.ORDERS_SOURCE, sf_dir),
+        target_type="query",
+        target_query=on_files(pairs.ORDERS_TARGET, sf_dir),
+        checks="missing_extra_records, business_rule, s2t",
+        column_mapping=pairs.ORDERS_MAPPING,
+        key_mapping=pairs.ORDERS_KEYS,
+        rule_sql="SELECT * FROM source_view WHERE o_totalprice > 0",
+        write_results="Y",
+    )
+    where = dict(results_type="parquet", results_location=path)
+    ac.run_job(spark, job, "first", **where)
+    same = replace(
+        job,
+        target_query=on_files(f"SELECT o_orderkey AS order_id, o_custkey AS cust_id, o_totalprice AS total, o_orderstatus AS status, o_orderdate AS ordered, o_orderpriority AS priority FROM ({pairs.ORDERS_SOURCE}) x", sf_dir),
+        rule_sql="SELECT raise_error('no rule') AS order_id, o_custkey FROM source_view",
+    )
+    ac.run_job(spark, same, "second", **where)
+    return ac.read_results(spark, "parquet", path).select("job_name", "recon_type", "run_id", "row_key", "kind")
+
+
 def sink_audit(spark, sf_dir):
     """Two runs appended to the audit table; one of them is read back."""
     audit = sql(spark, sf_dir, pairs.AUDIT_OF_EVENTS)
@@ -448,6 +531,7 @@ def _with_folder(query):
 QUERIES = {
     "src_csv": src_csv,
     "src_dat": src_dat,
+    "src_malformed_lines": src_malformed_lines,
     "src_text": src_text,
     "src_parquet": src_parquet,
     "src_orc": src_orc,
@@ -474,6 +558,11 @@ QUERIES = {
     "row_diff": row_diff,
     "row_diff_of_text": row_diff_of_text,
     "row_diff_of_documents": row_diff_of_documents,
+    "row_diff_by_digests": row_diff_by_digests,
+    "row_diff_of_own_names": row_diff_of_own_names,
+    "row_diff_of_vectors": row_diff_of_vectors,
+    "s2t_cells_of_own_names": s2t_cells_of_own_names,
+    "s2t_cells_of_vectors": s2t_cells_of_vectors,
     "s2t_rows": s2t_rows,
     "diff_summary": diff_summary,
     "missing_extra_keys": missing_extra_keys,
@@ -481,17 +570,20 @@ QUERIES = {
     "record_count": record_count,
     "threshold": threshold,
     "schema_drift": schema_drift,
+    "schema_drift_of_nested": schema_drift_of_nested,
     "rule_filter": rule_filter,
     "rule_join_agg": rule_join_agg,
     "rule_window": rule_window,
     "rule_vs_target": rule_vs_target,
     "mismatch_preview": mismatch_preview,
+    "stratified_preview": stratified_preview,
     "tag_results": tag_results,
     "run_rollup": run_rollup,
     "run_report": run_report,
     "sink_table": sink_table,
     "sink_parquet": sink_parquet,
     "sink_orc": sink_orc,
+    "sink_rerun": sink_rerun,
     "sink_audit": sink_audit,
     "suite_summary": suite_summary,
 }
