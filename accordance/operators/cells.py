@@ -166,6 +166,7 @@ def cell_diff(
     keys: Pairs,
     unique_keys: bool = False,
     duplicates: DataFrame | None = None,
+    few_duplicates: bool = False,
 ) -> DataFrame:
     """One row per differing cell, named as in the source.
 
@@ -178,14 +179,17 @@ def cell_diff(
     ``unique_keys`` says that no key has several rows on a side; one join then does it all.
     ``duplicates`` is a stored result of ``keys_not_unique`` for the same arguments.  Being
     a file of known size, Spark broadcasts it if it is small, and shuffles it if not.
+    ``few_duplicates`` says that it is small enough for every task: the other keys, which are unique, then go through
+    one join, as if they were all.
     """
     cells = _cells(source, target, mapping, keys)
     lines = f"if({_SINGLE}, {cells.lines()}, {cells.key_lines()})"
     if unique_keys:
         return _inline(cells, _joined(cells), lines, repeated=False)
     totals = _totals(cells) if duplicates is None else duplicates
+    once = _joined(cells, duplicates) if few_duplicates else _excess(cells, totals)
     return (
-        _inline(cells, _excess(cells, totals), lines, repeated=False)
+        _inline(cells, once, lines, repeated=False)
         .unionByName(_inline(cells, _missing(totals), cells.key_lines(), repeated=True))
         .unionByName(_values(cells, totals, duplicates is not None))
     )
@@ -311,11 +315,17 @@ def _same_key(cells: _Cells, left: str, right: str) -> str:
     return " AND ".join(f"{left}.{k} <=> {right}.{k}" for k in cells.group)
 
 
-def _joined(cells: _Cells) -> DataFrame:
-    """The same relation by a full outer join, for keys that are unique."""
+def _joined(cells: _Cells, duplicates: DataFrame | None = None) -> DataFrame:
+    """The same relation by a full outer join, for keys that are unique once a few others are left out."""
     # Marks tell presence; a key may be null on both sides.
-    source = cells.source.selectExpr("*", f"1L AS {IN_SOURCE}").alias("s")
-    target = cells.target.selectExpr("*", f"1L AS {IN_TARGET}").alias("t")
+    source = cells.source.selectExpr("*", f"1L AS {IN_SOURCE}")
+    target = cells.target.selectExpr("*", f"1L AS {IN_TARGET}")
+    if duplicates is not None:
+        few = F.broadcast(duplicates.selectExpr(*cells.group)).alias("d")
+        source, target = (
+            df.alias("r").join(few, F.expr(_same_key(cells, "r", "d")), "left_anti") for df in (source, target)
+        )
+    source, target = source.alias("s"), target.alias("t")
     return (
         source.join(target, F.expr(_same_key(cells, "s", "t")), "full_outer")
         .selectExpr(

@@ -39,9 +39,9 @@ def row_counts(source: DataFrame, target: DataFrame, mapping: Pairs | None = Non
 
 
 def digest_counts(source: DataFrame, target: DataFrame, mapping: Pairs | None = None) -> DataFrame:
-    """Each distinct row, given by its SHA-256, with its copies on both sides: ``__digest, src_n, tgt_n``.
+    """Each distinct row, given by 128 bits, with its copies on both sides: ``__digest, src_n, tgt_n``.
 
-    As ``row_counts``, but 32 bytes a row are shuffled, however wide the tables are.
+    As ``row_counts``, but digests are shuffled, however wide the tables are.
     """
     rows = _digested(*_both(source, target, mapping))
     return rows.groupBy(DIGEST).agg(*map(F.expr, _COUNTS))
@@ -68,15 +68,14 @@ def row_diff(
 ) -> DataFrame:
     """The rows whose number of copies differs: ``<columns>, src_n, tgt_n``.
 
-    ``digests`` is a stored result of ``digest_diff`` for the same arguments.  The sides are then
-    read once more for the rows of these digests only.  Being a file of known size, Spark broadcasts
-    it if it is small, so that of nearly equal tables next to nothing is shuffled, and merges it with the rows if not.
+    ``digests`` is a stored result of ``digest_diff`` for the same arguments, small enough for every task.  The sides are
+    then read once more for the rows of these digests only, so that of nearly equal tables next to nothing is shuffled.
     """
     if digests is None:
         return row_counts(source, target, mapping).where("src_n <> tgt_n")
     rows, names = _both(source, target, mapping)
     columns = [*map(quoted, names), "src_n", "tgt_n"]
-    return _digested(rows, names).join(digests, DIGEST).selectExpr(*columns).distinct()
+    return _digested(rows, names).join(F.broadcast(digests), DIGEST).selectExpr(*columns).distinct()
 
 
 def only_counts(prefix: str = ""):

@@ -19,9 +19,9 @@ from accordance.operators.cells import NOT_UNIQUE, cell_diff, keys_not_unique, o
 from accordance.operators.checks import record_count, schema_drift
 from accordance.operators.keys import key_diff, missing_keys
 from accordance.operators.report import preview, run_report, stratified_preview, tag_results
-from accordance.operators.rows import digest_diff, only_counts, row_diff
+from accordance.operators.rows import digest_diff, only_counts
 from accordance.operators.rules import SOURCE_VIEW, TARGET_VIEW, rule_violations
-from accordance.plans.workspace import local_rows, new_folder, remove_folder, stage, stage_row_diff
+from accordance.plans.workspace import local_rows, new_folder, remove_folder, rows_of_digests, stage, stage_row_diff
 from accordance.sinks.audit import append_audit, audit_events
 from accordance.sinks.results import (
     cell_results,
@@ -35,6 +35,9 @@ from accordance.sinks.results import (
 from accordance.sources.jobs import finished_checks, normalize_jobs
 from accordance.sources.readers import lines_kind, malformed_lines, of_several_lines, read
 
+#: Keys with several rows that every task can hold.
+FEW_KEYS = 50_000
+
 # The tables written to unless others are named.
 RESULTS_TABLE, AUDIT_TABLE = "recon_results", "recon_audit_log"
 
@@ -123,7 +126,7 @@ class _Sides:
 
     @cached_property
     def rows(self) -> DataFrame:
-        return self.stage(row_diff(self.source, self.target, self.job.mapping, self.digests), "rows")
+        return self.stage(rows_of_digests(self.source, self.target, self.job.mapping, self.digests), "rows")
 
     @cached_property
     def only(self) -> tuple[int, int]:
@@ -163,7 +166,8 @@ def _s2t(sides: _Sides) -> Callable[[], Outcome]:
             stored = sides.odd_keys.where(NOT_UNIQUE)
         else:
             stored = sides.stage(duplicates, "duplicates")
-        how = {"unique_keys": True} if stored.isEmpty() else {"duplicates": stored}
+        n = stored.limit(FEW_KEYS + 1).count()
+        how = {"duplicates": stored, "few_duplicates": n <= FEW_KEYS} if n else {"unique_keys": True}
         cells = sides.stage(cell_diff(*arguments, **how), "cells")
         found = cells.agg(
             F.count("*").alias("n"),

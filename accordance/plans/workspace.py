@@ -10,6 +10,10 @@ from accordance.model import ConfigError, Pairs
 from accordance.operators.rows import digest_diff, row_diff
 
 
+#: Digests that every task can hold, in about 20 MB.
+FEW_DIGESTS = 200_000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -37,9 +41,17 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
 def stage_row_diff(
     source: DataFrame, target: DataFrame, mapping: Pairs | None = None, folder: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """``row_diff`` in two steps, and the stored digests: only digests are shuffled, then only differing rows are read."""
+    """``row_diff`` in two steps, and the stored digests: only digests are shuffled, then only differing rows."""
     digests = stage(digest_diff(source, target, mapping), f"digests-{uuid.uuid4().hex}", folder)
-    return row_diff(source, target, mapping, digests), digests
+    return rows_of_digests(source, target, mapping, digests), digests
+
+
+def rows_of_digests(
+    source: DataFrame, target: DataFrame, mapping: Pairs | None, digests: DataFrame
+) -> DataFrame:
+    """``row_diff`` by stored digests if they are few; of tables that differ all over, by their rows at once."""
+    few = digests.limit(FEW_DIGESTS + 1).count() <= FEW_DIGESTS
+    return row_diff(source, target, mapping, digests if few else None)
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 import accordance as ac
 from accordance.operators.cells import keys_not_unique
 from accordance.operators.rows import only_counts
+from accordance.plans.runner import FEW_KEYS
 from accordance.plans.workspace import stage
 from showcase import queries as q
 
@@ -47,21 +48,19 @@ def run(df: DataFrame) -> None:
 
 
 def rows_check(source: DataFrame, target: DataFrame, mapping) -> None:
-    """What the runner does: one difference, stored, then counted and previewed."""
-    diff = stage(ac.row_diff(source, target, mapping), "rows")
-    diff.agg(*only_counts()).first()
-    ac.preview(diff, 20).collect()
+    """What the runner does: digests, stored and counted, then the rows of those that differ, stored and previewed."""
+    rows, digests = ac.stage_row_diff(source, target, mapping)
+    if any(digests.agg(*only_counts()).first()):
+        ac.preview(stage(rows, "rows"), 20).collect()
 
 
 def cells_check(source: DataFrame, target: DataFrame, mapping, keys) -> None:
     duplicates = stage(keys_not_unique(source, target, mapping, keys), "duplicates")
-    if duplicates.isEmpty():
-        plan = ac.cell_diff(source, target, mapping, keys, unique_keys=True)
-    else:
-        plan = ac.cell_diff(source, target, mapping, keys, duplicates=duplicates)
-    cells = stage(plan, "cells")
+    n = duplicates.limit(FEW_KEYS + 1).count()
+    how = {"duplicates": duplicates, "few_duplicates": n <= FEW_KEYS} if n else {"unique_keys": True}
+    cells = stage(ac.cell_diff(source, target, mapping, keys, **how), "cells")
     cells.count()
-    ac.preview(cells, 10).collect()
+    ac.stratified_preview(cells, 10).collect()
 
 
 def keys_check(source: DataFrame, target: DataFrame, keys) -> None:
