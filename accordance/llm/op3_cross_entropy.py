@@ -157,30 +157,36 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _pair_counts(docs: DataFrame, known: Broadcast, name: str) -> DataFrame:
+def _pair_counts(marked: DataFrame, known: Broadcast) -> DataFrame:
+    """Pairs of the texts with their counts in the target and in the documents, summed over a task's share as far as it fits."""
+
     def counted(held: list[tuple]) -> pa.RecordBatch:
-        key, before, word, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        first, order, sums = _added(key, n)
-        own = order[first]
-        key = key[own]
-        parts = [pa.array(key), *(pa.array(x[own], mask=key >= 0) for x in (before, word)), pa.array(sums)]
-        return pa.record_batch(parts, names=["key", "before", "word", name])
+        key, before, word, own, both = (np.concatenate(x) for x in zip(*held, strict=True))
+        first, order, sums = _added(key, own)
+        at = order[first]
+        all_sums = np.add.reduceat(both[order], first) if len(first) else both
+        key = key[at]
+        parts = [pa.array(key), *(pa.array(x[at], mask=key >= 0) for x in (before, word)), pa.array(sums), pa.array(all_sums)]
+        return pa.record_batch(parts, names=["key", "before", "word", *COUNTS])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for _, some in chunks(batch.column("text").to_pylist()):
-                _, key, before, word = known.value.pairs_of(some)
-                key, at, n = np.unique(key, return_index=True, return_counts=True)
-                held.append((key, before[at], word[at], n))
-                size += len(key)
+            weights = [np.asarray(batch.column(c), dtype=np.int64) for c in COUNTS]
+            for start, some in chunks(batch.column("text").to_pylist()):
+                doc, key, before, word = known.value.pairs_of(some)
+                first, order, own = _added(key, weights[0][start + doc])
+                at = order[first]
+                both = np.add.reduceat(weights[1][start + doc][order], first) if len(first) else first
+                held.append((key[at], before[at], word[at], own, both))
+                size += len(at)
                 if size >= HELD:
                     yield counted(held)
                     held, size = [], 0
         if held:
             yield counted(held)
 
-    return docs.select("text").mapInArrow(count, f"key long, before long, word long, {name} long")
+    return marked.select("text", *COUNTS).mapInArrow(count, "key long, before long, word long, own long, all long")
 
 
 def _array(rows: pa.Table, names: tuple[str, ...], size: int) -> np.ndarray:
@@ -190,7 +196,7 @@ def _array(rows: pa.Table, names: tuple[str, ...], size: int) -> np.ndarray:
     return out
 
 
-def tables(docs: DataFrame, target: DataFrame):
+def tables(docs: DataFrame, marked: DataFrame):
     """What tasks look up (broadcast), and the table of the chances (key, target, background) of the pairs to be joined."""
     spark = docs.sparkSession
     folder = new_path(spark, "counts")
@@ -205,8 +211,7 @@ def tables(docs: DataFrame, target: DataFrame):
     numbers = spark.sparkContext.broadcast(known)
 
     none = F.lit(0).cast("long")
-    of_target = _written(_pair_counts(target, numbers, "own"), f"{folder}/own")
-    both = _pair_counts(docs, numbers, "all").withColumn("own", none).unionByName(of_target.withColumn("all", none))
+    both = _pair_counts(marked, numbers)
     # Pairs of a context lie together, so that contexts are nearly counted where they are read; those of top words are spread.
     place = F.expr(f"CASE WHEN {BEFORE} BETWEEN 0 AND {TOP} THEN key ELSE {BEFORE} END")
     pairs = both.withColumn("place", F.pmod(F.xxhash64(place), F.lit(1 << 16))).repartition("place")
@@ -215,7 +220,6 @@ def tables(docs: DataFrame, target: DataFrame):
     )
     pairs = _written(pairs.drop("place"), f"{folder}/pairs")
     numbers.destroy()
-    remove_folder(spark, f"{folder}/own")
 
     contexts = pairs.groupBy(F.expr(BEFORE).alias("id")).agg(
         *(F.sum(c).alias(f"rows_{c}") for c in COUNTS), *(F.count_if(F.col(c) > 0).alias(f"pairs_{c}") for c in COUNTS)
@@ -286,9 +290,25 @@ def _found(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == key
 
 
-def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """doc_id, n_words, target_loss and background_loss (nats per word), score (their difference)."""
-    shared, chances = tables(docs, target)
+def cross_entropy_difference(
+    docs: DataFrame, target: DataFrame | None = None, is_target: DataFrame | None = None
+) -> DataFrame:
+    """doc_id, n_words, target_loss and background_loss (nats per word), score (their difference).
+
+    The target are any texts.  Where it is a part of the documents, ``is_target`` may be given instead: the documents with a
+    boolean column of that name, so that each text is counted once for both models.
+    """
+    if (target is None) == (is_target is None):
+        raise ValueError("give the target or the documents marked by is_target")
+    one, none = (F.lit(n).cast("long") for n in (1, 0))
+    if is_target is not None:
+        own = F.when(F.col("is_target"), one).otherwise(none)
+        marked = is_target.select("text", own.alias("own"), one.alias("all"))
+    else:
+        marked = docs.select("text", none.alias("own"), one.alias("all")).unionByName(
+            target.select("text", one.alias("own"), none.alias("all"))
+        )
+    shared, chances = tables(docs, marked)
     kind = docs.schema["doc_id"].dataType.simpleString()
     own_key = 1 << 62  # of a document's own row, which no pair has
 

@@ -55,8 +55,9 @@ def op3_cross_entropy(spark, sf_dir):
     Labels grow with the documents, so the two are merged at every size.
     """
     docs = table(spark, sf_dir, "documents")
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return op3.cross_entropy_difference(docs, docs.join(good.hint("merge"), "doc_id", "left_semi"))
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("is_target")).distinct()
+    marked = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left")
+    return op3.cross_entropy_difference(docs, is_target=marked)
 
 
 def op4_url_reputation(spark, sf_dir):

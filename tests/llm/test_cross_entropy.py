@@ -89,6 +89,8 @@ def test_all_words_and_pairs_count_however_they_are_looked_up(spark, monkeypatch
     docs = [(n, t) for n, t in enumerate(texts)]
     df = spark.createDataFrame([(i, t, 1, "n") for i, t in docs], SCHEMA)
     got = scores(o.cross_entropy_difference(df, df.where("doc_id IN (0, 5, 8)")))
+    marked = df.withColumn("is_target", o.F.expr("if(doc_id IN (0, 5, 8), true, if(doc_id = 1, NULL, false))"))
+    same(scores(o.cross_entropy_difference(df, is_target=marked)), got)
     same(got, brute_scores(docs, [texts[k] for k in (0, 5, 8)]))
 
 
