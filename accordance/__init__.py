@@ -31,6 +31,7 @@ from accordance.operators.report import (
 )
 from accordance.operators.rows import diff_summary, digest_diff, row_diff
 from accordance.operators.rules import rule_violations, rule_vs_target
+from accordance.operators.summaries import partition_summary, rows_of_partitions, summary_diff
 from accordance.plans.runner import run_job, run_suite
 from accordance.plans.workspace import stage_row_diff
 from accordance.sinks.results import read_results
@@ -57,11 +58,13 @@ __all__ = [
     "missing_extra",
     "parse_keys",
     "parse_mapping",
+    "partition_summary",
     "preview",
     "read",
     "read_results",
     "record_count",
     "row_diff",
+    "rows_of_partitions",
     "rule_violations",
     "rule_vs_target",
     "run_job",
@@ -73,6 +76,7 @@ __all__ = [
     "schema_drift",
     "stage_row_diff",
     "stratified_preview",
+    "summary_diff",
     "tag_results",
     "threshold",
 ]

@@ -410,6 +410,14 @@ ORACLES = {
         UNION ALL
         SELECT 'total', 'type_differs', 'string', 'decimal(18,2)',
                (SELECT count(*) FROM x WHERE TRY_CAST(total AS DECIMAL(18,2)) IS NULL)""",
+    "summary_diff": _with(s=pairs.ORDERS_SOURCE, t=pairs.ORDERS_PARTLY) + """
+        , n AS (SELECT o_orderpriority, (SELECT count(*) FROM s WHERE s.o_orderpriority = p.o_orderpriority) AS src_n,
+                       (SELECT count(*) FROM t WHERE t.o_orderpriority = p.o_orderpriority) AS tgt_n
+                FROM (SELECT DISTINCT o_orderpriority FROM s) p),
+        d AS (SELECT DISTINCT o_orderpriority FROM ((SELECT * FROM s EXCEPT ALL SELECT * FROM t)
+                                                    UNION ALL (SELECT * FROM t EXCEPT ALL SELECT * FROM s)) x)
+        SELECT o_orderpriority, CASE WHEN tgt_n = 0 THEN 'missing_in_target' ELSE 'value' END AS kind, src_n, tgt_n
+        FROM n JOIN d USING (o_orderpriority)""",
     "schema_drift_of_nested": """
         WITH t AS (SELECT typeof(turn) = 'BIGINT' AS wide FROM conversations LIMIT 1), n AS (SELECT count(*) AS n FROM conversations)
         SELECT * FROM (VALUES

@@ -28,6 +28,15 @@ SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)),
 FROM orders WHERE o_orderkey % 499 = 0
 """
 
+# Orders of which one priority has another customer in places, one lacks orders, and one is gone.
+ORDERS_PARTLY = """
+SELECT o_orderkey,
+       CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderkey % 53 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, o_orderstatus, o_orderdate, o_orderpriority
+FROM orders
+WHERE o_orderpriority <> '5-LOW' AND NOT (o_orderpriority = '1-URGENT' AND o_orderkey % 59 = 0)
+"""
+
 ORDERS_MAPPING = (
     "o_orderkey:order_id, o_custkey:cust_id, o_totalprice:total, o_orderstatus:status,"
     " o_orderdate:ordered, o_orderpriority:priority"

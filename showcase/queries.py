@@ -292,6 +292,16 @@ def threshold(spark, sf_dir):
     return ac.threshold(*orders_pair(spark, sf_dir), ORDERS_MAPPING, limit=0.05)
 
 
+def summary_diff(spark, sf_dir):
+    """Orders as files of one partition a priority, against the same with some changed, by sums of digests."""
+    paths = []
+    for text in (pairs.ORDERS_SOURCE, pairs.ORDERS_PARTLY):
+        paths.append(new_folder(spark, "orders"))
+        sql(spark, sf_dir, text).write.partitionBy("o_orderpriority").parquet(paths[-1])
+    by = ["o_orderpriority"]
+    return ac.summary_diff(*[ac.partition_summary(spark.read.parquet(path), by) for path in paths], by)
+
+
 def schema_drift(spark, sf_dir):
     return ac.schema_drift(*text_pair(spark, sf_dir))
 
@@ -569,6 +579,7 @@ QUERIES = {
     "missing_labels": missing_labels,
     "record_count": record_count,
     "threshold": threshold,
+    "summary_diff": summary_diff,
     "schema_drift": schema_drift,
     "schema_drift_of_nested": schema_drift_of_nested,
     "rule_filter": rule_filter,
