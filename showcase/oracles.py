@@ -107,10 +107,11 @@ RENAMED_COLUMNS = ["order_id", "cust_id", "total", "status", "ordered", "priorit
 
 # Text read as the typed side's types; raw keeps what could not be read.
 TEXT = dict(
-    s="""SELECT CAST(order_key AS BIGINT) AS order_key, TRY_CAST(total AS DECIMAL(18,2)) AS total,
-                CASE WHEN TRY_CAST(total AS DECIMAL(18,2)) IS NULL THEN total END AS raw, status
+    s="""SELECT CAST(order_key AS BIGINT) AS order_key, CAST(cust_key AS BIGINT) AS cust_key, TRY_CAST(total AS DECIMAL(18,2)) AS total,
+                CASE WHEN TRY_CAST(total AS DECIMAL(18,2)) IS NULL THEN total END AS raw, status,
+                ordered, urgency AS priority
          FROM (""" + pairs.ORDERS_AS_TEXT + ") x",
-    t="SELECT order_key, total, CAST(NULL AS VARCHAR) AS raw, status FROM ("
+    t="SELECT order_key, cust_key, total, CAST(NULL AS VARCHAR) AS raw, status, ordered, priority FROM ("
     + pairs.ORDERS_TYPED + ") x",
 )
 
@@ -325,7 +326,7 @@ ORACLES = {
     "key_projection": _with(**ORDERS_RENAMED) + """
         SELECT order_id, 'source' AS side FROM s UNION ALL SELECT order_id, 'target' FROM t""",
     "align_types": _with(**TEXT)
-    + "SELECT order_key, total, status, raw AS unread_total FROM s",
+    + "SELECT order_key, cust_key, total, status, ordered, raw AS unread_total FROM s",
     "null_aware_diff": """
         SELECT d.doc_id, quality IS DISTINCT FROM toxic AS quality_vs_toxic,
                quality IS DISTINCT FROM 1 AS quality_vs_one
@@ -369,14 +370,14 @@ ORACLES = {
               UNION ALL SELECT l_orderkey, l_linenumber, 0, 1 FROM t) u
         GROUP BY l_orderkey, l_linenumber HAVING sum(a) > 1 OR sum(b) > 1""",
     "row_diff": _with(**_rows(LINE_ROWS, LINES)) + "SELECT * FROM d",
-    "row_diff_of_text": _with(**_rows(["order_key", "total", "status", "raw"], TEXT)) + """
-        SELECT order_key, total, status, raw AS unread_total, src_n, tgt_n FROM d""",
+    "row_diff_of_text": _with(**_rows(["order_key", "cust_key", "total", "status", "ordered", "priority", "raw"], TEXT)) + """
+        SELECT * EXCLUDE (raw), raw AS unread_total FROM d""",
     "row_diff_of_documents": _with(
         **_rows(
-            ["text", "lang"],
+            ["text", "lang", "n_chars"],
             dict(
-                s="SELECT text, lang FROM documents WHERE source < 'src2'",
-                t="SELECT text, lang FROM documents WHERE source >= 'src2'",
+                s="SELECT text, lang, n_chars FROM documents WHERE source < 'src2'",
+                t="SELECT text, lang, n_chars FROM documents WHERE source >= 'src2'",
             ),
         )
     ) + "SELECT * FROM d",
@@ -405,6 +406,11 @@ ORACLES = {
         SELECT 'priority' AS column_name, 'only_in_target' AS drift, CAST(NULL AS VARCHAR) AS source_type,
                'string' AS target_type, CAST(NULL AS BIGINT) AS unreadable_rows
         UNION ALL
+        SELECT 'urgency', 'only_in_source', 'string', NULL, NULL
+        UNION ALL
+        SELECT 'cust_key', 'type_differs', 'string', 'bigint',
+               (SELECT count(*) FROM x WHERE TRY_CAST(cust_key AS BIGINT) IS NULL)
+        UNION ALL
         SELECT 'order_key', 'type_differs', 'string', 'bigint',
                (SELECT count(*) FROM x WHERE TRY_CAST(order_key AS BIGINT) IS NULL)
         UNION ALL

@@ -45,19 +45,19 @@ ORDERS_KEYS = "o_orderkey"
 
 # The totals as a text file would hold them, some of them unreadable.
 ORDERS_AS_TEXT = """
-SELECT CAST(o_orderkey AS VARCHAR(20)) AS order_key,
+SELECT CAST(o_orderkey AS VARCHAR(20)) AS order_key, CAST(o_custkey AS VARCHAR(20)) AS cust_key,
        CASE WHEN o_orderkey % 13 = 0 THEN 'n/a'
             ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR(20)) END AS total,
-       o_orderstatus AS status
+       o_orderstatus AS status, o_orderdate AS ordered, o_orderpriority AS urgency
 FROM orders
 """
 
 ORDERS_TYPED = """
-SELECT o_orderkey AS order_key,
+SELECT o_orderkey AS order_key, CAST(o_custkey AS BIGINT) AS cust_key,
        CASE WHEN o_orderkey % 83 = 0 THEN NULL
             ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS total,
        CASE WHEN o_orderkey % 17 = 0 THEN 'X' ELSE o_orderstatus END AS status,
-       o_orderpriority AS priority
+       o_orderdate AS ordered, o_orderpriority AS priority
 FROM orders WHERE o_orderkey % 97 <> 0
 """
 

@@ -172,7 +172,7 @@ def key_projection(spark, sf_dir):
 
 def align_types(spark, sf_dir):
     source, target = text_pair(spark, sf_dir)
-    names = ["order_key", "total", "status"]
+    names = ["order_key", "cust_key", "total", "status", "ordered"]
     source, _ = ac.align_types(source.select(names), target.select(names))
     return source.select(*names, F.col("uncastable.total").alias("unread_total"))
 
@@ -195,8 +195,8 @@ def s2t_cells(spark, sf_dir):
 
 
 def s2t_cells_of_text(spark, sf_dir):
-    mapping = [(name, name) for name in ("order_key", "total", "status")]
-    return ac.s2t_cells(*text_pair(spark, sf_dir), mapping, mapping[:1])
+    mapping = [(name, name) for name in ("order_key", "cust_key", "total", "status", "ordered")]
+    return ac.s2t_cells(*text_pair(spark, sf_dir), [*mapping, ("urgency", "priority")], mapping[:1])
 
 
 def s2t_cells_of_duplicates(spark, sf_dir):
@@ -228,14 +228,13 @@ def s2t_rows(spark, sf_dir):
 
 
 def row_diff_of_text(spark, sf_dir):
-    diff = ac.row_diff(*text_pair(spark, sf_dir))
-    raw = F.col("uncastable.total").alias("unread_total")
-    return diff.select("order_key", "total", "status", raw, "src_n", "tgt_n")
+    diff = ac.row_diff(*text_pair(spark, sf_dir), [("urgency", "priority")])
+    return diff.withColumn("unread_total", F.col("uncastable.total")).drop("uncastable")
 
 
 def row_diff_of_documents(spark, sf_dir):
     """Whole texts, the first two sources against all others: copies cancel one by one."""
-    documents = table(spark, sf_dir, "documents").select("text", "lang", "source")
+    documents = table(spark, sf_dir, "documents").select("text", "lang", "n_chars", "source")
     first = documents.where("source < 'src2'").drop("source")
     second = documents.where("source >= 'src2'").drop("source")
     return ac.row_diff(first, second)
