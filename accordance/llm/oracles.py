@@ -118,6 +118,30 @@ FROM p JOIN s USING (a) WHERE NOT same AND 30 * ps <= 100 * score AND 100 * scor
 QUALIFY row_number() OVER (PARTITION BY a, p ORDER BY score DESC, c) <= 10
 """
 
+REPEATS = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), w AS (
+  SELECT r, s, md5(b[s:s + 399]) AS h
+  FROM (SELECT r, b, unnest(range(1, octet_length(b) - 398)) AS s FROM d WHERE octet_length(b) >= 400)
+), hit AS (
+  SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1
+), island AS (
+  SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS k
+  FROM (SELECT r, s, CASE WHEN s <= lag(s) OVER (PARTITION BY r ORDER BY s) + 400 THEN 0 ELSE 1 END AS fresh FROM hit)
+), span AS (SELECT r, min(s) AS a, max(s) + 400 AS z FROM island GROUP BY r, k),
+gap AS (
+  SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 1) AS a, a AS z FROM span
+  UNION ALL SELECT r, max(z), NULL FROM span GROUP BY r
+), kept AS (
+  SELECT r, sha256(unhex(string_agg(hex(CASE WHEN z IS NULL THEN b[g.a:] ELSE b[g.a:z - 1] END), '' ORDER BY g.a))) AS h
+  FROM gap g JOIN d USING (r) GROUP BY r
+), sums AS (SELECT r, sum(z - a) AS n, count(*) AS k FROM span GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(k, 0) AS n_spans,
+  coalesce(kept.h, sha256(b)) AS kept_sha256
+FROM d LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)
+"""
+
 _CAPITALS = "".join(chr(c) for c in [*range(65, 91), *range(0xC0, 0xDF)] if c != 0xD7)
 _SMALL = "".join(chr(ord(c) + 32) for c in _CAPITALS)
 
@@ -150,4 +174,5 @@ ORACLES = {
     "op9_lsh_forest": CLASSES,
     "op10_pivot_topk": TOP_K,
     "op11_hard_negatives": NEGATIVES,
+    "op13_suffix_dedup": REPEATS,
 }
