@@ -28,6 +28,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from accordance.llm.tables import keep
 #: Bytes of text of a segment and of a block, bytes between lanes, and the longest probe: bounds of work done at once.
 SEGMENT, BLOCK, LANE, PROBE = 1 << 20, 8 << 20, 1 << 10, 1 << 10
 #: Distinct units that a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Links of a group that are written out one by one; beyond, distinct ids are paired with their numbers.
 LINKS = 4096
 _ID = 20  # bits of an id
@@ -136,12 +137,13 @@ class Tokenizers:
         self.ends = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
 
     def _encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        found_a = [e.ids for e in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
+        # Offsets of tokens are not needed.
+        found_a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
         return found_a, self.b.encode(units, num_threads=1)
 
     def _joined(self, unit: str, a: list[int], b: list[int]) -> bool:
         whole = (" " + unit).encode()
-        return b"".join([self.bytes_a[n] for n in a]) == whole == b"".join([self.bytes_b[n] for n in b])
+        return whole == b"".join(map(self.bytes_b.__getitem__, b)) and whole == b"".join(map(self.bytes_a.__getitem__, a))
 
     def segments(self, text: str) -> Iterator[list[str]]:
         """The units of a text, as many at once as make a segment."""
@@ -165,7 +167,7 @@ class Tokenizers:
         """The ids of each tokenizer with their number by segment (none if its tokens joined are another text), and which are good."""
         if len(self.known) > REMEMBERED or len(self.flat[0]) > 8 * REMEMBERED:
             self._clear()
-        new = list(dict.fromkeys(u for units in segments for u in units if u not in self.known))
+        new = [u for u in dict.fromkeys(chain.from_iterable(segments)) if u not in self.known]
         if new:
             found = self._encode(new)
             start = len(self.ends[0]) - 1
@@ -176,7 +178,7 @@ class Tokenizers:
                 more = np.fromiter((i for f in found[side] for i in f), np.uint32, sizes.sum())
                 self.flat[side] = np.concatenate([self.flat[side], more])
                 self.ends[side] = np.concatenate([self.ends[side], self.ends[side][-1] + np.cumsum(sizes)])
-        lists = [[self.known[u] for u in units] for units in segments]
+        lists = [list(map(self.known.__getitem__, units)) for units in segments]
         good = [min(units) >= 0 for units in lists]
         numbers = np.array([n for units, own in zip(lists, good, strict=True) if own for n in units], np.int64)
         units = np.array([len(u) if own else 0 for u, own in zip(lists, good, strict=True)])
