@@ -102,7 +102,8 @@ def labelled_sample(
 ) -> tuple[np.ndarray, list[np.ndarray]]:
     """Labels (0 or 1) and features of at most ``rows`` labelled documents, those with the smallest hashed ids.
 
-    Of several labels of a document the largest counts; null labels and ids don't.
+    Of several labels of a document the largest counts; null labels and ids don't.  Of several rows of a
+    document that with the least hash of its text is taken.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
@@ -111,7 +112,13 @@ def labelled_sample(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most ``rows`` rows
+    # One row of an id, so at most ``rows`` rows.
+    found = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(known), "doc_id")
+        .groupBy("doc_id", "y")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

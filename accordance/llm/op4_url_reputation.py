@@ -4,8 +4,8 @@ Labelled pages of a host are k bad ones of n.  The bad rate of a suffix is shrun
 all pages, that of a registered domain towards its suffix and that of a host towards its domain:
 with a beta prior of mean m and strength s the posterior mean is (k + s m) / (n + s).  The strength
 of each level comes from the variance between its groups beyond what binomial draws explain
-(method of moments), but is never more than the evidence that the parent's own rate rests on.  A host is blocked if the lower bound of its posterior bad rate is above a
-limit, so that few labels never block a host.
+(method of moments), but is never more than the evidence that the parent's own rate rests on.  A host is blocked if the lower bound of its posterior bad rate is above
+``lift`` times the rate of all pages, so that few labels never block a host, and a host is held against what is usual here.
 
 Everything is built-in functions.  Outcomes are summed by host before any other shuffle, and
 the join of pages with hosts has plain shuffles on both sides, which Spark splits for a hot host.
@@ -91,6 +91,12 @@ def _shrunk(groups: DataFrame, parents: DataFrame, on: list[str], least: float,
     )
 
 
+def overall_rate(groups: DataFrame, base_rate: float, least: float) -> DataFrame:
+    """One row: the rate m of all pages and the evidence w behind it."""
+    k, n = (F.coalesce(F.sum(c), F.lit(0)) for c in ("k", "n"))
+    return groups.agg(((k + least * base_rate) / (n + least)).alias("m"), (n + least).alias("w"))
+
+
 def host_reputation(
     hosts: DataFrame, base_rate: float = 0.1, strength: tuple[float, float] = (2.0, 200.0)
 ) -> DataFrame:
@@ -103,15 +109,9 @@ def host_reputation(
         "host", "k", "n", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix")
     )
     sums = (F.sum("k").alias("k"), F.sum("n").alias("n"))
-    domains = hosts.groupBy("domain", "suffix").agg(*sums)
-    suffixes = domains.groupBy("suffix").agg(*sums)
-    top = suffixes.agg(
-        (
-            (F.coalesce(F.sum("k"), F.lit(0)) + least * base_rate)
-            / (F.coalesce(F.sum("n"), F.lit(0)) + least)
-        ).alias("m"),
-        (F.coalesce(F.sum("n"), F.lit(0)) + least).alias("w"),
-    )
+    domains = keep(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
+    suffixes = keep(domains.groupBy("suffix").agg(*sums), "suffixes")
+    top = overall_rate(suffixes, base_rate, least)
     weight = F.col("a") + F.col("b")
     known = ((F.col("a") / weight).alias("m"), weight.alias("w"))
     suffix_rate = _shrunk(suffixes, top, [], least, most).select("suffix", *known)
@@ -129,8 +129,10 @@ def filter_urls(
     pages: DataFrame,
     outcomes: DataFrame,
     rules: dict[str, str],
-    limit: float = 0.5,
+    lift: float = 1.0,
     z: float = 1.645,
+    base_rate: float = 0.1,
+    strength: tuple[float, float] = (2.0, 200.0),
 ) -> DataFrame:
     """page_id, host, path, rule, verdict of each page; outcomes are page_id and bad (boolean)."""
     judged = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
@@ -146,9 +148,11 @@ def filter_urls(
     )
     hosts = keep(hosts, "hosts")
     verdicts = keep(
-        host_reputation(hosts).select(
+        host_reputation(hosts, base_rate, strength)
+        .crossJoin(F.broadcast(overall_rate(hosts, base_rate, strength[0])))  # one row
+        .select(
             F.col("host"),
-            F.when(lower_bound(F.col("a"), F.col("b"), z) > limit, BLOCK).otherwise(ALLOW).alias("judged"),
+            F.when(lower_bound(F.col("a"), F.col("b"), z) > lift * F.col("m"), BLOCK).otherwise(ALLOW).alias("judged"),
         ),
         "reputation",
     )

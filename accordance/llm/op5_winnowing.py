@@ -199,12 +199,14 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
 
 
 def marked(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """The documents with the columns n_hit and item_ids; null if no window occurs."""
-    found = keep(contamination(docs, items, window), "contaminated").select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "n_hit", "item_ids"
-    )
-    same = F.col("_doc").eqNullSafe(F.col("doc_id")) & F.col("_key").eqNullSafe(F.xxhash64("text"))
-    return docs.join(found, same, "left").drop("_doc", "_key")
+    """The documents with the columns n_hit and item_ids; null if no window occurs.
+
+    Columns of the documents with these names, in any case, are replaced.
+    """
+    found = keep(contamination(docs, items, window), "contaminated")
+    same = F.col("f.doc_id").eqNullSafe(F.col("d.doc_id")) & F.col("f.text_key").eqNullSafe(F.xxhash64("d.text"))
+    own = [F.col(f"d.`{c}`") for c in docs.columns if c.lower() not in ("n_hit", "item_ids")]
+    return docs.alias("d").join(found.alias("f"), same, "left").select(*own, "f.n_hit", "f.item_ids")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:

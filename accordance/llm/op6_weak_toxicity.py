@@ -1,23 +1,30 @@
 """Toxicity by weak supervision.
 
-Voters say toxic, clean or nothing of a document: words of a fixed lexicon, words and beginnings of
-words that labelled toxic documents have far more often, patterns of tone, the silence of all lexicon
-voters, and the label itself.  A generative label model has for each class the chances of each
-voter's answers (the label's are given, which ties the classes to their meaning); expectation maximisation estimates them together with the posterior of every document.
-Voters that agree beyond what the class explains count less: the evidence of voter j is divided by
-one plus the sum of its residual correlations with other voters.  A linear classifier (logistic loss) is
-then trained on the posterior labels over hashed words, and it alone scores texts.
-
-Voters and classifier are fitted on a bounded sample of labelled documents (``rows``); scoring sends the
-weights, of fixed size, to all tasks and reads each text once.
-
-Defined results: as for the quality classifier; without any label the lexicon is all that votes, on no document, and
-the score is that of the prior.
+Voters fire on a document or abstain: words of a fixed lexicon, words and beginnings of words that labelled
+toxic documents without these have far more often, patterns of tone, and the silence of all words.  An abstention is no evidence.
+Labels do not vote.  A generative label model has for each
+class the chance that each voter fires, and the prior of the class.  It is estimated by expectation maximisation over
+the vote patterns of *all* documents, labelled or not: a pass over the texts counts equal patterns, and each round is one
+aggregation over that table of the moments of voters, of fixed size.  Labels only say which of the two classes is the
+toxic one, by the model that the rounds start from.  Voters that agree beyond what the class explains count less: the evidence of voter j
+is divided by one plus the sum of its residual correlations, from the same moments, with the others that fire on the document.
+A linear classifier (logistic loss) is
+trained on the posterior labels of documents over hashed words, labels calibrate it, and it alone scores texts.
+
+Lexicon voters are mined, and scores calibrated, on a bounded sample of labelled documents, the classifier is trained on a bounded
+sample of any but held-out documents (``rows`` each); scoring sends the weights, of fixed size, to all tasks.
+
+Defined results: as for the quality classifier.  Repeated rows each have their pattern counted; a sample has one row of a
+doc_id.  Long texts are taken whole.  Without labels of both kinds nothing ties the classes, and the score is that of the prior.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +38,19 @@ from accordance.llm.features import (
     toxic_slots,
     word_slot,
 )
+from accordance.llm.tables import keep
+from accordance.llm.tokens import chunks
 
-#: Labelled documents that voters and classifier are fitted on at most, and voters from them at most.
+#: Documents of a sample at most, and voters mined from labelled ones at most.
 ROWS, MINED = 16_000, 240
-#: How often a label is taken to be right.
-LABEL_RIGHT = 0.97
+#: Posterior chances are summed in steps of this size, so that sums are exact in any order.
+STEPS = 1 << 20
+#: Voters that a toxic document should have.
+COVERS = 3
+#: The slots of the patterns of tone.
+TONES = np.array(list(PATTERNS.values()))
+#: Residual correlations below this count as none.
+UNRELATED = 0.05
 
 # Insults and contempt.
 LEXICON = (
@@ -45,65 +60,157 @@ LEXICON = (
 ).split()
 
 
-def mined_voters(y: np.ndarray, x: list[np.ndarray], most: int = MINED) -> np.ndarray:
-    """Slots that are far more frequent in documents labelled toxic, by significance."""
-    n1, n0 = np.zeros(SLOTS), np.zeros(SLOTS)
+def mined_voters(y: np.ndarray, x: list[np.ndarray], fixed: np.ndarray, most: int = MINED, covers: int = COVERS) -> np.ndarray:
+    """Slots that are far more frequent in documents labelled toxic, each for some on which fewer than ``covers`` voters fire.
+
+    Eight of nine documents with the slot are toxic, not counting those that have their voters.
+    Words of one group of copies all occur in the same documents; voters from all of them would outnumber the others.
+    """
+    n0 = np.zeros(SLOTS)
     for label, row in zip(y, x, strict=True):
-        (n1 if label else n0)[row] += 1
-    t1, t0 = max(int(y.sum()), 1), max(int(len(y) - y.sum()), 1)
-    p1, p0 = (n1 + 0.5) / (t1 + 1), (n0 + 0.5) / (t0 + 1)
-    gain = n1 * np.log(p1 / p0)
-    fit = np.flatnonzero((n1 >= 3) & (p1 > 8 * p0))
-    return fit[np.lexsort((fit, -gain[fit]))][:most]
-
-
-def votes(y: np.ndarray, x: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """A row of votes (1, -1 or 0) for each document; which slots vote.  The last two voters are silence and the label."""
-    fixed = np.array([word_slot(w) for w in LEXICON] + list(PATTERNS.values()))
-    slots = np.unique(np.concatenate([fixed, mined_voters(y, x)]))
-    patterns = np.isin(slots, list(PATTERNS.values()))
-    out = np.zeros((len(x), len(slots) + 2), np.int8)
+        if not label:
+            n0[row] += 1
+    toxic = [row for label, row in zip(y, x, strict=True) if label]
+    doc = np.repeat(np.arange(len(toxic)), [len(row) for row in toxic])
+    slot = np.concatenate([np.zeros(0, np.int64), *toxic])
+    t1, t0 = max(len(toxic), 1), max(len(y) - len(toxic), 1)
+    p0 = (n0 + 0.5) / (t0 + 1)
+    p1 = (np.bincount(slot, minlength=SLOTS) + 0.5) / (t1 + 1)
+    told, gain = p1 > 8 * p0, np.log(p1 / p0)
+    covered, chosen = np.array([np.isin(fixed, row).sum() for row in toxic], np.int64), []
+    while len(chosen) < most:
+        n1 = np.bincount(slot[covered[doc] < covers], minlength=SLOTS)
+        worth = np.where(told & (n1 >= 3) & (n1 > 8 * n0), n1 * gain, 0)
+        worth[chosen] = worth[fixed] = 0
+        best = int(worth.argmax())
+        if not worth[best]:
+            break
+        chosen.append(best)
+        covered[doc[slot == best]] += 1
+    return np.array(chosen, np.int64)
+
+
+def voters(y: np.ndarray, x: list[np.ndarray]) -> np.ndarray:
+    """The slots that vote: words in order, then the patterns of tone.  One more voter is the silence of all words."""
+    fixed = np.array([word_slot(w) for w in LEXICON])
+    # Words that labels say are harmless here don't vote, or those that share the slot of a harmless one.
+    fires = np.array([np.isin(fixed, row) for row in x]).reshape(len(x), len(fixed))
+    n1, n0 = fires[y > 0].sum(0), fires[y == 0].sum(0)
+    fixed = fixed[(n1 > 8 * n0) | (n0 < 3)]
+    words = np.unique(np.concatenate([fixed, mined_voters(y, x, fixed)]))
+    return np.append(words[~np.isin(words, TONES)], TONES)
+
+
+def votes(x: list[np.ndarray], slots: np.ndarray) -> np.ndarray:
+    """A row for each document: 1 for the voters that fire, else 0; the last is silence."""
+    out = np.zeros((len(x), len(slots) + 1))
     for i, row in enumerate(x):
-        out[i, :-2] = np.isin(slots, row, assume_unique=True)
-    silent = ~(out[:, :-2][:, ~patterns] > 0).any(1)
-    out[:, -2] = np.where(silent, -1, 0)
-    out[:, -1] = np.where(y > 0, 1, -1)
-    return out, slots
-
-
-def label_model(v: np.ndarray, rounds: int = 10, smooth: float = 0.5) -> np.ndarray:
-    """The posterior chance that each document is toxic."""
-    if not len(v):
-        return np.zeros(0)
-    answers = [(v == a).astype(np.float32) for a in (-1, 0, 1)]
-    post = np.where(v[:, -1] > 0, 0.9, 0.05).astype(np.float32)
-    v = v.astype(np.float32)
+        out[i, :-1] = np.isin(slots, row, assume_unique=True)
+    out[:, -1] = ~out[:, : len(slots) - len(TONES)].any(1)
+    return out
+
+
+def patterns(docs: DataFrame, slots: np.ndarray) -> DataFrame:
+    """fired (numbers of the voters that fire, two bytes each) and n, the documents they fire on."""
+
+    order = np.argsort(slots)
+    ranked, words = slots[order], len(slots) - len(TONES)
+
+    def fire(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for _, some in chunks(batch.column("text").to_pylist()):
+                doc, found = toxic_slots(some)
+                place = np.minimum(np.searchsorted(ranked, found), len(slots) - 1)
+                own = ranked[place] == found
+                doc, place = doc[own], order[place[own]]
+                silent = np.flatnonzero(np.bincount(doc[place < words], minlength=len(some)) == 0)
+                doc, place = np.append(doc, silent), np.append(place, np.full(len(silent), len(slots)))
+                by = np.lexsort((place, doc))
+                cuts = np.searchsorted(doc[by], np.arange(1, len(some)))
+                out += [p.tobytes() for p in np.split(place[by].astype(np.uint16), cuts)]
+            yield pa.record_batch([pa.array(out, pa.binary())], names=["fired"])
+
+    return docs.select("text").mapInArrow(fire, "fired binary").groupBy("fired").agg(F.count("*").alias("n"))
+
+
+@dataclass
+class LabelModel:
+    """Chance of the toxic class, and of each voter to fire in it (row 0) and in the other; residual correlations."""
+
+    prior: float
+    chance: np.ndarray
+    alike: np.ndarray
+
+    def posterior(self, v: np.ndarray) -> np.ndarray:
+        evidence = np.log(self.chance[0]) - np.log(self.chance[1])
+        odds = np.log(self.prior / (1 - self.prior)) + (v / (1 + v @ self.alike)) @ evidence
+        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+
+
+def moments(v: np.ndarray, n: np.ndarray, model: LabelModel) -> np.ndarray:
+    """For each class the products of voters (and of a last column of ones), summed by documents and posterior."""
+    ones = np.hstack([v, np.ones((len(v), 1))])
+    toxic = np.rint(model.posterior(v) * STEPS)
+    return np.stack([ones.T @ (ones * (n * w)[:, None]) for w in (toxic, STEPS - toxic)])
+
+
+def summed_moments(counted: DataFrame, model: LabelModel) -> np.ndarray:
+    """The moments over all patterns; as many numbers as pairs of voters come to the driver."""
+    size = len(model.alike)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, size + 1, size + 1), np.int64)
+        for batch in batches:
+            fired, n = batch.column("fired").to_pylist(), batch.column("n").to_numpy()
+            for at in range(0, len(fired), 4096):
+                some = fired[at : at + 4096]
+                v = np.zeros((len(some), size))
+                v[np.repeat(np.arange(len(some)), [len(f) // 2 for f in some]), np.frombuffer(b"".join(some), np.uint16)] = 1
+                total += moments(v, n[at : at + 4096], model).astype(np.int64)
+        kind, i, j = np.nonzero(np.triu(total))
+        yield pa.record_batch(
+            [pa.array(kind, pa.int32()), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[kind, i, j])],
+            names=["kind", "i", "j", "n"],
+        )
+
+    rows = counted.mapInArrow(partial, "kind int, i int, j int, n long")
+    found = rows.groupBy("kind", "i", "j").agg(F.sum("n").alias("n")).toArrow()
+    kind, i, j, n = (found[c].to_numpy() for c in ("kind", "i", "j", "n"))
+    out = np.zeros((2, size + 1, size + 1))
+    out[kind, i, j] = out[kind, j, i] = n
+    return out / STEPS
+
+
+def estimated(products: np.ndarray, smooth: float = 0.5) -> LabelModel:
+    """The model that the moments give."""
+    classes = products[:, -1, -1]
+    fires = products[:, -1, :-1]
+    chance = (fires + smooth) / (classes[:, None] + 2 * smooth)
+    mean = fires / np.maximum(classes, 1e-9)[:, None]
+    rest = products[:, :-1, :-1].sum(0) - sum(c * np.outer(m, m) for c, m in zip(classes, mean, strict=True))
+    spread = np.sqrt(np.maximum(np.diag(rest), 1e-9))
+    alike = np.clip(rest / np.outer(spread, spread), 0, 1)
+    np.fill_diagonal(alike, 0)
+    alike[alike < max(UNRELATED, 4 / np.sqrt(max(classes.sum(), 1)))] = 0  # what chance alone brings about
+    return LabelModel((classes[0] + 1) / (classes.sum() + 2), chance, alike)
+
+
+def first_model(y: np.ndarray, v: np.ndarray) -> LabelModel:
+    """Where the rounds start: the model of labelled documents, which tells the classes apart."""
+    ones = np.hstack([v, np.ones((len(v), 1))])
+    return estimated(np.stack([ones[y == label].T @ ones[y == label] for label in (1, 0)]))
+
+
+def label_model(counted: DataFrame, model: LabelModel, rounds: int = 12) -> LabelModel:
+    """The model that explains the patterns of all documents, by expectation maximisation."""
     for _ in range(rounds):
-        prior = (post.sum() + 1) / (len(post) + 2)
-        chance = []
-        for weight in (post, 1 - post):
-            counts = np.stack([weight @ a for a in answers]) + smooth
-            chance.append(counts / counts.sum(0))
-        for own, right in ((chance[0], LABEL_RIGHT), (chance[1], 1 - LABEL_RIGHT)):
-            own[:, -1] = 1 - right, 1, right
-        # Correlations that the class leaves unexplained.
-        mean1 = (post @ v) / max(post.sum(), 1e-9)
-        mean0 = ((1 - post) @ v) / max((1 - post).sum(), 1e-9)
-        rest = v - np.outer(post, mean1) - np.outer(1 - post, mean0)
-        spread = np.sqrt((rest * rest).sum(0)) + 1e-9
-        alike = np.clip((rest.T @ rest) / np.outer(spread, spread), 0, 1)
-        np.fill_diagonal(alike, 0)
-        alike[alike < 4 / np.sqrt(len(v))] = 0  # what chance alone brings about
-        weight = 1 / (1 + alike.sum(0))
-        weight[-1] = 1  # the label isn't one of the voters that copy each other
-        evidence = np.log(chance[0]) - np.log(chance[1])
-        odds = np.log(prior / (1 - prior)) + sum(a @ (weight * e) for a, e in zip(answers, evidence, strict=True))
-        new = (1 / (1 + np.exp(-np.clip(odds, -30, 30)))).astype(np.float32)
-        done = np.abs(new - post).max() < 1e-4
-        post = new
+        new = estimated(summed_moments(counted, model))
+        done = np.abs(new.chance - model.chance).max() < 1e-3 and abs(new.prior - model.prior) < 1e-4
+        model = new
         if done:
             break
-    return post
+    return model
 
 
 def train(
@@ -138,30 +245,25 @@ def train(
     return w, bias
 
 
-def fit(y: np.ndarray, x: list[np.ndarray]) -> tuple[np.ndarray, float, float, float]:
-    """Weights by slot, bias, and slope and offset of the logistic."""
+def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> tuple[np.ndarray, float, float, float]:
+    """Weights by slot, bias, and slope and offset of the logistic; labels of held-out documents aren't used."""
+    open_ids = bucket(F.col("doc_id"), 5) != 0
+    y, x = labelled_sample(docs, labels.where(open_ids), "toxic", rows, toxic_slots)
     if len(set(y.tolist())) < 2:
         share = (y.sum() + 0.2) / (len(y) + 2)
         return np.zeros(SLOTS), 0.0, 0.0, float(np.log(share / (1 - share)))
-    aside = np.arange(len(y)) % 5 == 4
-    if len(set(y[aside].tolist())) < 2:
-        aside[:] = False
-    own = ~aside
-    rows = [v for v, o in zip(x, own, strict=True) if o]
-    v, _ = votes(y[own], rows)
-    post = label_model(v)
-    w, bias = train(post, rows)
-    held = aside if aside.any() else own
-    margins = np.array([w[row].sum() for row, h in zip(x, held, strict=True) if h]) + bias
-    slope, offset = calibration(margins, y[held])
+    slots = voters(y, x)
+    model = label_model(keep(patterns(docs, slots), "patterns"), first_model(y, votes(x, slots)))
+    anyone = docs.where(open_ids).select("doc_id", F.lit(0).alias("drawn"))
+    _, own = labelled_sample(docs, anyone, "drawn", rows, toxic_slots)
+    w, bias = train(model.posterior(votes(own, slots)), own)
+    slope, offset = calibration(np.array([w[row].sum() for row in x]) + bias, y)
     return w, bias, slope, offset
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted; labels of held-out documents aren't used."""
-    known = labels.where(bucket(F.col("doc_id"), 5) != 0)
-    y, x = labelled_sample(docs, known, "toxic", rows, toxic_slots)
-    out = scored(docs, *fit(y, x), toxic_slots, ["doc_id"])
+    out = scored(docs, *fit(docs, labels, rows), toxic_slots, ["doc_id"])
     return out.select(
         "doc_id",
         F.coalesce(bucket(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
@@ -172,9 +274,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Dat
 
 def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = ROWS, limit: float = 0.5) -> DataFrame:
     """The documents whose score is below the limit, with all their columns."""
-    known = labels.where(bucket(F.col("doc_id"), 5) != 0)
-    y, x = labelled_sample(docs, known, "toxic", rows, toxic_slots)
     name = "score"
-    while any(c.startswith(name) for c in docs.columns):
+    while any(c.lower().startswith(name) for c in docs.columns):
         name += "_"
-    return scored(docs, *fit(y, x), toxic_slots, docs.columns, name).where(F.col(name) < limit).drop(name)
+    return scored(docs, *fit(docs, labels, rows), toxic_slots, docs.columns, name).where(F.col(name) < limit).drop(name)

@@ -39,8 +39,8 @@ ruled AS (
 )
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-    WHEN p - 1.645 * sqrt(p * (1 - p) / (w + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled JOIN r3 USING (host)
+    WHEN p - 1.645 * sqrt(p * (1 - p) / (w + 1)) > m THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled JOIN r3 USING (host), (SELECT m FROM top)
 """.replace(
     "{strength}",
     """CASE WHEN count(*) > 1 AND sum(n) * sum(n) > sum(n * n) AND sum(n * pow(k / n - m, 2)) > sum(m * (1 - m))

@@ -100,22 +100,70 @@ def test_dual_coordinate_descent_reaches_the_optimum():
         assert primal(w + rng.normal(0, 0.01, len(w)) * (r > 0), bias + rng.normal(0, 0.01)) >= best - 1e-3
 
 
-def test_voters_that_copy_each_other_count_less(monkeypatch):
-    """A block of copies of one weak voter does not outvote two independent ones."""
-    monkeypatch.setattr(weak, "LABEL_RIGHT", 0.8)
+def test_voters_that_copy_each_other_count_less():
+    """A block of copies of one weak voter does not outvote independent ones; few labels tie the classes."""
     rng = np.random.default_rng(6)
     n = 4000
     truth = rng.random(n) < 0.3
     answer = lambda right: np.where(rng.random(n) < right, truth, ~truth)
     weak_voter = answer(0.65)
-    voters = [answer(0.85), answer(0.85), *[weak_voter] * 6]
-    votes = np.stack([np.where(v, 1, -1) for v in [*voters, answer(0.8)]], 1).astype(np.int8)
-    post = weak.label_model(votes)
+    says = np.stack([answer(0.85), answer(0.85), answer(0.85), *[weak_voter] * 6], 1)
+    v = np.hstack([says, ~says]).astype(float)
+    model = weak.first_model(truth[:200].astype(int), v[:200])
+    for _ in range(20):
+        model = weak.estimated(weak.moments(v, np.ones(n), model) / weak.STEPS)
+    post = model.posterior(v)
     assert ((post > 0.5) == truth).mean() > 0.9
+    assert abs(model.chance[0, :3] - 0.85).max() < 0.08 and (model.alike[3, 4:9] > 0.9).all()
 
 
 def test_silence_and_lexicon_vote():
     words = [weak.word_slot("idiot"), weak.word_slot("tree")]
-    v, slots = weak.votes(np.array([1, 0]), [np.sort(words), np.array([words[1]])])
-    assert v[0, -2:].tolist() == [0, 1] and v[1, -2:].tolist() == [-1, -1]
-    assert v[0, :-2].sum() == 1 and words[0] in slots and words[1] not in slots
+    x = [np.sort(words), np.array([words[1]])]
+    slots = weak.voters(np.array([1, 0]), x)
+    v = weak.votes(x, slots)
+    assert v[:, -1].tolist() == [0, 1] and v[0, :-1].sum() == 1 and v[1, :-1].sum() == 0
+    assert words[0] in slots and words[1] not in slots
+
+
+def test_mined_voters_cover_documents_that_no_other_is_in():
+    lexicon, copied, rare = np.array([5]), list(range(100, 150)), 200
+    x = [np.array([5, 9])] * 20 + [np.array([9, *copied])] * 6 + [np.array([9, rare])] * 4 + [np.array([9])] * 200
+    y = np.array([1] * 30 + [0] * 200)
+    mined = weak.mined_voters(y, x, lexicon, covers=1)
+    assert sorted(mined) == [copied[0], rare]
+    assert len(weak.mined_voters(y, x, lexicon)) == 4  # no more than three of the copied words
+    assert len(weak.mined_voters(np.zeros(0, int), [], lexicon)) == 0
+
+
+def test_patterns_and_moments_cover_all_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [r.text for r in docs.select("text").collect()] + [None, ""]
+    x = features._lists(texts, features.toxic_slots)
+    slots = weak.voters(np.array([1, 0]), x[:2])
+    v = weak.votes(x, slots)
+    more = docs.select("text").unionByName(spark.createDataFrame([(None,), ("",)], "text string"))
+    counted = weak.patterns(more.repartition(5), slots)
+    assert counted.agg({"n": "sum"}).first()[0] == len(texts)
+    chance = np.linspace(0.1, 0.6, 2 * v.shape[1]).reshape(2, -1)
+    model = weak.LabelModel(0.3, chance, np.full((v.shape[1], v.shape[1]), 0.01))
+    expected = weak.moments(v, np.ones(len(v)), model) / weak.STEPS
+    assert np.array_equal(weak.summed_moments(counted, model), expected)
+    none = weak.summed_moments(counted.where("false"), model)
+    assert not none.any() and np.isfinite(weak.estimated(none).posterior(v)).all()
+
+
+def test_repeated_rows_do_not_grow_the_sample(spark):
+    docs = spark.range(3000).selectExpr("id % 3 AS doc_id", "concat('text ', id % 7) AS text")
+    labels = spark.sql("SELECT CAST(id AS BIGINT) AS doc_id, 1 AS toxic FROM range(3)")
+    y, x = features.labelled_sample(docs, labels, "toxic", 10, features.toxic_slots)
+    assert len(y) == len(x) == 3
+    again = features.labelled_sample(docs.repartition(4), labels, "toxic", 10, features.toxic_slots)
+    assert all((a == b).all() for a, b in zip(x, again[1], strict=True))
+
+
+def test_columns_named_as_the_score_stay(spark):
+    docs = spark.createDataFrame([(1, "a", 1, 2), (2, None, 3, 4)], "doc_id long, text string, Score int, score_text int")
+    labels = spark.sql("SELECT CAST(1 AS BIGINT) AS doc_id, 0 AS toxic")
+    kept = weak.without_toxic(docs, labels)
+    assert kept.columns == docs.columns and sorted(r.Score for r in kept.collect()) == [1, 3]

@@ -56,6 +56,15 @@ def test_bad_hosts_are_blocked_and_shrink_to_their_domain(spark):
     assert (got[5000], got[5001], got[5002]) == ("block", "allow", "allow")
 
 
+def test_hosts_are_held_against_the_rate_of_all_pages(spark):
+    """A host far above a low rate is blocked though most of its pages are good; with a higher lift it isn't."""
+    pages = spark.sql("SELECT id AS page_id, concat('http://h', id % 20, '.x', id % 20, '.org/') AS url FROM range(8000)")
+    outcomes = pages.selectExpr("page_id", "id_in % IF(page_id % 20 = 3, 3, 25) = 0 AS bad".replace("id_in", "(page_id DIV 20)"))
+    judged = url.filter_urls(pages, outcomes, {}).where("verdict = 'block'").select("host").distinct()
+    assert [r.host for r in judged.collect()] == ["h3.x3.org"]
+    assert url.filter_urls(pages, outcomes, {}, lift=8.0).where("verdict = 'block'").isEmpty()
+
+
 def test_posterior_is_between_host_and_prior(spark):
     hosts = spark.createDataFrame(
         [("a.x.org", 9, 10), ("b.x.org", 1, 10), ("c.x.org", 0, 0), ("d.y.co.uk", 5, 10)], "host string, k long, n long"
@@ -107,6 +116,9 @@ def test_every_shared_window_is_found(spark):
     assert all(got.get(d, 0) == brute_hits(d[1], long_items)[0] for d in docs if list(zip(*docs))[0].count(d[0]) == 1 and d[0] is not None)
     assert winnow.contamination(df, items_df.where("false")).count() == 0
     assert winnow.marked(df.where("false"), items_df).count() == 0
+    clashing = df.selectExpr("doc_id", "text", "t AS N_HIT", "words AS _doc", "words AS `f.x`", "t AS _key")
+    own = winnow.marked(clashing, items_df)
+    assert own.columns == ["doc_id", "text", "_doc", "f.x", "_key", "n_hit", "item_ids"] and own.count() == len(docs)
     kept = winnow.without_contaminated(df, items_df)
     assert kept.columns == df.columns
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(d for d in docs if not brute_hits(d[1], items)[0])
