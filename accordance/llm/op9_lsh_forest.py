@@ -1,10 +1,10 @@
-"""N-gram Jaccard join: a MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: prefixes of trees of min-hashes, then exact verification.
 
 Texts with the same words are one node.  The shingles of a node are its runs of five words (all words if
-there are fewer).  A forest has ``trees`` sorted prefix tries of min-hashes; two nodes of similarity s share a
-prefix of length d in one of T trees with chance 1 - (1 - s^d)^T.  The prefix is shortened from the full
-depth until this chance at the threshold reaches the target recall, and nodes that share a prefix of that length are
-candidates.
+there are fewer).  There are ``trees`` trees of min-hashes; two nodes of similarity s share a prefix of
+length d in one of T trees with chance 1 - (1 - s^d)^T.  The longest prefix whose chance at the threshold reaches the
+target recall is taken once, from the threshold alone, and nodes that share it are candidates: this is banding with a
+derived length, not a walk through sorted tries that shortens matched prefixes.
 
 Candidates are compared in tiles of bounded size, so a bucket of any size is spread over many tasks; a
 tile sends on a star of links for each group it finds, never its pairs.  A first comparison of all min-hashes drops what
