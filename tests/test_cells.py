@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import accordance as ac
+from accordance.operators import cells as cells_module
 from accordance.operators.cells import keys_not_unique
 
 SCHEMA = "k int, v string, x double"
@@ -246,6 +247,34 @@ def test_repeated_keys_have_one_form_and_real_kinds(spark, copies):
         }
 
 
+def test_rows_are_dealt_to_as_many_tasks_as_they_need(spark, monkeypatch):
+    """A task gets no more rows of larger tables, and lines of repeated keys are counted where the rows are."""
+    monkeypatch.setattr(cells_module, "SHARE", 10)
+    rows = spark.range(300).selectExpr("CAST(id % 200 AS INT) AS k", "CAST(id AS STRING) AS v", "1.5D AS x")
+    for df in (ac.cell_diff(rows, rows, SAME, KEY), ac.mismatch_details(rows, rows, SAME, KEY)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert dealt and all(", 60)" in line or ", 60," in line for line in dealt)
+        assert df.count() == 2 * 100
+
+
+@pytest.mark.parametrize("heavy", [0, 3, 100])
+def test_spread_keys_have_the_same_lines(spark, monkeypatch, heavy):
+    """Whether all parts are too large for a task, some or none."""
+    shape = "if(id % 7 = 0, NULL, id % {}) AS k", "if(id % 5 = {}, NULL, CAST(id % 3 AS STRING)) AS v", "CAST(id % {} AS DOUBLE) AS x"
+    source = spark.range(40).selectExpr(*(x.format(n) for x, n in zip(shape, (11, 0, 4))))
+    target = spark.range(5, 47).selectExpr(*(x.format(n) for x, n in zip(shape, (13, 1, 3))))
+    for compare in (ac.cell_diff, ac.mismatch_details):
+        expected = Counter(map(tuple, compare(source, target, SAME, KEY).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(cells_module, "HEAVY", heavy)
+            assert Counter(map(tuple, compare(source, target, SAME, KEY).collect())) == expected
+    stored = keys_not_unique(source, target, SAME, KEY)
+    expected = Counter(map(tuple, ac.cell_diff(source, target, SAME, KEY).collect()))
+    monkeypatch.setattr(cells_module, "HEAVY", heavy)
+    assert Counter(map(tuple, ac.cell_diff(source, target, SAME, KEY, duplicates=stored).collect())) == expected
+
+
 def test_no_plan_sorts_to_aggregate(spark):
     """Rows are counted by hash, and no pairs are built."""
     rows = spark.range(100).selectExpr("id % 50 AS k", "CAST(id AS STRING) AS v", "1.5D AS x")
