@@ -40,6 +40,9 @@ def _range_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(fine, ids >> 2, 256 + ((ids - _FINE) >> 8)), np.where(fine, 2, 8)
 
 
+_CLASSES = _range_of(np.arange(IDS))[0]
+
+
 class _Lanes:
     """State of the models and coders of blocks, most of them of one length."""
 
@@ -66,9 +69,10 @@ class _Lanes:
         """Order 0 from the ids of each lane so far."""
         lanes = len(self.sums) // (_RANGES + 1)
         n = np.zeros((lanes, _RANGES), np.int64)
-        if seen.size:
-            key = np.arange(len(seen))[:, None] * _RANGES + _range_of(seen)[0]
-            n[: len(seen)] = np.bincount(key.ravel(), minlength=len(seen) * _RANGES).reshape(-1, _RANGES)
+        for at in range(0, len(seen) if seen.size else 0, 256):
+            some = _CLASSES[seen[at : at + 256]]
+            some += np.arange(len(some))[:, None] * _RANGES
+            n[at : at + len(some)] = np.bincount(some.ravel(), minlength=len(some) * _RANGES).reshape(-1, _RANGES)
         n = 1 + n * (_TOTAL - _RANGES) // max(seen.shape[1], 1)
         n[np.arange(lanes), n.argmax(1)] += _TOTAL - n.sum(1)
         self.sums = np.concatenate([np.zeros((lanes, 1), np.int64), np.cumsum(n, 1)], 1).ravel()
@@ -130,7 +134,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[tuple[bytes, int]]:
     count, last = _shape(len(ids), block)
     if not count:
         return []
-    grid = np.zeros(count * block, np.int64)
+    grid = np.zeros(count * block, np.uint16)
     grid[: len(ids)] = ids
     grid = grid.reshape(count, block)
     steps = np.ascontiguousarray(grid.T)
@@ -145,7 +149,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[tuple[bytes, int]]:
             sent = size[: count - 1]
         if t in _UPDATES:
             lanes.count_ranges(grid[: lanes.count, :t])
-        x = steps[t, : lanes.count]
+        x = steps[t, : lanes.count].astype(np.int64)
         first, second = lanes.predict()
         event = np.where(x == lanes.id2, 0, np.where(x == lanes.id1, 1, 2))
         start = np.where(event == 0, 0, np.where(event == 1, first, second))
@@ -182,17 +186,17 @@ def decode(payload: list[tuple[bytes, int]], total: int, block: int = BLOCK) ->
     if count != len(payload):
         raise ValueError(f"{total} ids have {count} blocks, not {len(payload)}")
     if not count:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint16)
     width = max(len(p) for p, _ in payload) // 2 + 4
-    words = np.zeros((count, width), np.int64)
+    words = np.zeros((count, width), np.uint16)
     for n, (data, _) in enumerate(payload):
         own = np.frombuffer(data, "<u2")
         words[n, : len(own)] = own
     flat = words.ravel()
     lanes = _Lanes(count)
     lanes.count_ranges(np.zeros((count, 0), np.int64), places=True)
-    grid = np.zeros((count, block), np.int64)
-    code = words[:, 0] << 32 | words[:, 1] << 16 | words[:, 2]
+    grid = np.zeros((block, count), np.uint16)
+    code = (words[:, 0].astype(np.int64) << 32) | (words[:, 1].astype(np.int64) << 16) | words[:, 2]
     read = np.full(count, 3)
     most = count * width - 1
     for t in range(block if count > 1 else last):
@@ -200,7 +204,7 @@ def decode(payload: list[tuple[bytes, int]], total: int, block: int = BLOCK) ->
             lanes.cut(count - 1)
             code, read = code[: count - 1], read[: count - 1]
         if t in _UPDATES:
-            lanes.count_ranges(grid[: lanes.count, :t], places=True)
+            lanes.count_ranges(grid[:t, : lanes.count].T, places=True)
         first, second = lanes.predict()
         unit = lanes.range >> _CHANCE
         ahead = code - lanes.low
@@ -222,11 +226,12 @@ def decode(payload: list[tuple[bytes, int]], total: int, block: int = BLOCK) ->
         x = np.where(event == 0, lanes.id2, np.where(event == 1, lanes.id1, x))
         lanes.narrow(unit, np.where(other, (begin << 8) + inside * each, 0), np.where(other, each, 1))
         while (ready := lanes.digits()) is not None:
-            digit = flat[np.minimum(lanes.lane * width + read, most)]
+            digit = flat[np.minimum(lanes.lane * width + read, most)].astype(np.int64)
             code[:] = np.where(ready[0], ((code << _DIGIT) & _STATE) | digit, code)
             read += ready[0]
-        grid[: lanes.count, t] = x
+        grid[t, : lanes.count] = x
         lanes.learn(x, event)
+    grid = np.ascontiguousarray(grid.T)
     for n, (_, crc) in enumerate(payload):
         own = grid[n, : last if n == count - 1 else block].astype("<u4")
         if zlib.crc32(own.tobytes()) != crc:

@@ -92,3 +92,17 @@ def test_damage_is_found():
         broken[at] ^= 0x55
         with pytest.raises((ValueError, zlib.error)):
             o.unpack(bytes(broken))
+
+
+def test_a_segment_needs_little_memory():
+    """Coding holds few copies of the ids; an executor runs several tasks at once."""
+    import tracemalloc
+
+    ids = (np.random.default_rng(5).zipf(1.2, 1000 * r.BLOCK) % r.IDS).astype(np.uint16)
+    tracemalloc.start()
+    blocks = r.encode(ids)
+    assert tracemalloc.get_traced_memory()[1] < 28 * len(ids)
+    tracemalloc.reset_peak()
+    assert (r.decode(blocks, len(ids)) == ids).all()
+    assert tracemalloc.get_traced_memory()[1] < 28 * len(ids)
+    tracemalloc.stop()
