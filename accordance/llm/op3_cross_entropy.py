@@ -6,7 +6,8 @@ discounting: what a context's pairs lose goes to single words, so that each cont
 A document's score is its loss per word under the target model less that under the background model: the lower, the
 closer to the target.
 
-The counts of words and pairs are written tables until the chances of pairs are one.  Frequent words have numbers, and the chances of frequent pairs go to all
+The counts of words and pairs are written tables until the chances of pairs are one.  Tasks send the counts of pairs on in
+parts, each one binary value of sorted keys as steps, which takes a quarter of the shuffle that rows take.  Frequent words have numbers, and the chances of frequent pairs go to all
 tasks (the ``LOOKED_UP`` most frequent of each); a document's other pairs are joined with their chances.  How a pair is looked up
 does not change its chance.  Pairs that occur once in all and never in the target are not joined: they are those not found.
 
@@ -26,7 +27,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accordance.llm.tables import new_path
+from accordance.llm.tables import bounded_batches, new_path
 from accordance.llm.tokens import chunks, mixed, runs
 from accordance.plans.workspace import remove_folder
 
@@ -37,6 +38,8 @@ BITS, TOP = 21, 1 << 12
 DISCOUNT, ADDED = 0.75, 0.5
 #: Distinct words or pairs of chunks that a task holds before it sends their counts on.
 HELD = 1 << 20
+#: Parts that pairs are dealt to, whole contexts or pairs of top words, and rows that a task adds up at once.
+PARTS, MERGED = 1 << 12, 1 << 18
 START = 0  # the number before the first word; frequent words have numbers from 1 on
 
 
@@ -67,7 +70,7 @@ def _counts(held: list[tuple[np.ndarray, np.ndarray]], name: str) -> pa.RecordBa
 
 def _added(value: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order of the values, the first place of each distinct one in it, and the sums of n."""
-    order = np.argsort(value, kind="stable")
+    order = np.argsort(value)
     value = value[order]
     first = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
     sums = np.add.reduceat(n[order], first) if len(first) else n
@@ -114,9 +117,8 @@ class Known:
         doc, hashes = runs(texts).words()
         word = _negative(hashes, 2)
         if len(self.hashes):
-            signed = hashes.view(np.int64)
-            at = np.minimum(np.searchsorted(self.hashes, signed), len(self.hashes) - 1)
-            word = np.where(self.hashes[at] == signed, self.numbers[at].astype(np.int64), word)
+            at, known = _found(self.hashes, hashes.view(np.int64))
+            word = np.where(known, self.numbers[at].astype(np.int64), word)
         before = np.empty_like(word)
         before[1:] = word[:-1]
         first = np.ones(len(word), bool)
@@ -152,22 +154,95 @@ CONTEXT = ("rows_own", "rows_all", "pairs_own", "pairs_all")
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
-    """The rows written at a path and read back."""
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written at a path and read back; what was shuffled for them goes at once."""
+    spark, name = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        df.write.parquet(path, compression="zstd")
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+PACKED = "part int, n int, pairs binary"
+
+
+def packed(key: np.ndarray, before: np.ndarray, word: np.ndarray, own: np.ndarray, both: np.ndarray) -> pa.RecordBatch:
+    """Pairs in ascending order of their key, at least one, as a row for each part.
+
+    A row's value has the steps between keys and the counts, byte by byte (all first bytes, all second bytes and so on), then
+    both words of the pairs whose key is a negative hash, which come first.
+    """
+    place = np.where((before >= 0) & (before <= TOP), key, before)
+    part = (mixed(place.view(np.uint64)) & np.uint64(PARTS - 1)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    part, key = part[order], key[order].view(np.uint64)
+    new = np.append(True, part[1:] != part[:-1])
+    steps = np.append(key[:1], key[1:] - key[:-1])
+    steps[new] = key[new]
+    columns = np.stack([steps, own[order].view(np.uint64), both[order].view(np.uint64)], 1).astype("<u8").view(np.uint8)
+    words = np.stack([before[order], word[order]], 1).astype("<i8").view(np.uint8)
+    first = np.flatnonzero(new)
+    ends = np.append(first[1:], len(part))
+    hashed = np.add.reduceat(key >> np.uint64(63), first).astype(np.int64)
+    values = [
+        columns[a:b].T.tobytes() + words[a : a + h].tobytes()
+        for a, b, h in zip(first.tolist(), ends.tolist(), hashed.tolist(), strict=True)
+    ]
+    parts = [pa.array(part[first], pa.int32()), pa.array(ends - first, pa.int32()), pa.array(values, pa.binary())]
+    return pa.record_batch(parts, names=["part", "n", "pairs"])
+
+
+def unpacked(n: int, value: bytes) -> tuple[np.ndarray, ...]:
+    """key, own, all, and the words before and words of the pairs with a negative key, which come first."""
+    columns = np.ascontiguousarray(np.frombuffer(value, np.uint8, 24 * n).reshape(24, n).T).view("<u8")
+    words = np.frombuffer(value, "<i8", offset=24 * n).reshape(-1, 2)
+    key = np.cumsum(columns[:, 0], dtype=np.uint64).view(np.int64)
+    return key, columns[:, 1].view(np.int64), columns[:, 2].view(np.int64), words[:, 0], words[:, 1]
+
+
+def _merged(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """The distinct pairs of whole parts."""
+    key, own, both, before, word = (np.concatenate(x) for x in zip(*held, strict=True))
+    hashed, (before_hashed, word_hashed) = np.flatnonzero(key < 0), (before, word)
+    before, word = np.zeros_like(key), np.zeros_like(key)
+    before[hashed], word[hashed] = before_hashed, word_hashed
+    first, order, own = _added(key, own)
+    both = np.add.reduceat(both[order], first)
+    at = order[first]
+    key = key[at]
+    parts = [pa.array(key), *(pa.array(x[at], mask=key >= 0) for x in (before, word)), pa.array(own), pa.array(both)]
+    return pa.record_batch(parts, names=["key", "before", "word", *COUNTS])
+
+
+def _of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size, last = [], 0, None
+    for batch in batches:
+        for part, n, value in zip(batch.column("part").to_pylist(), batch.column("n").to_pylist(), batch.column("pairs"), strict=True):
+            if part != last and size >= MERGED:
+                yield _merged(held)
+                held, size = [], 0
+            last = part
+            held.append(unpacked(n, value.as_py()))
+            size += n
+    if held:
+        yield _merged(held)
 
 
 def _pair_counts(marked: DataFrame, known: Broadcast) -> DataFrame:
-    """Pairs of the texts with their counts in the target and in the documents, summed over a task's share as far as it fits."""
+    """Distinct pairs of the texts with their counts in the target and in the documents.
+
+    They are summed over a task's share as far as it fits, then over each part.  The pairs of a context are one part, so that contexts
+    are nearly counted where they are read; those of top words are spread.
+    """
 
     def counted(held: list[tuple]) -> pa.RecordBatch:
         key, before, word, own, both = (np.concatenate(x) for x in zip(*held, strict=True))
         first, order, sums = _added(key, own)
         at = order[first]
         all_sums = np.add.reduceat(both[order], first) if len(first) else both
-        key = key[at]
-        parts = [pa.array(key), *(pa.array(x[at], mask=key >= 0) for x in (before, word)), pa.array(sums), pa.array(all_sums)]
-        return pa.record_batch(parts, names=["key", "before", "word", *COUNTS])
+        return packed(key[at], before[at], word[at], sums, all_sums)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -183,10 +258,11 @@ def _pair_counts(marked: DataFrame, known: Broadcast) -> DataFrame:
                 if size >= HELD:
                     yield counted(held)
                     held, size = [], 0
-        if held:
+        if size:
             yield counted(held)
 
-    return marked.select("text", *COUNTS).mapInArrow(count, "key long, before long, word long, own long, all long")
+    parts = marked.select("text", *COUNTS).mapInArrow(count, PACKED).repartition("part").sortWithinPartitions("part")
+    return parts.mapInArrow(_of_parts, "key long, before long, word long, own long, all long")
 
 
 def _array(rows: pa.Table, names: tuple[str, ...], size: int) -> np.ndarray:
@@ -211,14 +287,7 @@ def tables(docs: DataFrame, marked: DataFrame):
     numbers = spark.sparkContext.broadcast(known)
 
     none = F.lit(0).cast("long")
-    both = _pair_counts(marked, numbers)
-    # Pairs of a context lie together, so that contexts are nearly counted where they are read; those of top words are spread.
-    place = F.expr(f"CASE WHEN {BEFORE} BETWEEN 0 AND {TOP} THEN key ELSE {BEFORE} END")
-    pairs = both.withColumn("place", F.pmod(F.xxhash64(place), F.lit(1 << 16))).repartition("place")
-    pairs = pairs.groupBy("place", "key").agg(
-        F.max("before").alias("before"), F.max("word").alias("word"), *(F.sum(c).alias(c) for c in COUNTS)
-    )
-    pairs = _written(pairs.drop("place"), f"{folder}/pairs")
+    pairs = _written(_pair_counts(marked, numbers), f"{folder}/pairs")
     numbers.destroy()
 
     contexts = pairs.groupBy(F.expr(BEFORE).alias("id")).agg(
@@ -284,10 +353,18 @@ def tables(docs: DataFrame, marked: DataFrame):
 
 
 def _found(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
+    """Places in the sorted keys, and whether the key is there; each distinct key is looked for once, in order."""
+    if not len(keys) or not len(key):
         return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    return at, keys[at] == key
+    order = np.argsort(key)
+    ranked = key[order]
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    place = np.minimum(np.searchsorted(keys, ranked[first]), len(keys) - 1)
+    times = np.diff(np.append(first, len(key)))
+    at, there = np.empty(len(key), np.int64), np.empty(len(key), bool)
+    at[order] = np.repeat(place, times)
+    there[order] = np.repeat(keys[place] == ranked[first], times)
+    return at, there
 
 
 def cross_entropy_difference(
@@ -308,6 +385,7 @@ def cross_entropy_difference(
         marked = docs.select("text", none.alias("own"), one.alias("all")).unionByName(
             target.select("text", one.alias("own"), none.alias("all"))
         )
+    bounded_batches(docs.sparkSession)
     shared, chances = tables(docs, marked)
     kind = docs.schema["doc_id"].dataType.simpleString()
     own_key = 1 << 62  # of a document's own row, which no pair has
@@ -330,19 +408,41 @@ def cross_entropy_difference(
                     parts.append(pa.concat_arrays([x, pa.nulls(none, x.type)]))
                 yield pa.record_batch(parts, names=["row", "key", "doc_id", "n_words", "t", "b"])
 
+    names = ["row", "doc_id", "n_words", "t", "b"]
+
+    def summed(held: list[tuple[np.ndarray, ...]], id_type: pa.DataType) -> pa.RecordBatch:
+        row, *sums = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(row)
+        row = row[order]
+        first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        nulls = (pa.nulls(len(first), kind) for kind in (id_type, pa.int64()))
+        return pa.record_batch([pa.array(row[first]), *nulls, *(pa.array(np.add.reduceat(x[order], first)) for x in sums)], names=names)
+
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        """The documents' own rows, and what the pairs add to each, summed over a task's share as far as it fits."""
+        known, held, size = shared.value, [], 0
         for batch in batches:
             at = {name: batch.column(name) for name in batch.schema.names}
-            key = np.asarray(at["key"])
+            key, row = np.asarray(at["key"]), np.asarray(at["row"])
             once = (key >= 0) & (key < own_key) & np.asarray(at["target"].is_null())
             single = known.of_keys(key[once], np.zeros(once.sum()), np.ones(once.sum()))
             sums = []
             for k, (own, chance) in enumerate((("t", "target"), ("b", "background"))):
                 x = np.asarray(at[own].fill_null(0.0)) - np.asarray(at[chance].cast(pa.float64()).fill_null(0.0))
                 x[once] -= single[k]
-                sums.append(pa.array(x))
-            yield pa.record_batch([at["row"], at["doc_id"], at["n_words"], *sums], names=["row", "doc_id", "n_words", "t", "b"])
+                sums.append(x)
+            whole = key >= own_key
+            if whole.any():
+                parts = [at["row"], at["doc_id"], at["n_words"], *map(pa.array, sums)]
+                yield pa.record_batch([x.filter(pa.array(whole)) for x in parts], names=names)
+            if not whole.all():
+                held.append((row[~whole], *(x[~whole] for x in sums)))
+                size += len(held[-1][0])
+            if size >= HELD:
+                yield summed(held, at["doc_id"].type)
+                held, size = [], 0
+        if size:
+            yield summed(held, at["doc_id"].type)
 
     rows = docs.select("doc_id", "text").mapInArrow(
         held, f"row long, key long, doc_id {kind}, n_words long, t double, b double"

@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from accordance.llm import op3_cross_entropy as o
@@ -102,3 +103,27 @@ def test_the_query_tells_apart_all_words_and_pairs(spark):
     got = scores(o.cross_entropy_difference(df, df.where("doc_id = 2")))
     assert got[2][3] < got[3][3] - 1
     same(got, brute_scores([r[:2] for r in rows], ["rare rare"]))
+
+
+def test_parts_of_pairs_hold_what_was_packed():
+    rng = np.random.default_rng(3)
+    key = np.unique(np.append(rng.integers(-(1 << 63), 0, 3000), rng.integers(0, 1 << 42, 3000)))
+    before = np.where(key < 0, rng.integers(-(1 << 63), 1 << 21, len(key)), key >> o.BITS)
+    word = np.where(key < 0, rng.integers(-(1 << 63), 1 << 21, len(key)), key & ((1 << o.BITS) - 1))
+    own, both = rng.integers(0, 1 << 40, (2, len(key)))
+    batch = o.packed(key, before, word, own, both)
+    assert len(set(batch.column("part").to_pylist())) == batch.num_rows
+    got = [row for some in o._of_parts(iter([batch, batch])) for row in some.to_pylist()]
+    kept = {r["key"]: (r["before"], r["word"], r["own"], r["all"]) for r in got}
+    expected = {}
+    for k, *row in zip(*(x.tolist() for x in (key, before, word, 2 * own, 2 * both)), strict=True):
+        expected[k] = (*(row[:2] if k < 0 else (None, None)), *row[2:])
+    assert kept == expected
+
+
+def test_pairs_are_shuffled_in_parts(spark):
+    docs = spark.createDataFrame([(1, "a b a b c", 1, 1)], "doc_id long, text string, own long, all long")
+    known = spark.sparkContext.broadcast(o.Known(np.zeros(0, np.int64), np.zeros(0, np.int32)))
+    pairs = o._pair_counts(docs, known)
+    assert "pairs" in pairs._jdf.queryExecution().toString()
+    assert sorted(r["all"] for r in pairs.collect()) == [1, 1, 1, 2]
