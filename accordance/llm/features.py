@@ -142,17 +142,20 @@ def scored(
 ) -> DataFrame:
     """These columns and the score of each text: the logistic of slope * (its weights + bias) + offset."""
     weights = weights.astype(np.float32)
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias(f"{name}_text"))
+    # A text that is returned goes to the tasks once.
+    text = columns.index("text") if "text" in columns else len(columns)
+    more = [] if "text" in columns else [F.col("text").alias(f"{name}_text")]
+    rows = docs.select(*[F.col(f"`{c}`") for c in columns], *more)
     schema = rows.schema[: len(columns)].add(name, "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             margins = np.zeros(batch.num_rows)
-            for start, some in chunks(batch.columns[-1].to_pylist()):
+            for start, some in chunks(batch.columns[text].to_pylist()):
                 doc, found = slots(some)
                 margins[start : start + len(some)] = np.bincount(doc, weights[found], len(some))
             scores = 1 / (1 + np.exp(-np.clip(slope * (margins + bias) + offset, -50, 50)))
-            yield pa.record_batch([*batch.columns[:-1], pa.array(scores)], names=[*columns, name])
+            yield pa.record_batch([*batch.columns[: len(columns)], pa.array(scores)], names=[*columns, name])
 
     return rows.mapInArrow(score, schema)
 

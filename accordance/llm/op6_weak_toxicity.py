@@ -38,7 +38,7 @@ from accordance.llm.features import (
     toxic_slots,
     word_slot,
 )
-from accordance.llm.tables import keep
+from accordance.llm.tables import bounded_batches, keep
 from accordance.llm.tokens import chunks
 
 #: Documents of a sample at most, and voters mined from labelled ones at most.
@@ -247,6 +247,7 @@ def train(
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> tuple[np.ndarray, float, float, float]:
     """Weights by slot, bias, and slope and offset of the logistic; labels of held-out documents aren't used."""
+    bounded_batches(docs.sparkSession)
     open_ids = bucket(F.col("doc_id"), 5) != 0
     y, x = labelled_sample(docs, labels.where(open_ids), "toxic", rows, toxic_slots)
     if len(set(y.tolist())) < 2:

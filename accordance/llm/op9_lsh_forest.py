@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accordance.llm.components import components
-from accordance.llm.tables import keep
+from accordance.llm.tables import bounded_batches, keep
 from accordance.llm.tokens import chunks, mixed, runs
 
 WORDS, THRESHOLD = 5, 0.8
@@ -289,6 +289,7 @@ def similar_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     class_node names the class, also if none of it has an id; it is null for documents without words.
     """
+    bounded_batches(docs.sparkSession)
     found = keep(sketches(docs, prefix_length(threshold)), "sketches")
     texts = keep(
         found.where("node IS NOT NULL")

@@ -6,7 +6,9 @@ import pytest
 from accordance.llm import features
 from accordance.llm import op2_nbsvm as nb
 from accordance.llm import op6_weak_toxicity as weak
+from accordance.llm.features import SLOTS, scored, toxic_slots
 from accordance.llm.queries import op2_nbsvm_quality, op6_weak_toxicity
+from accordance.llm.tables import bounded_batches
 
 SCHEMA = "doc_id long, text string, y int, score string"
 
@@ -167,3 +169,23 @@ def test_columns_named_as_the_score_stay(spark):
     labels = spark.sql("SELECT CAST(1 AS BIGINT) AS doc_id, 0 AS toxic")
     kept = weak.without_toxic(docs, labels)
     assert kept.columns == docs.columns and sorted(r.Score for r in kept.collect()) == [1, 3]
+
+
+def test_tasks_get_texts_once_and_in_bounded_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    docs = spark.createDataFrame([(i, "a" * 20_000) for i in range(1000)], "doc_id long, text string").coalesce(1)
+    bounded_batches(spark)
+    try:
+        counted = docs.mapInArrow(lambda batches: (b.select(["doc_id"]).slice(0, 1) for b in batches), "doc_id long")
+        assert counted.count() > 1
+        weights = np.zeros(SLOTS)
+        out = scored(docs, weights, 0.0, 1.0, 0.0, toxic_slots, ["text", "doc_id"])
+        assert out.columns == ["text", "doc_id", "score"]
+        assert {(len(r.text), r.score) for r in out.collect()} == {(20_000, 0.5)}
+        assert "score_text" not in out._jdf.queryExecution().toString()
+        spark.conf.set(key, "1m")
+        bounded_batches(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
