@@ -2,16 +2,18 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from accordance.llm import op4_url_reputation as url
 from accordance.llm import op5_winnowing as winnow
 from accordance.llm import op7_arc as arc
 from accordance.llm import op10_pivots as pivots
 from accordance.llm.queries import URL_RULES
-from accordance.llm.tables import new_path
+from accordance.llm.tables import lower_ascii, new_path, words_of
 from tests.llm import brute
 
 
@@ -202,3 +204,29 @@ def test_search_is_exact(spark):
     assert pivots.top_k(df.where("vec_id = 0"), is_query).count() == 0
     assert pivots.top_k(df.where("vec_id < 3"), is_query).count() == 2
     assert pivots.top_k(df.where("false"), is_query).count() == 0
+
+
+def test_words_end_at_the_same_characters_and_take_no_slow_pattern(spark):
+    every = ["a" + "".join(map(chr, range(n, n + 4096))) + "b" for n in range(0, 0x110000, 4096) if not 0xD000 <= n < 0xE000]
+    texts = [None, "", *every, *(f"x{chr(n)}y" for n in (*range(0x300), 0xD7FF, 0xE000, 0xFFFF, 0x10000, 0x10FFFF))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n long, text string")
+    got = dict(rows.select("n", words_of(rows.text).alias("w")).collect())
+    assert got == {n: brute.words(t) for n, t in enumerate(texts)}
+
+    # A negated class takes six to nine times as long.
+    docs = [(" ".join(f"Wörter{n % 97} of text {n}," for n in range(20_000)),)] * 8
+    long = spark.createDataFrame(docs, "text string").repartition(4).cache()
+    text, negated = F.col("text"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def seconds(words):
+        times = []
+        for _ in range(3):
+            began = time.perf_counter()
+            long.agg(F.sum(F.size(words))).collect()
+            times.append(time.perf_counter() - began)
+        return min(times)
+
+    slow = seconds(F.regexp_extract_all(lower_ascii(text), negated, F.lit(0)))
+    fast = seconds(words_of(text))
+    long.unpersist()
+    assert fast < 0.6 * slow, (fast, slow)
