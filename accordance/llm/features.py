@@ -130,6 +130,7 @@ def labelled_sample(
     kind = docs.schema["doc_id"].dataType.simpleString()
     taken = found.select("doc_id", "text", "y").mapInArrow(extract, f"doc_id {kind}, y int, x array<int>").toArrow()
     taken = taken.sort_by("doc_id")
+    pa.default_memory_pool().release_unused()
     x = taken["x"].combine_chunks() if taken.num_rows else pa.array([], pa.list_(pa.int32()))
     values, ends = np.asarray(x.flatten()), x.offsets.to_numpy()
     lists = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]

@@ -47,6 +47,8 @@ ROWS, MINED = 16_000, 240
 STEPS = 1 << 20
 #: Voters that a toxic document should have.
 COVERS = 3
+#: Documents whose votes the driver holds as a matrix at a time.
+ROWS_AT_ONCE = 1024
 #: The slots of the patterns of tone.
 TONES = np.array(list(PATTERNS.values()))
 #: Residual correlations below this count as none.
@@ -71,22 +73,31 @@ def mined_voters(y: np.ndarray, x: list[np.ndarray], fixed: np.ndarray, most: in
         if not label:
             n0[row] += 1
     toxic = [row for label, row in zip(y, x, strict=True) if label]
-    doc = np.repeat(np.arange(len(toxic)), [len(row) for row in toxic])
-    slot = np.concatenate([np.zeros(0, np.int64), *toxic])
+    doc = np.repeat(np.arange(len(toxic), dtype=np.int32), [len(row) for row in toxic])
+    slot = np.concatenate([np.zeros(0, np.int32), *toxic])
     t1, t0 = max(len(toxic), 1), max(len(y) - len(toxic), 1)
-    p0 = (n0 + 0.5) / (t0 + 1)
-    p1 = (np.bincount(slot, minlength=SLOTS) + 0.5) / (t1 + 1)
-    told, gain = p1 > 8 * p0, np.log(p1 / p0)
+    n1 = np.bincount(slot, minlength=SLOTS)
+    # Slots that may come to be chosen; what follows holds these alone.
+    some = np.flatnonzero(n1 >= 3)
+    p0, p1 = (n0[some] + 0.5) / (t0 + 1), (n1[some] + 0.5) / (t1 + 1)
+    told = p1 > 8 * p0
+    some, gain = some[told], np.log(p1[told] / p0[told])
+    if not len(some):
+        return np.array([], np.int64)
+    n0, place = n0[some], np.searchsorted(some, slot).astype(np.int32)
+    own = some[np.minimum(place, len(some) - 1)] == slot
+    doc, place = doc[own], place[own]
     covered, chosen = np.array([np.isin(fixed, row).sum() for row in toxic], np.int64), []
+    free = ~np.isin(some, fixed)
     while len(chosen) < most:
-        n1 = np.bincount(slot[covered[doc] < covers], minlength=SLOTS)
-        worth = np.where(told & (n1 >= 3) & (n1 > 8 * n0), n1 * gain, 0)
-        worth[chosen] = worth[fixed] = 0
+        n1 = np.bincount(place[covered[doc] < covers], minlength=len(some))
+        worth = np.where(free & (n1 >= 3) & (n1 > 8 * n0), n1 * gain, 0)
         best = int(worth.argmax())
         if not worth[best]:
             break
-        chosen.append(best)
-        covered[doc[slot == best]] += 1
+        chosen.append(some[best])
+        free[best] = False
+        covered[doc[place == best]] += 1
     return np.array(chosen, np.int64)
 
 
@@ -110,6 +121,12 @@ def votes(x: list[np.ndarray], slots: np.ndarray) -> np.ndarray:
     return out
 
 
+def vote_parts(x: list[np.ndarray], slots: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Where a part of the documents starts, and its votes."""
+    for at in range(0, len(x), ROWS_AT_ONCE):
+        yield at, votes(x[at : at + ROWS_AT_ONCE], slots)
+
+
 def patterns(docs: DataFrame, slots: np.ndarray) -> DataFrame:
     """fired (numbers of the voters that fire, two bytes each) and n, the documents they fire on."""
 
@@ -196,10 +213,26 @@ def estimated(products: np.ndarray, smooth: float = 0.5) -> LabelModel:
     return LabelModel((classes[0] + 1) / (classes.sum() + 2), chance, alike)
 
 
+def labelled_products(y: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The moments of labelled documents, by their labels."""
+    ones = np.hstack([v, np.ones((len(v), 1))])
+    return np.stack([ones[y == label].T @ ones[y == label] for label in (1, 0)])
+
+
 def first_model(y: np.ndarray, v: np.ndarray) -> LabelModel:
     """Where the rounds start: the model of labelled documents, which tells the classes apart."""
-    ones = np.hstack([v, np.ones((len(v), 1))])
-    return estimated(np.stack([ones[y == label].T @ ones[y == label] for label in (1, 0)]))
+    return estimated(labelled_products(y, v))
+
+
+def first_model_of(y: np.ndarray, x: list[np.ndarray], slots: np.ndarray) -> LabelModel:
+    """The same from features, part by part."""
+    parts = (labelled_products(y[at : at + len(v)], v) for at, v in vote_parts(x, slots))
+    return estimated(sum(parts, np.zeros((2, len(slots) + 2, len(slots) + 2))))
+
+
+def posteriors(model: LabelModel, x: list[np.ndarray], slots: np.ndarray) -> np.ndarray:
+    """The chance of the toxic class for each document."""
+    return np.concatenate([np.zeros(0), *(model.posterior(v) for _, v in vote_parts(x, slots))])
 
 
 def label_model(counted: DataFrame, model: LabelModel, rounds: int = 12) -> LabelModel:
@@ -225,9 +258,12 @@ def train(
         seen[row] += 1
         bad[row] += p
     t1, t0 = max(post.sum(), 1), max(len(post) - post.sum(), 1)
+    some = np.flatnonzero(seen >= 3)
+    seen, bad = seen[some], bad[some]
     share = seen / len(post)
     spread = np.sqrt(share * (1 - share) * (1 / t1 + 1 / t0)) + 1e-12
-    told = (seen >= 3) & (np.abs(bad / t1 - (seen - bad) / t0) > least * spread)
+    told = np.zeros(SLOTS, bool)
+    told[some] = np.abs(bad / t1 - (seen - bad) / t0) > least * spread
     rows = [row[told[row]] for row in x]
     w, sums = np.zeros(SLOTS), np.full(SLOTS, 1e-2)
     bias, bias_sum = 0.0, 1e-2
@@ -254,10 +290,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> tuple[np.ndarra
         share = (y.sum() + 0.2) / (len(y) + 2)
         return np.zeros(SLOTS), 0.0, 0.0, float(np.log(share / (1 - share)))
     slots = voters(y, x)
-    model = label_model(keep(patterns(docs, slots), "patterns"), first_model(y, votes(x, slots)))
+    model = label_model(keep(patterns(docs, slots), "patterns"), first_model_of(y, x, slots))
     anyone = docs.where(open_ids).select("doc_id", F.lit(0).alias("drawn"))
     _, own = labelled_sample(docs, anyone, "drawn", rows, toxic_slots)
-    w, bias = train(model.posterior(votes(own, slots)), own)
+    w, bias = train(posteriors(model, own, slots), own)
     slope, offset = calibration(np.array([w[row].sum() for row in x]) + bias, y)
     return w, bias, slope, offset
 

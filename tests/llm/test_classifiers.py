@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -138,6 +139,34 @@ def test_mined_voters_cover_documents_that_no_other_is_in():
     assert len(weak.mined_voters(np.zeros(0, int), [], lexicon)) == 0
 
 
+def test_the_driver_holds_votes_part_by_part_and_counts_of_few_slots():
+    rng = np.random.default_rng(9)
+    x = [np.unique(rng.integers(0, features.SLOTS, 40)).astype(np.int32) for _ in range(6000)]
+    y = (np.arange(6000) % 4 == 0).astype(int)
+    for n in range(0, 6000, 4):
+        x[n] = np.unique(np.append(x[n], 1000 + n // 4 % 60)).astype(np.int32)
+    slots = np.append(np.arange(1000, 1240), weak.TONES)
+    v = weak.votes(x, slots)
+    model = weak.first_model(y, v)
+    assert np.allclose(weak.posteriors(model, x, slots), model.posterior(v), rtol=1e-12, atol=0)
+    same = weak.first_model_of(y, x, slots)
+    assert same.prior == model.prior and np.array_equal(same.chance, model.chance) and np.array_equal(same.alike, model.alike)
+    del v
+
+    def peak(call):
+        tracemalloc.start()
+        call()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most / 1e6
+
+    assert peak(lambda: weak.posteriors(model, x, slots)) < 10
+    assert peak(lambda: weak.first_model_of(y, x, slots)) < 12
+    # Counts of all slots are two arrays of 8 MB.
+    assert peak(lambda: weak.mined_voters(y, x, np.array([5]))) < 30
+    assert peak(lambda: weak.train(y.astype(float), x, epochs=1)) < 50
+
+
 def test_patterns_and_moments_cover_all_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = [r.text for r in docs.select("text").collect()] + [None, ""]
