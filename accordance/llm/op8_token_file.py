@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -39,7 +40,7 @@ MAGIC, VERSION = b"TIRC", 1
 _HEAD = struct.Struct("<4sHIIQIII")
 #: Ids after which a segment is closed at the end of a document.
 SEGMENT = 6_000_000
-#: Distinct runs that a task remembers the ids of.
+#: Distinct runs that a task remembers the ids of, and as many older ones.
 REMEMBERED = 600_000
 SEGMENTS = "shard int, place int, ids long, segment binary"
 Encode = Callable[[list[str | None]], Iterator[np.ndarray]]
@@ -52,23 +53,30 @@ _SIGNS = {byte: 256 + n for n, byte in enumerate(_UNSEEN)}
 
 
 class _Ids(dict):
-    """Ids of runs of characters without white space, as the bytes of 16-bit numbers."""
+    """Ids of runs of characters without white space, as the bytes of 16-bit numbers.
+
+    When REMEMBERED runs are there they become the older ones, which give back those that come again.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, run: str) -> bytes:
-        if run[-1] in ".,;:!?" and run[:-1].isalpha():  # letters and marks are pieces of their own
-            return self[run[:-1]] + self[run[-1]]
-        if run.isalpha():  # one piece, which the model takes as the signs of its bytes
-            found = [t.id for t in self.tokenizer.model.tokenize(run.encode().decode("latin-1").translate(_SIGNS))]
-        else:
-            found = self.tokenizer.encode(run, add_special_tokens=False).ids
-        ids = np.array(found, "<u2").tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
+        ids = self.older.get(run)
+        if ids is None:
+            if run[-1] in ".,;:!?" and run[:-1].isalpha():  # letters and marks are pieces of their own
+                ids = self[run[:-1]] + self[run[-1]]
+            elif run.isalpha():  # one piece, which the model takes as the signs of its bytes
+                signs = run if run.isascii() else run.encode().decode("latin-1").translate(_SIGNS)
+                ids = array("H", [t.id for t in self.model.tokenize(signs)]).tobytes()
+            else:
+                ids = array("H", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
         if len(run) <= 40:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
             self[run] = ids
         return ids
 
@@ -99,7 +107,7 @@ def word_ids(path: str, end: int) -> Encode:
                 yield np.array([end], np.uint16)
             elif _by_runs(text):
                 found = b"".join(map(known.__getitem__, text.lower().split()))
-                yield np.append(np.frombuffer(found, "<u2"), np.uint16(end))
+                yield np.append(np.frombuffer(found, np.uint16), np.uint16(end))
             else:
                 yield np.array([*known.tokenizer.encode(text, add_special_tokens=False).ids, end], np.uint16)
 

@@ -106,3 +106,31 @@ def test_a_segment_needs_little_memory():
     assert (r.decode(blocks, len(ids)) == ids).all()
     assert tracemalloc.get_traced_memory()[1] < 28 * len(ids)
     tracemalloc.stop()
+
+
+def test_runs_that_come_again_are_tokenized_once(monkeypatch):
+    """What a task remembers is not dropped at once when it is full."""
+    asked = []
+
+    class Counting:
+        model = property(lambda self: self)
+
+        def tokenize(self, run):
+            asked.append(run)
+            return [type("Token", (), {"id": len(run)})]
+
+    monkeypatch.setattr(o, "REMEMBERED", 3)
+    known = o._Ids(Counting())
+    for n in range(40):
+        assert known["often"] == np.array([5], np.uint16).tobytes()
+        assert known["x" * (6 + n)] == np.array([6 + n], np.uint16).tobytes()
+    assert asked.count("often") == 1 and len(known) + len(known.older) <= 6
+
+
+def test_the_bytes_of_blocks_are_fixed():
+    """Files written before stay readable: the coder's output is part of the format."""
+    rng = np.random.default_rng(8)
+    ids = np.concatenate([rng.zipf(1.3, 5 * r.BLOCK) % r.IDS, rng.integers(0, r.IDS, 700), np.arange(900) % 50])
+    blocks = r.encode(ids)
+    assert zlib.crc32(b"".join(data for data, _ in blocks)) == 2685765603
+    assert (r.decode(blocks, len(ids)) == ids).all()
